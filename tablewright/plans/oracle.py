@@ -430,5 +430,95 @@ SQL["scatter_points"] = union([
     f"SELECT l_orderkey * 10 + l_linenumber AS row_key, '{a}' AS x_col, '{b}' AS y_col, "
     f"{a} AS x, {b} AS y FROM {HEAD}" for a in _SC for b in _SC if a != b])
 
+# --- features ----------------------------------------------------------------
+
+# TPC-H domains of the two low-cardinality order columns.
+ORDER_STATUS = ["F", "O", "P"]
+ORDER_PRIORITY = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+def _indicators(column: str, values: list[str]) -> str:
+    return ", ".join(f"CAST({column} = '{v}' AS INTEGER) AS \"{column}__{v}\"" for v in values)
+
+
+SQL["one_hot"] = (f"SELECT o_orderkey, {_indicators('o_orderstatus', ORDER_STATUS)}, "
+                  f"{_indicators('o_orderpriority', ORDER_PRIORITY)} FROM orders")
+
+SQL["feature_routing"] = f"""
+WITH t AS ({_types(['orders'])}),
+card AS (SELECT 'o_orderstatus' AS column, count(DISTINCT o_orderstatus) AS n FROM orders
+         UNION ALL SELECT 'o_orderpriority', count(DISTINCT o_orderpriority) FROM orders
+         UNION ALL SELECT 'o_orderdate', count(DISTINCT CAST(o_orderdate AS VARCHAR)) FROM orders),
+r AS (SELECT t.column, t.position,
+             CASE WHEN t.type = 'numeric' THEN 'numeric'
+                  WHEN coalesce(card.n, 0) <= 15 THEN 'one_hot' ELSE 'label' END AS route,
+             CASE WHEN t.type = 'numeric' THEN 0 ELSE coalesce(card.n, 0) END AS cardinality
+      FROM t LEFT JOIN card USING (column))
+SELECT column, route, CAST(cardinality AS BIGINT) AS cardinality,
+  CAST(row_number() OVER (ORDER BY CASE route WHEN 'numeric' THEN 0 WHEN 'one_hot' THEN 1 ELSE 2 END,
+                                   position) - 1 AS INTEGER) AS position
+FROM r
+"""
+
+
+def _std(x: str, source: str) -> str:
+    return (f"(({x} - (SELECT avg({x}) FROM {source})) / "
+            f"(SELECT CASE WHEN stddev_pop({x}) = 0 THEN 1.0 ELSE stddev_pop({x}) END FROM {source}))")
+
+
+SQL["preprocessed"] = f"""
+WITH o AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row_id, * FROM orders),
+d AS (SELECT CAST(o_orderdate AS VARCHAR) AS value,
+             CAST(row_number() OVER (ORDER BY CAST(o_orderdate AS VARCHAR)) - 1 AS INTEGER) AS code
+      FROM (SELECT DISTINCT o_orderdate FROM orders))
+SELECT row_id, round({_std('CAST(o_orderkey AS DOUBLE)', 'o')}, 6) AS o_orderkey,
+  round({_std('CAST(o_custkey AS DOUBLE)', 'o')}, 6) AS o_custkey,
+  round({_std('o_totalprice', 'o')}, 6) AS o_totalprice,
+  {_indicators('o_orderstatus', ORDER_STATUS)}, {_indicators('o_orderpriority', ORDER_PRIORITY)},
+  d.code AS o_orderdate
+FROM o LEFT JOIN d ON d.value = CAST(o.o_orderdate AS VARCHAR)
+"""
+
+SQL["scaler_params"] = union([
+    f"SELECT '{c}' AS column, round(avg({c}), 6) AS mean, "
+    f"round(CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END, 6) AS std FROM lineitem"
+    for c in LI_NUM])
+
+SQL["standardize"] = ("SELECT l_orderkey, l_linenumber, "
+                      + ", ".join(f"round({_std(c, 'lineitem')}, 6) AS {c}" for c in LI_NUM)
+                      + " FROM lineitem")
+
+_NUM_STATS = ["count", "min", "max", "mean"]
+SQL["summary_stats"] = f"""
+WITH ct AS ({_clean()})
+SELECT column, type, statistic, round(value, 6) AS value FROM (
+""" + union(
+    [f"SELECT '{c}' AS column, 'numeric' AS type, '{s}' AS statistic, "
+     f"CAST({'coalesce(avg(' + c + '), 0.0)' if s == 'mean' else s + '(' + c + ')'} AS DOUBLE) AS value FROM ct"
+     for c in CLEAN_NUMERIC for s in _NUM_STATS]
+    + [f"SELECT '{c}', '{t}', '{s}', CAST({'count(' + c + ')' if s == 'count' else 'count(DISTINCT ' + c + ')'} AS DOUBLE) FROM ct"
+       for c, t in [("l_linenumber", "numeric_categorical"), ("l_discount", "numeric_categorical"),
+                    ("l_tax", "numeric_categorical"), ("l_returnflag", "categorical"),
+                    ("l_open", "boolean"), ("l_shipyear", "numeric_categorical")]
+       for s in ["count", "num_unique_values"]]) + ")"
+
+# --- sources and sinks -------------------------------------------------------
+
+SQL["json_messages"] = """
+SELECT CAST(json_object('o_orderkey', o_orderkey, 'o_custkey', o_custkey, 'o_orderstatus', o_orderstatus,
+                        'o_totalprice', o_totalprice, 'o_orderdate', strftime(o_orderdate, '%Y-%m-%d'),
+                        'o_orderpriority', o_orderpriority) AS VARCHAR) AS value
+FROM orders
+"""
+
+SQL["message_batches"] = """
+SELECT CAST(floor(rid / 50000) AS BIGINT) AS chunk, CAST(floor((rid % 50000) / 500) AS BIGINT) AS batch,
+       count(*) AS n_messages
+FROM (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS rid FROM orders) GROUP BY 1, 2
+"""
+
+SQL["csv_roundtrip"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
+
+
 # ``column`` is a reserved word in DuckDB: quote it as an identifier.
 SQL = {k: re.sub(r"(?<!['\"\w])column(?![\"'\w])", '"column"', v) for k, v in SQL.items()}

@@ -22,8 +22,13 @@ from tablewright.operators import categories as cat
 from tablewright.operators import lists as L
 from tablewright.operators import numeric as N
 from tablewright.operators.profile import detect_types, null_profile, type_histogram
-from tablewright.plans import derived
+from tablewright.operators import features as FT
+from tablewright.operators.ordinal import assign_row_id
+from tablewright.plans import derived, stages
 from tablewright.plans.clean import clean, impute, medians
+from tablewright.session import scratch_path
+from tablewright.sinks.messages import message_batches, to_messages
+from tablewright.sources.csv import read_raw_csv, write_csv
 from tablewright.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -304,3 +309,95 @@ def q_scatter(spark, folder):
     pts = N.scatter_points(sample.withColumn("row_key", F.col("l_orderkey") * 10 + F.col("l_linenumber")),
                            ["l_quantity", "l_extendedprice", "l_discount"], "row_key")
     return pts
+
+
+# --- features ----------------------------------------------------------------
+
+def _orders_clean(spark, folder):
+    o = assign_row_id(table(spark, folder, "orders"), ["o_orderkey"])
+    return clean(o, "row_id", WHOLE)
+
+
+@query("feature_routing")
+def q_feature_routing(spark, folder):
+    return stages.preprocess(_orders_clean(spark, folder), WHOLE).routes
+
+
+@query("preprocessed")
+def q_preprocessed(spark, folder):
+    return rounded(stages.preprocess(_orders_clean(spark, folder), WHOLE).features)
+
+
+@query("one_hot")
+def q_one_hot(spark, folder):
+    o = table(spark, folder, "orders")
+    cols = ["o_orderstatus", "o_orderpriority"]
+    d = cat.label_dictionary(cat.value_counts(o, cols))
+    coded = cat.label_encode(o.select("o_orderkey", *cols), cols, d)
+    rows = d.collect()  # at most ohe_max_cardinality entries per column
+    cats = {c: sorted([(r["code"], r["value"]) for r in rows if r["column"] == c], key=lambda x: x[1])
+            for c in cols}
+    return FT.one_hot(coded, cats, keep=["o_orderkey"])
+
+
+@query("scaler_params")
+def q_scaler_params(spark, folder):
+    return rounded(FT.scaler_fit(table(spark, folder, "lineitem"), LINEITEM_NUMERIC))
+
+
+def _scaled_lineitem(spark, folder):
+    li = table(spark, folder, "lineitem")
+    params = {r["column"]: (r["mean"], r["std"]) for r in FT.scaler_fit(li, LINEITEM_NUMERIC).collect()}
+    return FT.standardize(li.select("l_orderkey", "l_linenumber", *LINEITEM_NUMERIC), params)
+
+
+@query("standardize")
+def q_standardize(spark, folder):
+    return rounded(_scaled_lineitem(spark, folder))
+
+
+@query("pca_variance")
+def q_pca_variance(spark, folder):
+    scaled = _scaled_lineitem(spark, folder)
+    _, ratios = FT.pca_fit(scaled, LINEITEM_NUMERIC)
+    return rounded(FT.pca_variance(spark, ratios))
+
+
+@query("pca_project")
+def q_pca_project(spark, folder):
+    scaled = _scaled_lineitem(spark, folder)
+    loadings, _ = FT.pca_fit(scaled, LINEITEM_NUMERIC)
+    return rounded(FT.pca_project(scaled, LINEITEM_NUMERIC, loadings, keep=["l_orderkey", "l_linenumber"]))
+
+
+@query("summary_stats")
+def q_summary_stats(spark, folder):
+    g = derived.lineitem_with_gaps(spark, folder)
+    return rounded(stages.summary_stats(clean(g, "row_id", WHOLE)))
+
+
+# --- sources and sinks -------------------------------------------------------
+
+def _orders_for_messages(spark, folder):
+    o = table(spark, folder, "orders")
+    return o.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+
+
+@query("json_messages")
+def q_json_messages(spark, folder):
+    return to_messages(_orders_for_messages(spark, folder))
+
+
+@query("message_batches")
+def q_message_batches(spark, folder):
+    o = assign_row_id(table(spark, folder, "orders").select("o_orderkey"), ["o_orderkey"])
+    return message_batches(o, "row_id", C.CHUNK_SIZE, C.MESSAGE_BATCH_SIZE)
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, folder):
+    path = scratch_path(spark, "documents-csv")
+    write_csv(table(spark, folder, "documents"), path)
+    back = read_raw_csv(spark, path, row_id=None)
+    return back.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source",
+                       F.col("n_chars").cast("long").alias("n_chars"))
