@@ -104,4 +104,4 @@ class PrepConfig:
     # of being joined.
     inline_dictionary_limit: int = 10_000
     # Row bound under which a lookup side may be broadcast.
-    broadcast_row_limit: int = 2_000_000
+    broadcast_row_limit: int = 1_000_000

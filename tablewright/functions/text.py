@@ -22,12 +22,19 @@ WHITESPACE = (
     + "    　"
 )
 
-# Text accepted as a number by the coercion step (after stripping): optional
-# sign, digits with optional fraction (or a bare fraction), optional exponent;
-# or an infinity word. Spark's own cast also accepts forms such as "1d" or
-# "1f", which must not count as numbers here.
-NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-INFINITY_PATTERN = r"^(?i)[+-]?(inf|infinity)$"
+# The same whitespace as a regular-expression class (Java and RE2 syntax).
+WS_CLASS = r"[\t\n\x{0B}\f\r\x{1C}-\x{1F}\x{85}\p{Z}]"
+
+# Text accepted as a number by the coercion step: optional surrounding
+# whitespace, optional sign, digits with optional fraction (or a bare
+# fraction), optional exponent; or an infinity word. Spark's own cast also
+# accepts forms such as "1d" or "1f", which must not count as numbers here.
+NUMBER_TEXT = (rf"^{WS_CLASS}*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+               rf"|(?i:inf|infinity)){WS_CLASS}*$")
+
+# A boolean cell: one of BOOLEAN_TOKENS ("Y", "N" in config) with optional
+# surrounding whitespace.
+BOOLEAN_TEXT = rf"^{WS_CLASS}*(?:Y|N){WS_CLASS}*$"
 
 NUMERIC_TYPES = (
     T.ByteType, T.ShortType, T.IntegerType, T.LongType,
@@ -44,10 +51,18 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
+def left_strip(c: Column) -> Column:
+    return F.ltrim(c, F.lit(WHITESPACE))
+
+
 def looks_numeric(text: Column) -> Column:
-    """True when stripped text is a number; null input gives null."""
-    s = strip(text)
-    return s.rlike(NUMBER_PATTERN) | s.rlike(INFINITY_PATTERN)
+    """True when the text (ignoring surrounding whitespace) is a number; one
+    anchored regular expression, no copy of the string."""
+    return text.rlike(NUMBER_TEXT)
+
+
+def looks_boolean(text: Column) -> Column:
+    return text.rlike(BOOLEAN_TEXT)
 
 
 def try_number(c: Column, dtype: T.DataType) -> Column:
@@ -58,8 +73,9 @@ def try_number(c: Column, dtype: T.DataType) -> Column:
     elif is_numeric_type(dtype):
         v = c.cast("double")
     else:
-        s = strip(c.cast("string"))
-        v = F.when(looks_numeric(s), s.try_cast("double"))
+        s = c.cast("string")
+        # Stripped (a copy) only for the cells that are numbers.
+        v = F.when(looks_numeric(s), strip(s).try_cast("double"))
     return F.when(~F.isnan(v), v)
 
 

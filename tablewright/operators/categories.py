@@ -119,9 +119,18 @@ def _map_literal(pairs) -> F.Column:
     return F.map_from_arrays(keys, vals)
 
 
+def category_stats(counts: DataFrame) -> tuple[dict[str, str], dict[str, int]]:
+    """Modes and dictionary sizes per column in one small aggregate."""
+    best = F.min(F.struct((-F.col("count")).alias("neg"), F.col("value").alias("value")))
+    rows = counts.groupBy("column").agg(best.alias("_b"), F.count("*").alias("_n")).collect()
+    return ({r["column"]: r["_b"]["value"] for r in rows}, {r["column"]: int(r["_n"]) for r in rows})
+
+
 def _lookup(df: DataFrame, cols: Sequence[str], dictionary: DataFrame, key: str, val: str,
-            key_expr, out_cast: str, inline_limit: int, broadcast_limit: int) -> DataFrame:
-    sizes = _dictionary_sizes(dictionary.where(F.col("column").isin(list(cols))))
+            key_expr, out_cast: str, inline_limit: int, broadcast_limit: int,
+            sizes: Mapping[str, int] | None = None) -> DataFrame:
+    if sizes is None:
+        sizes = _dictionary_sizes(dictionary.where(F.col("column").isin(list(cols))))
     inline = [c for c in cols if sizes.get(c, 0) <= inline_limit]
     maps = _inline_maps(dictionary, inline, key, val) if inline else {}
     out = df
@@ -142,17 +151,19 @@ def _lookup(df: DataFrame, cols: Sequence[str], dictionary: DataFrame, key: str,
 
 
 def label_encode(df: DataFrame, cols: Sequence[str], dictionary: DataFrame,
-                 inline_limit: int = 10_000, broadcast_limit: int = 2_000_000) -> DataFrame:
+                 inline_limit: int = 10_000, broadcast_limit: int = 1_000_000,
+                 sizes: Mapping[str, int] | None = None) -> DataFrame:
     """Replace each column in ``cols`` by its code (INT; null when the value
     is not in the dictionary). Small dictionaries become map literals (no
     join); large ones are joined, broadcast only below ``broadcast_limit``."""
     schema = {f.name: f.dataType for f in df.schema.fields}
     return _lookup(df, cols, dictionary, "value", "code",
-                   lambda c: value_text(col(c), schema[c]), "int", inline_limit, broadcast_limit)
+                   lambda c: value_text(col(c), schema[c]), "int", inline_limit, broadcast_limit, sizes)
 
 
 def label_decode(df: DataFrame, cols: Sequence[str], dictionary: DataFrame,
-                 inline_limit: int = 10_000, broadcast_limit: int = 2_000_000) -> DataFrame:
+                 inline_limit: int = 10_000, broadcast_limit: int = 1_000_000,
+                 sizes: Mapping[str, int] | None = None) -> DataFrame:
     """Inverse of :func:`label_encode`: codes back to the original text."""
     return _lookup(df, cols, dictionary, "code", "value",
-                   lambda c: col(c).cast("long"), "string", inline_limit, broadcast_limit)
+                   lambda c: col(c).cast("long"), "string", inline_limit, broadcast_limit, sizes)

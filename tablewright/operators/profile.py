@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tablewright import config as C
 from tablewright.functions.names import col
-from tablewright.functions.text import is_missing, is_numeric_type, looks_numeric, strip, try_number, value_text
+from tablewright.functions.text import (is_missing, is_numeric_type, left_strip, looks_boolean, looks_numeric,
+                                        try_number, value_text)
 
 PROFILE_SCHEMA = ("column string, position int, null_count long, row_count long, "
                   "null_ratio double, dropped boolean")
@@ -108,12 +109,12 @@ def detect_types(df: DataFrame, columns: Sequence[str] | None = None,
                      F.lit(0.0).alias(f"sq{i}"), F.lit(0.0).alias(f"cm{i}")]
         else:
             s = value_text(col(c), dt)
-            st = strip(s)
+            head = left_strip(s)
             aggs += [F.count(s).alias(f"nn{i}"),
                      F.count_if(looks_numeric(s)).alias(f"num{i}"),
-                     F.count_if(st.isin(*C.BOOLEAN_TOKENS)).alias(f"yn{i}"),
-                     F.avg(st.startswith("{").cast("double")).alias(f"br{i}"),
-                     F.avg(st.startswith("[").cast("double")).alias(f"sq{i}"),
+                     F.count_if(looks_boolean(s)).alias(f"yn{i}"),
+                     F.avg(head.startswith("{").cast("double")).alias(f"br{i}"),
+                     F.avg(head.startswith("[").cast("double")).alias(f"sq{i}"),
                      F.avg(s.contains(",").cast("double")).alias(f"cm{i}")]
         aggs.append(F.approx_count_distinct(try_number(col(c), dt)).alias(f"hll{i}"))
     stats = sample.agg(*aggs).first()

@@ -114,16 +114,16 @@ def clean(df: DataFrame, id_col: str = "row_id", cfg: PrepConfig = PrepConfig())
         counts = cat.value_counts(df, category).checkpoint(eager=True)
     else:
         counts = spark.createDataFrame([], "column string, value string, count long")
-    mode = {r["column"]: r["mode"] for r in cat.modes(counts).collect()}
+    mode, sizes = cat.category_stats(counts)
     category_fill = {c: mode.get(c, "") for c in category}
-    dictionary = cat.label_dictionary(counts, cfg.single_task_distinct_limit)
+    dictionary = cat.label_dictionary(counts, cfg.single_task_distinct_limit, sizes=sizes)
     if category:
         dictionary = dictionary.checkpoint(eager=True)
 
     main = df.select(col(id_col), *[col(c) for c in type_of if c not in listy])
     main = impute(main, {c: med.get(c, 0.0) for c in numeric}, category_fill)
     main = cat.label_encode(main, category, dictionary, cfg.inline_dictionary_limit,
-                            cfg.broadcast_row_limit)
+                            cfg.broadcast_row_limit, sizes=sizes)
 
     side = {c: explode_list(df, c, hints.get(c), id_col) for c in listy}
     return Cleaned(table=main, profile=profile, types=types, type_of=type_of, hints=hints,

@@ -21,7 +21,7 @@ LINEITEM_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_qua
                   "l_shipdate"]
 
 
-def lineitem_with_gaps(spark: SparkSession, folder: str) -> DataFrame:
+def lineitem_with_gaps(spark: SparkSession, folder: str, with_row_id: bool = True) -> DataFrame:
     """lineitem as a loosely typed wide table with missing values:
 
     * ``l_quantity`` missing where ``l_discount = 0``;
@@ -31,10 +31,11 @@ def lineitem_with_gaps(spark: SparkSession, folder: str) -> DataFrame:
     * ``l_shipyear`` = ship year as text;
     * ``l_note`` text present only where ``l_linenumber >= 6`` (over 70 % missing).
 
-    ``row_id`` numbers rows in :data:`LINEITEM_ORDER`.
+    ``row_id`` numbers rows in :data:`LINEITEM_ORDER` (a distributed sort, so
+    it is only computed when asked for).
     """
     li = table(spark, folder, "lineitem")
-    ids = assign_row_id(li, LINEITEM_ORDER)
+    ids = assign_row_id(li, LINEITEM_ORDER) if with_row_id else li.withColumn("row_id", F.lit(None).cast("long"))
     return ids.select("row_id",
         "l_orderkey", "l_linenumber",
         F.when(F.col("l_discount") != 0.0, F.col("l_quantity")).alias("l_quantity"),

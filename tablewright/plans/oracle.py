@@ -7,11 +7,11 @@ from __future__ import annotations
 
 import re
 
-from tablewright.functions.text import INFINITY_PATTERN, NUMBER_PATTERN, WHITESPACE
+from tablewright.functions.text import BOOLEAN_TEXT, NUMBER_TEXT, WHITESPACE
 
 WS = "'" + WHITESPACE.replace("'", "''") + "'"
-NUM_RE = "'" + NUMBER_PATTERN + "'"
-INF_RE = "'(?i)" + INFINITY_PATTERN.replace("(?i)", "") + "'"
+NUM_RE = "'" + NUMBER_TEXT + "'"
+BOOL_RE = "'" + BOOLEAN_TEXT + "'"
 
 
 def num_text(x: str) -> str:
@@ -20,7 +20,7 @@ def num_text(x: str) -> str:
 
 
 def is_number(s: str) -> str:
-    return f"(regexp_full_match(trim({s}, {WS}), {NUM_RE}) OR regexp_full_match(trim({s}, {WS}), {INF_RE}))"
+    return f"regexp_matches({s}, {NUM_RE})"
 
 
 LINEITEM_ORDER = ("l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, "
@@ -98,7 +98,7 @@ def _type_select(table_name: str, source: str, column: str, pos: int, kind: str)
                 f"ELSE 'numeric' END AS type, CAST(NULL AS VARCHAR) AS hint FROM {source}")
     t = f"trim(s, {WS})"
     numeric = f"count(s) = count(*) FILTER (WHERE {is_number('s')})"
-    boolean = f"count(s) = count(*) FILTER (WHERE {t} IN ('Y', 'N'))"
+    boolean = f"count(s) = count(*) FILTER (WHERE regexp_matches(s, {BOOL_RE}))"
     brace = f"{_share(f'starts_with({t}, ' + chr(39) + '{' + chr(39) + ')')} > 0.5"
     bracket = f"{_share(f'starts_with({t}, ' + chr(39) + '[' + chr(39) + ')')} > 0.5"
     comma = f"{_share('contains(s, ' + chr(39) + ',' + chr(39) + ')')} > 0.3"

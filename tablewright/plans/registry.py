@@ -63,7 +63,7 @@ EVENT_NUMERIC = ["value", "value_sq", "user_id"]
 
 @query("null_profile")
 def q_null_profile(spark, folder):
-    g = derived.lineitem_with_gaps(spark, folder).drop("row_id")
+    g = derived.lineitem_with_gaps(spark, folder, with_row_id=False).drop("row_id")
     return rounded(null_profile(g, C.NULL_THRESHOLD))
 
 
@@ -76,7 +76,7 @@ def q_column_types(spark, folder):
     for name in TYPE_TABLES:
         t = table(spark, folder, name)
         parts.append(detect_types(t, sample_rows=None).withColumn("table_name", F.lit(name)))
-    g = derived.lineitem_with_gaps(spark, folder).drop("row_id")
+    g = derived.lineitem_with_gaps(spark, folder, with_row_id=False).drop("row_id")
     parts.append(detect_types(g, sample_rows=None).withColumn("table_name", F.lit("lineitem_gaps")))
     out = parts[0]
     for p in parts[1:]:
@@ -86,7 +86,7 @@ def q_column_types(spark, folder):
 
 @query("type_histogram")
 def q_type_histogram(spark, folder):
-    g = derived.lineitem_with_gaps(spark, folder).drop("row_id")
+    g = derived.lineitem_with_gaps(spark, folder, with_row_id=False).drop("row_id")
     return type_histogram(detect_types(g, sample_rows=None))
 
 
