@@ -46,13 +46,14 @@ def scaler_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(column, mean, std)``: mean and population standard deviation; a
     zero deviation is replaced by 1."""
     schema = {f.name: f.dataType for f in df.schema.fields}
+    v = df.select(*[try_number(col(c), schema[c]).alias(f"_v{i}") for i, c in enumerate(cols)])
     cells = []
-    for c in cols:
-        x = try_number(col(c), schema[c])
+    for i, c in enumerate(cols):
+        x = F.col(f"_v{i}")
         sd = F.stddev_pop(x)
         cells.append(F.struct(F.lit(c).alias("column"), F.avg(x).alias("mean"),
                               F.when((sd == 0) | sd.isNull(), F.lit(1.0)).otherwise(sd).alias("std")))
-    return df.agg(F.array(*cells).alias("_s")).select(F.inline("_s"))
+    return v.agg(F.array(*cells).alias("_s")).select(F.inline("_s"))
 
 
 def standardize(df: DataFrame, params: Mapping[str, tuple[float, float]]) -> DataFrame:

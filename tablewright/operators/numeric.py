@@ -20,28 +20,27 @@ from tablewright.functions.text import try_number
 from tablewright.operators.quantiles import numeric_long, quantile_table
 
 
-def _typed(df: DataFrame, cols: Sequence[str]) -> dict:
+def _typed(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict]:
+    """``df`` with each of ``cols`` parsed to DOUBLE once (columns ``_v{i}``),
+    and the plain column references to aggregate over."""
     schema = {f.name: f.dataType for f in df.schema.fields}
-    return {c: try_number(col(c), schema[c]) for c in cols}
-
-
-def _long_rows(agg_row, cols, fields):
-    return [tuple([c] + [agg_row[f"{f}{i}"] for f in fields]) for i, c in enumerate(cols)]
+    view = df.select(*[try_number(col(c), schema[c]).alias(f"_v{i}") for i, c in enumerate(cols)])
+    return view, {c: F.col(f"_v{i}") for i, c in enumerate(cols)}
 
 
 def numeric_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(column, count, min, max, mean)``; mean is 0 for an empty column."""
-    x = _typed(df, cols)
+    v, x = _typed(df, cols)
     cells = [F.struct(F.lit(c).alias("column"), F.count(x[c]).alias("count"),
                       F.min(x[c]).alias("min"), F.max(x[c]).alias("max"),
                       F.coalesce(F.avg(x[c]), F.lit(0.0)).alias("mean")) for c in cols]
-    return df.agg(F.array(*cells).alias("_s")).select(F.inline("_s"))
+    return v.agg(F.array(*cells).alias("_s")).select(F.inline("_s"))
 
 
 def skewness(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(column, n, skewness)``: bias-corrected sample skewness
     ``g1 · sqrt(n(n-1)) / (n-2)``; 0 for a constant column, null for n < 3."""
-    x = _typed(df, cols)
+    v, x = _typed(df, cols)
     cells = []
     for c in cols:
         n = F.count(x[c]).cast("double")
@@ -50,19 +49,19 @@ def skewness(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             F.stddev_pop(x[c]) == 0, F.lit(0.0)).otherwise(
             g1 * F.sqrt(n * (n - 1)) / (n - 2))
         cells.append(F.struct(F.lit(c).alias("column"), F.count(x[c]).alias("n"), adj.alias("skewness")))
-    return df.agg(F.array(*cells).alias("_s")).select(F.inline("_s"))
+    return v.agg(F.array(*cells).alias("_s")).select(F.inline("_s"))
 
 
 def skewed_columns(df: DataFrame, cols: Sequence[str],
                    threshold: float = C.SKEW_LOG_THRESHOLD) -> dict[str, float]:
     """``{column: min}`` for the columns whose |skewness| exceeds
     ``threshold`` (NaN/null skewness never does)."""
-    x = _typed(df, cols)
     sk = {r["column"]: r["skewness"] for r in skewness(df, cols).collect()}
     chosen = [c for c in cols if sk.get(c) is not None and abs(sk[c]) > threshold]
     if not chosen:
         return {}
-    row = df.agg(*[F.min(x[c]).alias(f"m{i}") for i, c in enumerate(chosen)]).first()
+    v, x = _typed(df, chosen)
+    row = v.agg(*[F.min(x[c]).alias(f"m{i}") for i, c in enumerate(chosen)]).first()
     return {c: row[f"m{i}"] for i, c in enumerate(chosen)}
 
 
@@ -109,19 +108,20 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str], factor: float = C.IQR_FACTO
               "upper double, n_outliers long")
     if not present:
         return spark.createDataFrame([], schema)
-    x = _typed(df, present)
+    v, x = _typed(df, present)
     cells = [F.struct(F.lit(c).alias("column"),
                       *[F.lit(float(bounds[c][k])).alias(k) for k in ("q1", "q3", "iqr", "lower", "upper")],
                       F.count_if(_outside(x[c], bounds[c])).alias("n_outliers"))
              for c in present]
-    return df.agg(F.array(*cells).alias("_s")).select(F.inline("_s"))
+    return v.agg(F.array(*cells).alias("_s")).select(F.inline("_s"))
 
 
 def remove_outliers(df: DataFrame, cols: Sequence[str], factor: float = C.IQR_FACTOR, **kw) -> DataFrame:
     """Rows of ``df`` that are not an IQR outlier in any of ``cols`` (nulls
     are kept). A plain filter with literal fences: pushed into the scan stage."""
     bounds = quartile_bounds(df, cols, factor, **kw)
-    x = _typed(df, cols)
+    schema = {f.name: f.dataType for f in df.schema.fields}
+    x = {c: try_number(col(c), schema[c]) for c in cols}
     keep = F.lit(True)
     for c in cols:
         if c in bounds:
@@ -138,7 +138,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], factor: float = C.IQR_FACTOR,
         return df.sparkSession.createDataFrame(
             [], "column string, q1 double, median double, q3 double, whisker_lo double, "
                 "whisker_hi double, n_fliers long")
-    x = _typed(df, present)
+    v, x = _typed(df, present)
     cells = []
     for c in present:
         b = bounds[c]
@@ -149,12 +149,12 @@ def box_stats(df: DataFrame, cols: Sequence[str], factor: float = C.IQR_FACTOR,
             F.min(F.when(inside, x[c])).alias("whisker_lo"),
             F.max(F.when(inside, x[c])).alias("whisker_hi"),
             F.count_if(_outside(x[c], b)).alias("n_fliers")))
-    return df.agg(F.array(*cells).alias("_s")).select(F.inline("_s"))
+    return v.agg(F.array(*cells).alias("_s")).select(F.inline("_s"))
 
 
 def _ranges(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple]:
-    x = _typed(df, cols)
-    row = df.agg(*[e for i, c in enumerate(cols) for e in (
+    v, x = _typed(df, cols)
+    row = v.agg(*[e for i, c in enumerate(cols) for e in (
         F.min(x[c]).alias(f"lo{i}"), F.max(x[c]).alias(f"hi{i}"), F.count(x[c]).alias(f"n{i}"),
         F.stddev_samp(x[c]).alias(f"sd{i}"))]).first()
     return {c: (row[f"lo{i}"], row[f"hi{i}"], row[f"n{i}"], row[f"sd{i}"]) for i, c in enumerate(cols)}
@@ -233,7 +233,7 @@ def pearson(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(col_x, col_y, pearson)`` for every ordered pair, diagonal included.
     Each pair uses the rows where both values are present; a constant column
     gives null. One aggregate computes all pairs."""
-    x = _typed(df, cols)
+    v, x = _typed(df, cols)
     cells = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
@@ -249,7 +249,7 @@ def pearson(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             cells.append(F.struct(F.lit(a).alias("col_x"), F.lit(b).alias("col_y"), r.alias("pearson")))
             if i != j:
                 cells.append(F.struct(F.lit(b).alias("col_x"), F.lit(a).alias("col_y"), r.alias("pearson")))
-    return df.agg(F.array(*cells).alias("_s")).select(F.inline("_s"))
+    return v.agg(F.array(*cells).alias("_s")).select(F.inline("_s"))
 
 
 def head(df: DataFrame, order_cols: Sequence[str], n: int) -> DataFrame:
@@ -261,8 +261,10 @@ def head(df: DataFrame, order_cols: Sequence[str], n: int) -> DataFrame:
 def scatter_points(sample: DataFrame, cols: Sequence[str], id_col: str) -> DataFrame:
     """``(id, x_col, y_col, x, y)`` for every ordered pair of distinct
     columns over ``sample`` (the data behind a scatter matrix)."""
-    x = _typed(sample, cols)
+    schema = {f.name: f.dataType for f in sample.schema.fields}
+    v = sample.select(col(id_col), *[try_number(col(c), schema[c]).alias(f"_v{i}") for i, c in enumerate(cols)])
+    x = {c: F.col(f"_v{i}") for i, c in enumerate(cols)}
     cells = [F.struct(F.lit(a).alias("x_col"), F.lit(b).alias("y_col"),
                       x[a].alias("x"), x[b].alias("y"))
              for a in cols for b in cols if a != b]
-    return sample.select(col(id_col), F.inline(F.array(*cells)))
+    return v.select(col(id_col), F.inline(F.array(*cells)))

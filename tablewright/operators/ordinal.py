@@ -61,10 +61,12 @@ def positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str
     that positions are deterministic."""
     keys = [*group_cols, *order_cols]
     tagged = _tag(pin_sorted(df, keys))
-    chunks = _chunk_offsets(tagged, group_cols, F.lit(1))
-    # chunks has at most partitions + groups rows: a proven bound, broadcast.
-    joined = tagged.join(F.broadcast(chunks.select("_pid", *group_cols, "_before", "_first")),
-                         ["_pid", *group_cols])
+    chunks = _chunk_offsets(tagged, group_cols, F.lit(1)).select("_pid", *group_cols, "_before", "_first")
+    # chunks has at most partitions + groups rows (a proven bound): computed
+    # once, then broadcast as a local table so later uses of the result do
+    # not recompute it.
+    small = df.sparkSession.createDataFrame(chunks.collect(), chunks.schema)
+    joined = tagged.join(F.broadcast(small), ["_pid", *group_cols])
     return (joined.withColumn(out, (F.col("_before") + F.col("_local") - F.col("_first")).cast("long"))
             .drop("_pid", "_local", "_before", "_first"))
 

@@ -78,6 +78,26 @@ def _exact_distinct(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
     return out
 
 
+_BUCKET_WORDS = 2  # 128 hash buckets
+
+
+def _bucket_bitmaps(x, bucket, prefix: str) -> list:
+    """``bit_or`` of one bit per value-hash bucket: a declarative aggregate
+    (keeps whole-stage codegen), merged map-side."""
+    out = []
+    for w in range(_BUCKET_WORDS):
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (bucket - 64 * w).cast("int"))
+        inside = x.isNotNull() & (bucket >= 64 * w) & (bucket < 64 * (w + 1))
+        out.append(F.bit_or(F.when(inside, bit)).alias(f"{prefix}{w}"))
+    return out
+
+
+def _occupied(stats, prefix: str) -> int:
+    """Number of occupied buckets (a lower bound on distinct values)."""
+    words = [stats[f"{prefix}{w}"] or 0 for w in range(_BUCKET_WORDS)]
+    return sum(bin(v & ((1 << 64) - 1)).count("1") for v in words)
+
+
 def detect_types(df: DataFrame, columns: Sequence[str] | None = None,
                  order_cols: Sequence[str] | None = None,
                  sample_rows: int | None = C.TYPE_SAMPLE_ROWS,
@@ -98,44 +118,60 @@ def detect_types(df: DataFrame, columns: Sequence[str] | None = None,
     schema = {f.name: f.dataType for f in df.schema.fields}
     sample = type_sample(df.select(*[col(c) for c in dict.fromkeys([*cols, *(order_cols or [])])]),
                          order_cols, sample_rows)
+    if sample_rows is not None:
+        # At most ``sample_rows`` rows, read by up to two aggregates: keep them.
+        sample = sample.cache()
+
+    # Parse every cell once in a projection; the aggregate then reads plain
+    # columns (an expression repeated inside aggregate branches would be
+    # evaluated once per use).
+    proj = []
+    for i, c in enumerate(cols):
+        dt = schema[c]
+        proj.append(try_number(col(c), dt).alias(f"_x{i}"))
+        if not is_numeric_type(dt):
+            s = value_text(col(c), dt)
+            head = left_strip(s)
+            proj += [s.alias(f"_s{i}"), looks_numeric(s).alias(f"_n{i}"), looks_boolean(s).alias(f"_y{i}"),
+                     head.startswith("{").alias(f"_br{i}"), head.startswith("[").alias(f"_sq{i}"),
+                     s.contains(",").alias(f"_cm{i}")]
+    parsed = sample.select(*proj)
+    parsed = parsed.select("*", *[F.pmod(F.xxhash64(f"_x{i}"), F.lit(64 * _BUCKET_WORDS)).alias(f"_b{i}")
+                                  for i in range(len(cols))])
 
     aggs = []
     for i, c in enumerate(cols):
-        dt = schema[c]
-        if is_numeric_type(dt):
-            aggs += [F.count(try_number(col(c), dt)).alias(f"nn{i}"),
-                     F.count(try_number(col(c), dt)).alias(f"num{i}"),
+        if is_numeric_type(schema[c]):
+            aggs += [F.count(f"_x{i}").alias(f"nn{i}"), F.count(f"_x{i}").alias(f"num{i}"),
                      F.lit(0).alias(f"yn{i}"), F.lit(0.0).alias(f"br{i}"),
                      F.lit(0.0).alias(f"sq{i}"), F.lit(0.0).alias(f"cm{i}")]
         else:
-            s = value_text(col(c), dt)
-            head = left_strip(s)
-            aggs += [F.count(s).alias(f"nn{i}"),
-                     F.count_if(looks_numeric(s)).alias(f"num{i}"),
-                     F.count_if(looks_boolean(s)).alias(f"yn{i}"),
-                     F.avg(head.startswith("{").cast("double")).alias(f"br{i}"),
-                     F.avg(head.startswith("[").cast("double")).alias(f"sq{i}"),
-                     F.avg(s.contains(",").cast("double")).alias(f"cm{i}")]
-        aggs.append(F.approx_count_distinct(try_number(col(c), dt)).alias(f"hll{i}"))
-    stats = sample.agg(*aggs).first()
+            aggs += [F.count(f"_s{i}").alias(f"nn{i}"),
+                     F.count_if(F.col(f"_n{i}")).alias(f"num{i}"),
+                     F.count_if(F.col(f"_y{i}")).alias(f"yn{i}"),
+                     F.avg(F.col(f"_br{i}").cast("double")).alias(f"br{i}"),
+                     F.avg(F.col(f"_sq{i}").cast("double")).alias(f"sq{i}"),
+                     F.avg(F.col(f"_cm{i}").cast("double")).alias(f"cm{i}")]
+        aggs += _bucket_bitmaps(F.col(f"_x{i}"), F.col(f"_b{i}"), f"bm{i}_")
+    stats = parsed.agg(*aggs).first()
 
     numeric_cols = [c for i, c in enumerate(cols) if stats[f"num{i}"] == stats[f"nn{i}"]]
-    # Distinct counts only matter near the threshold. On a bounded sample they
-    # are counted exactly; on a whole table columns whose HyperLogLog estimate
-    # is far above the threshold skip the exact pass.
-    margin = max(2 * numeric_categorical_threshold, numeric_categorical_threshold + 50)
+    # Distinct counts only matter up to the threshold. The hash-bucket bitmaps
+    # give a guaranteed lower bound (occupied buckets <= distinct values); a
+    # column whose bound already exceeds the threshold needs no exact count,
+    # the others (low cardinality in practice) are counted exactly.
     idx = {c: i for i, c in enumerate(cols)}
-    if sample_rows is None:
-        exact_cols = [c for c in numeric_cols if stats[f"hll{idx[c]}"] <= margin]
-    else:
-        exact_cols = numeric_cols
+    lower = {c: _occupied(stats, f"bm{idx[c]}_") for c in numeric_cols}
+    exact_cols = [c for c in numeric_cols if lower[c] <= numeric_categorical_threshold]
     distinct = _exact_distinct(sample, exact_cols)
+    if sample_rows is not None:
+        sample.unpersist()
 
     rows = []
     for i, c in enumerate(cols):
         hint = None
         if c in numeric_cols:
-            n_distinct = distinct.get(c, stats[f"hll{i}"])
+            n_distinct = distinct.get(c, lower[c])
             kind = C.NUMERIC_CATEGORICAL if n_distinct <= numeric_categorical_threshold else C.NUMERIC
         elif stats[f"yn{i}"] == stats[f"nn{i}"]:
             kind = C.BOOLEAN

@@ -4,8 +4,8 @@ columns at once.
 Values are first reduced to ``(column, value, count)`` — a partial aggregate,
 so a value that fills a third of the table is still one row. Then, per column:
 
-* if the column has at most ``distinct_limit`` distinct values (checked with a
-  HyperLogLog estimate), Spark's ``percentile`` with a frequency argument runs
+* if the column has at most ``distinct_limit`` distinct values (bounded by the
+  row count, else checked with a HyperLogLog estimate), Spark's ``percentile`` with a frequency argument runs
   over the counts; its buffer holds one entry per distinct value;
 * otherwise the counts are range-sorted across the cluster and the order
   statistics are looked up by cumulative count (``ordinal.weighted_rank_lookup``),
@@ -89,7 +89,14 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     if not cols:
         spark = df.sparkSession
         return spark.createDataFrame([], "column string, prob double, value double")
-    est = dict(distinct_hint) if distinct_hint else distinct_estimates(df, cols)
+    if distinct_hint:
+        est = dict(distinct_hint)
+    elif df.count() <= distinct_limit:
+        # The row count bounds every column's distinct count (parquet row
+        # counts come from metadata when no column is read).
+        est = {c: 0 for c in cols}
+    else:
+        est = distinct_estimates(df, cols)
     small = [c for c in cols if est.get(c, distinct_limit + 1) <= distinct_limit]
     large = [c for c in cols if c not in small]
     parts = []

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tablewright.config import NA_TOKENS
 from tablewright.functions.names import col
 from tablewright.operators.ordinal import positions
+from tablewright.sources.tables import spread
 
 
 def null_na_tokens(df: DataFrame, columns=None) -> DataFrame:
@@ -35,7 +36,9 @@ def read_raw_csv(spark: SparkSession, path: str, row_id: str | None = "row_id",
           .option("mode", "PERMISSIVE").csv(path))
     df = null_na_tokens(df, df.columns)
     if row_id is None:
-        return df
+        # A multi-line CSV file is read by one task; spread it for the work
+        # downstream (no-op when there are more files than task slots).
+        return spread(df)
     tagged = (df.withColumn("_file", F.input_file_name())
               .withColumn("_seq", F.monotonically_increasing_id()))
     return positions(tagged, ["_file", "_seq"], (), row_id).drop("_file", "_seq")

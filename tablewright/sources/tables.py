@@ -8,5 +8,15 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an input that arrives in fewer partitions than there are
+    task slots (one row group, one gzip file). A large input on a cluster has
+    far more partitions than slots and is returned unchanged."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
