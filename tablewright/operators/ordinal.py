@@ -1,9 +1,10 @@
 """Positions in a global order, computed without a single-task window.
 
 ``row_number() over (order by k)`` (no partition) moves every row into one
-task. Here the rows are range-partitioned and sorted instead, pinned with a
-reliable checkpoint (so partition boundaries stay fixed if a task is re-run),
-and a position is ``rows in earlier partitions + index within partition``.
+task. Here the rows are range-partitioned and sorted instead, tagged with
+(partition, index) and written to the shared checkpoint folder (so the tags
+stay fixed if a task is re-run), and a position is ``rows in earlier
+partitions + index within partition``.
 Only a table with one row per (partition, group) ever goes to one task.
 
 Used for row ids (no group), dictionary codes (group = column name) and exact
@@ -17,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.session import checkpoint_dir
+from tablewright.session import materialize
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | index
 
@@ -27,18 +28,17 @@ def _partitions(df: DataFrame) -> int:
 
 
 def pin_sorted(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Range-partition and sort by ``keys``, then checkpoint to the shared
-    checkpoint folder, so partition ids and in-partition order are stable."""
-    checkpoint_dir(df.sparkSession)
+    """Range-partition and sort by ``keys``, tag every row with its sorted
+    partition and index (``_pid``, ``_local``) and write the result as a table
+    in the shared checkpoint folder. The tags travel with the rows, so they
+    do not depend on how the table is read back, and a retried task cannot
+    change them."""
     n = partitions or _partitions(df)
-    ordered = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    return ordered.checkpoint(eager=True)
-
-
-def _tag(pinned: DataFrame) -> DataFrame:
     mid = F.monotonically_increasing_id()
-    return (pinned.withColumn("_mid", mid)
-            .withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
+    ordered = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+               .withColumn("_mid", mid))
+    pinned = materialize(ordered, "sorted")
+    return (pinned.withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
             .withColumn("_local", F.col("_mid") - F.shiftleft("_pid", _LOCAL_BITS))
             .drop("_mid"))
 
@@ -60,7 +60,7 @@ def positions(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str
     column-name column); ``order_cols`` should be unique within a group so
     that positions are deterministic."""
     keys = [*group_cols, *order_cols]
-    tagged = _tag(pin_sorted(df, keys))
+    tagged = pin_sorted(df, keys)
     chunks = _chunk_offsets(tagged, group_cols, F.lit(1)).select("_pid", *group_cols, "_before", "_first")
     # chunks has at most partitions + groups rows (a proven bound): computed
     # once, then broadcast as a local table so later uses of the result do
@@ -89,7 +89,7 @@ def weighted_rank_lookup(counts: DataFrame, group_col: str, value_col: str, weig
     ``(group_col, target)`` table. Only the partitions that contain a target
     are scanned row by row.
     """
-    tagged = _tag(pin_sorted(counts, [group_col, value_col]))
+    tagged = pin_sorted(counts, [group_col, value_col])
     chunks = _chunk_offsets(tagged, [group_col], F.col(weight_col))
     totals = chunks.groupBy(group_col).agg(F.sum("_w").alias("total"))
     targets = make_targets(totals)

@@ -2,8 +2,8 @@
 move list-valued columns to side tables.
 
 Spark jobs, in order: one null-count aggregate; one typing aggregate over the
-type sample; exact medians; one (column, value) count aggregate (checkpointed,
-it feeds modes, summaries and the dictionary); the dictionary numbering. The
+type sample; exact medians; one (column, value) count aggregate (written to
+the checkpoint folder, it feeds modes, summaries and the dictionary); the dictionary numbering. The
 main table itself is a single projection over the input (plus a join only for
 dictionaries too large to inline).
 """
@@ -23,6 +23,7 @@ from tablewright.operators import categories as cat
 from tablewright.operators.lists import explode_list
 from tablewright.operators.profile import detect_types, kept_columns, null_profile
 from tablewright.operators.quantiles import exact_quantiles
+from tablewright.session import materialize
 
 
 @dataclass
@@ -111,14 +112,14 @@ def clean(df: DataFrame, id_col: str = "row_id", cfg: PrepConfig = PrepConfig())
 
     spark = df.sparkSession
     if category:
-        counts = cat.value_counts(df, category).checkpoint(eager=True)
+        counts = materialize(cat.value_counts(df, category), "value-counts")
     else:
         counts = spark.createDataFrame([], "column string, value string, count long")
     mode, sizes = cat.category_stats(counts)
     category_fill = {c: mode.get(c, "") for c in category}
     dictionary = cat.label_dictionary(counts, cfg.single_task_distinct_limit, sizes=sizes)
     if category:
-        dictionary = dictionary.checkpoint(eager=True)
+        dictionary = materialize(dictionary, "dictionary")
 
     main = df.select(col(id_col), *[col(c) for c in type_of if c not in listy])
     main = impute(main, {c: med.get(c, 0.0) for c in numeric}, category_fill)

@@ -21,6 +21,7 @@ LOCAL_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }
 
 
@@ -58,3 +59,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/tablewright-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: cuts the lineage (a lost executor re-reads the table instead of
+    recomputing the plan) and stores columnar, compressed data."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
