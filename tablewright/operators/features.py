@@ -142,3 +142,37 @@ def pca_project(scaled: DataFrame, cols: Sequence[str], loadings: np.ndarray,
             expr = term if expr is None else expr + term
         out.append(expr.alias(f"PC{j + 1}"))
     return scaled.select(*out)
+
+
+# --- persisted parameters ----------------------------------------------------
+
+def loadings_table(spark, cols: Sequence[str], loadings: np.ndarray) -> DataFrame:
+    """``(component, column, loading)``: the fitted PCA as a table."""
+    rows = [(f"PC{j + 1}", c, float(loadings[i, j])) for j in range(loadings.shape[1])
+            for i, c in enumerate(cols)]
+    return spark.createDataFrame(rows, "component string, column string, loading double")
+
+
+def loadings_from(table: DataFrame) -> tuple[list[str], np.ndarray]:
+    """Inverse of :func:`loadings_table` (a p×k table, collected)."""
+    rows = table.collect()
+    cols = list(dict.fromkeys(r["column"] for r in rows))
+    comps = sorted({r["component"] for r in rows}, key=lambda s: int(s[2:]))
+    out = np.zeros((len(cols), len(comps)))
+    for r in rows:
+        out[cols.index(r["column"]), comps.index(r["component"])] = r["loading"]
+    return cols, out
+
+
+def scaler_from(table: DataFrame) -> dict[str, tuple[float, float]]:
+    """Scaler parameters ``{column: (mean, std)}`` from a written scaler table."""
+    return {r["column"]: (r["mean"], r["std"]) for r in table.collect()}
+
+
+def categories_from(table: DataFrame, dictionary: DataFrame) -> dict[str, list[tuple[int, str]]]:
+    """One-hot categories ``{column: [(code, value)]}`` from the written
+    mappings and dictionary tables (bounded by ``ohe_max_cardinality``)."""
+    cols = [r["column"] for r in table.select("column").collect()]
+    rows = dictionary.where(F.col("column").isin(cols)).collect()
+    return {c: sorted([(r["code"], r["value"]) for r in rows if r["column"] == c], key=lambda x: x[1])
+            for c in cols}

@@ -520,5 +520,25 @@ FROM (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS rid FROM orders) GRO
 SQL["csv_roundtrip"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
 
 
+# --- text-heavy tables, array lists, streaming load --------------------------
+
+TYPE_COLUMNS.update({
+    "documents": [("doc_id", "num"), ("text", "text"), ("lang", "text"), ("source", "text"), ("n_chars", "num")],
+    "pages": [("page_id", "num"), ("url", "text"), ("html", "text")],
+    "conversations": [("conv_id", "num"), ("turn", "num"), ("role", "text"), ("text", "text")],
+    "labels": [("doc_id", "num"), ("quality", "num"), ("toxic", "num")],
+    "embeddings": [("vec_id", "num"), ("embedding", "text"), ("label", "num")],
+    "benchmark": [("item_id", "num"), ("text", "text")],
+})
+SQL["column_types_text"] = _types(["documents", "pages", "conversations", "labels", "embeddings", "benchmark"])
+
+SQL["explode_array_list"] = """
+SELECT vec_id AS row_id, e AS value
+FROM (SELECT vec_id, unnest(embedding) AS e FROM embeddings) WHERE e IS NOT NULL
+"""
+
+SQL["streamed_messages"] = SQL["json_messages"]
+
+
 # ``column`` is a reserved word in DuckDB: quote it as an identifier.
 SQL = {k: re.sub(r"(?<!['\"\w])column(?![\"'\w])", '"column"', v) for k, v in SQL.items()}

@@ -401,3 +401,39 @@ def q_csv_roundtrip(spark, folder):
     back = read_raw_csv(spark, path, row_id=None)
     return back.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source",
                        F.col("n_chars").cast("long").alias("n_chars"))
+
+
+# --- text-heavy tables, array lists, streaming load --------------------------
+
+TEXT_TABLES = ("documents", "pages", "conversations", "labels", "embeddings", "benchmark")
+
+
+@query("column_types_text")
+def q_column_types_text(spark, folder):
+    parts = [detect_types(table(spark, folder, name), sample_rows=None).withColumn("table_name", F.lit(name))
+             for name in TEXT_TABLES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("explode_array_list")
+def q_explode_array_list(spark, folder):
+    e = table(spark, folder, "embeddings")
+    side = L.explode_list(e, "embedding", C.HINT_JSON, "vec_id")
+    # Element text round-trips to the same FLOAT exactly.
+    return side.select("row_id", F.col("value").cast("float").alias("value"))
+
+
+@query("streamed_messages")
+def q_streamed_messages(spark, folder):
+    from tablewright.streaming.messages import stream_messages
+    src = scratch_path(spark, "orders-stream-src")
+    out = scratch_path(spark, "orders-stream-out")
+    rows = _orders_for_messages(spark, folder)
+    rows.write.parquet(src)
+    q = stream_messages(spark, src, rows.schema, fmt="json", path=out,
+                        checkpoint=scratch_path(spark, "orders-stream-ckpt"), max_files_per_trigger=4)
+    q.awaitTermination()
+    return spark.read.schema("value string").json(out)

@@ -211,6 +211,8 @@ def run_all(df: DataFrame, out: str, id_col: str = "row_id", cfg: PrepConfig = P
     if pr.pca is not None:
         write_table(pr.pca, f"{out}/pca")
         write_metadata(pr.pca_variance, f"{out}/meta/pca_explained_variance")
+        numeric = [r["column"] for r in pr.scaler.select("column").collect()]
+        write_metadata(FT.loadings_table(df.sparkSession, numeric, pr.loadings), f"{out}/meta/pca_loadings")
 
     features = df.sparkSession.read.parquet(f"{out}/preprocessed")
     if sink_format == "kafka":
@@ -218,3 +220,26 @@ def run_all(df: DataFrame, out: str, id_col: str = "row_id", cfg: PrepConfig = P
     else:
         write_messages(features, sink_format, f"{out}/messages")
     return {"clean": cl, "eda": ed, "prepared": pr}
+
+
+def apply_saved(df: DataFrame, out: str, id_col: str = "row_id") -> tuple[DataFrame, DataFrame | None]:
+    """Re-apply the parameters :func:`run_all` wrote under ``out`` to a new
+    cleaned table (same columns): standardise, one-hot, keep label codes, and
+    project on the saved PCA loadings. Returns ``(features, pca)``."""
+    spark = df.sparkSession
+    out = out.rstrip("/")
+    routes = spark.read.json(f"{out}/meta/routes").orderBy("position").collect()
+    params = FT.scaler_from(spark.read.json(f"{out}/meta/scaler"))
+    cats = FT.categories_from(spark.read.json(f"{out}/meta/ohe_mappings"), spark.read.json(f"{out}/meta/encodings"))
+    numeric = [r["column"] for r in routes if r["route"] == "numeric"]
+    ohe = [r["column"] for r in routes if r["route"] == "one_hot"]
+    label = [r["column"] for r in routes if r["route"] == "label"]
+    scaled = FT.standardize(df, params)
+    features = scaled.select(col(id_col), *[col(c) for c in numeric],
+                             *[e for c in ohe for e in FT.indicator_columns(c, cats.get(c, []))],
+                             *[col(c) for c in label])
+    pca = None
+    if numeric:
+        cols, load = FT.loadings_from(spark.read.json(f"{out}/meta/pca_loadings"))
+        pca = FT.pca_project(scaled, cols, load, keep=[id_col])
+    return features, pca

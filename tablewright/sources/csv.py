@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from tablewright.config import NA_TOKENS
 from tablewright.functions.names import col
-from tablewright.operators.ordinal import positions
 from tablewright.sources.tables import spread
 
 
@@ -39,9 +38,29 @@ def read_raw_csv(spark: SparkSession, path: str, row_id: str | None = "row_id",
         # A multi-line CSV file is read by one task; spread it for the work
         # downstream (no-op when there are more files than task slots).
         return spread(df)
+    return file_order_ids(df, row_id)
+
+
+def file_order_ids(df: DataFrame, out: str = "row_id") -> DataFrame:
+    """Dense ids in file order (files by path, rows by position) without
+    sorting the data: a multi-line CSV file is never split, so each file sits
+    in one partition in file order. One aggregate gives, per (partition,
+    file), the row count and the first in-partition index; ordering that
+    small table by path gives every file's offset. A file scan produces the
+    same partitions when re-run, so the tags are stable."""
+    spark = df.sparkSession
     tagged = (df.withColumn("_file", F.input_file_name())
               .withColumn("_seq", F.monotonically_increasing_id()))
-    return positions(tagged, ["_file", "_seq"], (), row_id).drop("_file", "_seq")
+    chunks = (tagged.groupBy("_file").agg(F.count("*").alias("_n"), F.min("_seq").alias("_first"))
+              .collect())  # one row per file: bounded by the file listing
+    rows, offset = [], 0
+    for r in sorted(chunks, key=lambda r: r["_file"]):
+        rows.append((r["_file"], offset, r["_first"]))
+        offset += r["_n"]
+    offsets = spark.createDataFrame(rows, "_file string, _offset long, _first long")
+    return (tagged.join(F.broadcast(offsets), "_file")
+            .withColumn(out, F.col("_offset") + F.col("_seq") - F.col("_first"))
+            .drop("_file", "_seq", "_offset", "_first"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

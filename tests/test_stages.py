@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from tablewright.config import PrepConfig
 from tablewright.plans.clean import clean
-from tablewright.plans.stages import eda, preprocess, run_all
+from tablewright.plans.stages import apply_saved, eda, preprocess, run_all
 
 
 def messy(spark):
@@ -50,8 +50,14 @@ def test_eda_and_preprocess(spark):
     assert p.pca_variance is not None and p.pca_variance.count() == 1
 
 
-def test_run_all_writes_outputs(spark, tmp_dir):
-    run_all(messy(spark), tmp_dir, "row_id", PrepConfig(type_sample_rows=None))
+def test_run_all_writes_outputs_and_reapplies(spark, tmp_dir):
+    res = run_all(messy(spark), tmp_dir, "row_id", PrepConfig(type_sample_rows=None))
     assert spark.read.parquet(f"{tmp_dir}/preprocessed").count() == 60
     assert spark.read.text(f"{tmp_dir}/messages").count() == 60
     assert spark.read.json(f"{tmp_dir}/meta/encodings").count() > 0
+    features, pca = apply_saved(res["clean"].table, tmp_dir)
+    saved = spark.read.parquet(f"{tmp_dir}/preprocessed")
+    assert sorted(map(tuple, features.collect())) == sorted(map(tuple, saved.select(*features.columns).collect()))
+    first = sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/pca").collect()))
+    again = sorted(map(tuple, pca.collect()))
+    assert all(abs(a[1] - b[1]) < 1e-9 and a[0] == b[0] for a, b in zip(first, again))
