@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright import config as C
@@ -197,13 +197,18 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = C.HISTOGRAM_BINS)
 
 
 def kde(df: DataFrame, cols: Sequence[str], points: int = C.KDE_POINTS,
-        bandwidth: float = C.KDE_BANDWIDTH) -> DataFrame:
+        bandwidth: float = C.KDE_BANDWIDTH, max_distinct: int | None = None,
+        grid: int = 65_536) -> DataFrame:
     """``(column, point, x, density)``: Gaussian kernel density with
     bandwidth ``bandwidth · sample std`` at ``points`` equally spaced points
     from min to max. Columns with zero variance get no curve.
 
     Equal values are grouped first, so the kernel sum costs one term per
-    distinct value and grid point; the grid sums are partial aggregates."""
+    distinct value and grid point; the grid sums are partial aggregates.
+    With ``max_distinct`` set, values are snapped to the centres of ``grid``
+    equal bins first (every row still counts), which bounds the work at
+    ``grid × points`` terms per column; this is an approximation, off by at
+    most half a bin width in each value."""
     spark = df.sparkSession
     ranges = _ranges(df, cols)
     params = []
@@ -216,8 +221,17 @@ def kde(df: DataFrame, cols: Sequence[str], points: int = C.KDE_POINTS,
     p = _param_table(spark, params, "column string, lo double, hi double, n long, h double")
     step = (F.col("hi") - F.col("lo")) / F.lit(float(points - 1))
     grid_x = F.when(F.col("point") == points - 1, F.col("hi")).otherwise(F.col("lo") + F.col("point") * step)
-    counts = numeric_long(df, [c for c, *_ in params]).groupBy("column", "value").agg(
-        F.count("*").alias("cnt"))
+    long = numeric_long(df, [c for c, *_ in params])
+    # Row count bounds the distinct count: only columns with more rows than
+    # max_distinct are snapped.
+    big = [c for c, _, _, n, _ in params if max_distinct is not None and n > max_distinct]
+    if big:
+        width = (F.col("hi") - F.col("lo")) / F.lit(float(grid))
+        cell = F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(grid - 1))
+        snapped = F.when(F.col("column").isin(big), F.col("lo") + (cell + 0.5) * width).otherwise(F.col("value"))
+        long = (long.join(p.select("column", "lo", "hi"), "column")
+                .select("column", snapped.alias("value")))
+    counts = long.groupBy("column", "value").agg(F.count("*").alias("cnt"))
     terms = (counts.join(p, "column")
              .select("column", "value", "cnt", "h", "lo", "hi", "n",
                      F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
@@ -252,10 +266,28 @@ def pearson(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return v.agg(F.array(*cells).alias("_s")).select(F.inline("_s"))
 
 
-def head(df: DataFrame, order_cols: Sequence[str], n: int) -> DataFrame:
-    """First ``n`` rows in ``order_cols`` order (top-k per partition, then a
-    bounded merge)."""
-    return df.orderBy(*[col(c) for c in order_cols]).limit(n)
+def head(df: DataFrame, order_cols: Sequence[str], n: int, dense_id: bool = False,
+         fan_in: int = 1000) -> DataFrame:
+    """First ``n`` rows in ``order_cols`` order.
+
+    * ``dense_id``: ``order_cols`` is one dense 0-based row id (as made by
+      ``assign_row_id`` / ``read_raw_csv``), so the head is a filter that is
+      pushed into the scan;
+    * otherwise a top-k. With many input partitions it runs in two rounds
+      (top ``n`` per group of partitions, then the final merge) so that no
+      task merges more than ``fan_in * n`` rows."""
+    if dense_id and len(order_cols) == 1:
+        return df.where(col(order_cols[0]) < F.lit(n))
+    order = [col(c) for c in order_cols]
+    parts = df.rdd.getNumPartitions()
+    if parts <= fan_in:
+        return df.orderBy(*order).limit(n)
+    groups = max(1, parts // fan_in)
+    w = Window.partitionBy("_g").orderBy(*order)
+    first = (df.withColumn("_g", F.pmod(F.spark_partition_id(), F.lit(groups)))
+             .withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n)
+             .drop("_g", "_r"))
+    return first.orderBy(*order).limit(n)
 
 
 def scatter_points(sample: DataFrame, cols: Sequence[str], id_col: str) -> DataFrame:

@@ -54,13 +54,15 @@ def drop_sparse(df: DataFrame, threshold: float = C.NULL_THRESHOLD,
     return df.select(*[col(c) for c in df.columns if c in kept or c in keep])
 
 
-def type_sample(df: DataFrame, order_cols: Sequence[str] | None, rows: int | None) -> DataFrame:
+def type_sample(df: DataFrame, order_cols: Sequence[str] | None, rows: int | None,
+                dense_id: bool = False) -> DataFrame:
     """The rows types are detected on: the first ``rows`` rows in
-    ``order_cols`` order (a bounded top-k per partition), or everything."""
+    ``order_cols`` order, or everything (see ``numeric.head``)."""
     if rows is None:
         return df
     if order_cols:
-        return df.orderBy(*[col(c) for c in order_cols]).limit(rows)
+        from tablewright.operators.numeric import head
+        return head(df, order_cols, rows, dense_id)
     return df.limit(rows)
 
 
@@ -103,7 +105,7 @@ def detect_types(df: DataFrame, columns: Sequence[str] | None = None,
                  sample_rows: int | None = C.TYPE_SAMPLE_ROWS,
                  no_list: Sequence[str] = (),
                  numeric_categorical_threshold: int = C.NUMERIC_CATEGORICAL_THRESHOLD,
-                 ) -> DataFrame:
+                 dense_id: bool = False) -> DataFrame:
     """``(column, position, type, hint)`` for each column.
 
     First matching rule on the non-null values: all number-like -> numeric
@@ -117,7 +119,7 @@ def detect_types(df: DataFrame, columns: Sequence[str] | None = None,
     cols = list(columns) if columns is not None else list(df.columns)
     schema = {f.name: f.dataType for f in df.schema.fields}
     sample = type_sample(df.select(*[col(c) for c in dict.fromkeys([*cols, *(order_cols or [])])]),
-                         order_cols, sample_rows)
+                         order_cols, sample_rows, dense_id)
     if sample_rows is not None:
         # At most ``sample_rows`` rows, read by up to two aggregates: keep them.
         sample = sample.cache()

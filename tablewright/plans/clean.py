@@ -85,14 +85,17 @@ def impute(df: DataFrame, numeric_fill: dict, category_fill: dict) -> DataFrame:
 
 
 def clean(df: DataFrame, id_col: str = "row_id", cfg: PrepConfig = PrepConfig()) -> Cleaned:
-    """Run the clean stage on ``df``, which must carry a unique ``id_col``
-    (see :func:`tablewright.operators.ordinal.assign_row_id`)."""
+    """Run the clean stage on ``df``, which must carry a unique ``id_col``;
+    with ``cfg.dense_row_id`` (default) it is a dense 0-based row id as made
+    by :func:`tablewright.operators.ordinal.assign_row_id` or
+    :func:`tablewright.sources.csv.read_raw_csv`."""
     data_cols = [c for c in df.columns if c != id_col]
     profile = null_profile(df, cfg.null_threshold, data_cols)
     kept = kept_columns(profile)
     types = detect_types(df, kept, order_cols=[id_col], sample_rows=cfg.type_sample_rows,
                          no_list=cfg.no_list,
-                         numeric_categorical_threshold=cfg.numeric_categorical_threshold)
+                         numeric_categorical_threshold=cfg.numeric_categorical_threshold,
+                         dense_id=cfg.dense_row_id)
     trows = types.collect()
     type_of = {r["column"]: r["type"] for r in sorted(trows, key=lambda r: r["position"])}
     hints = {r["column"]: r["hint"] for r in trows if r["hint"]}

@@ -34,7 +34,8 @@ def column_report(spark: SparkSession, folder: str, cfg: PrepConfig = PrepConfig
     kept = [r["column"] for r in profile.where(~F.col("dropped")).select("column").collect()]
     types = detect_types(g, kept, order_cols=["row_id"], sample_rows=cfg.type_sample_rows,
                          no_list=cfg.no_list,
-                         numeric_categorical_threshold=cfg.numeric_categorical_threshold)
+                         numeric_categorical_threshold=cfg.numeric_categorical_threshold,
+                         dense_id=True)
     return (profile.join(F.broadcast(types.drop("position")), "column", "left")
             .select("column", "position", "null_count", "row_count", "null_ratio", "dropped", "type", "hint")
             .orderBy("position"))
@@ -101,9 +102,11 @@ def eda(cleaned: Cleaned, cfg: PrepConfig = PrepConfig(), pearson_rows: int | No
     plot, mins = N.plot_values(t, numeric, cfg.skew_log_threshold)
     pearson = scatter = None
     if len(numeric) >= 2:
-        sample = t if pearson_rows is None else N.head(t, [cleaned.id_col], pearson_rows)
+        dense = cfg.dense_row_id
+        sample = t if pearson_rows is None else N.head(t, [cleaned.id_col], pearson_rows, dense)
         pearson = N.pearson(sample, numeric)
-        scatter = N.scatter_points(N.head(t, [cleaned.id_col], cfg.scatter_sample_rows), numeric, cleaned.id_col)
+        scatter = N.scatter_points(N.head(t, [cleaned.id_col], cfg.scatter_sample_rows, dense),
+                                   numeric, cleaned.id_col)
 
     lists = {}
     for c, side in cleaned.side_tables.items():
@@ -117,7 +120,7 @@ def eda(cleaned: Cleaned, cfg: PrepConfig = PrepConfig(), pearson_rows: int | No
     return Eda(summary=summary_stats(cleaned), top_categories=decoded,
                outliers=N.iqr_outliers(t, numeric), box=N.box_stats(plot, numeric),
                histogram=N.histogram(plot, numeric, cfg.histogram_bins),
-               kde=N.kde(plot, numeric, cfg.kde_points, cfg.kde_bandwidth),
+               kde=N.kde(plot, numeric, cfg.kde_points, cfg.kde_bandwidth, cfg.kde_max_distinct, cfg.kde_grid),
                pearson=pearson, scatter=scatter, lists=lists, log_transformed=mins)
 
 
