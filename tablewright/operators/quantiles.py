@@ -82,16 +82,18 @@ def _large_path(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     distinct_limit: int = 1_000_000,
-                    distinct_hint: Mapping[str, int] | None = None) -> DataFrame:
+                    distinct_hint: Mapping[str, int] | None = None,
+                    row_count: int | None = None) -> DataFrame:
     """``(column, prob, value)`` for each numeric column with at least one
-    value and each probability in ``probs``."""
+    value and each probability in ``probs``. ``row_count`` (if known) saves
+    the counting job."""
     cols = list(cols)
     if not cols:
         spark = df.sparkSession
         return spark.createDataFrame([], "column string, prob double, value double")
     if distinct_hint:
         est = dict(distinct_hint)
-    elif df.count() <= distinct_limit:
+    elif (row_count if row_count is not None else df.count()) <= distinct_limit:
         # The row count bounds every column's distinct count (parquet row
         # counts come from metadata when no column is read).
         est = {c: 0 for c in cols}

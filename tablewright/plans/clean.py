@@ -21,7 +21,7 @@ from tablewright.functions.names import col
 from tablewright.functions.text import is_numeric_type, try_number, value_text
 from tablewright.operators import categories as cat
 from tablewright.operators.lists import explode_list
-from tablewright.operators.profile import detect_types, kept_columns, null_profile
+from tablewright.operators.profile import detect_types, null_profile
 from tablewright.operators.quantiles import exact_quantiles
 from tablewright.session import materialize
 
@@ -43,10 +43,10 @@ class Cleaned:
         return [c for c, t in self.type_of.items() if t in kinds]
 
 
-def medians(df: DataFrame, cols, cfg: PrepConfig = PrepConfig()) -> DataFrame:
+def medians(df: DataFrame, cols, cfg: PrepConfig = PrepConfig(), row_count: int | None = None) -> DataFrame:
     """``(column, median)``: exact median of the numeric values; 0.0 for a
     column without values."""
-    q = exact_quantiles(df, cols, [0.5], cfg.single_task_distinct_limit)
+    q = exact_quantiles(df, cols, [0.5], cfg.single_task_distinct_limit, row_count=row_count)
     found = q.select("column", F.col("value").alias("median"))
     spark = df.sparkSession
     names = spark.createDataFrame([(c, i) for i, c in enumerate(cols)], "column string, _pos int")
@@ -91,7 +91,9 @@ def clean(df: DataFrame, id_col: str = "row_id", cfg: PrepConfig = PrepConfig())
     :func:`tablewright.sources.csv.read_raw_csv`."""
     data_cols = [c for c in df.columns if c != id_col]
     profile = null_profile(df, cfg.null_threshold, data_cols)
-    kept = kept_columns(profile)
+    prow = profile.select("column", "position", "row_count", "dropped").collect()  # one row per column
+    kept = [r["column"] for r in sorted(prow, key=lambda r: r["position"]) if not r["dropped"]]
+    n_rows = prow[0]["row_count"] if prow else 0
     types = detect_types(df, kept, order_cols=[id_col], sample_rows=cfg.type_sample_rows,
                          no_list=cfg.no_list,
                          numeric_categorical_threshold=cfg.numeric_categorical_threshold,
@@ -111,7 +113,8 @@ def clean(df: DataFrame, id_col: str = "row_id", cfg: PrepConfig = PrepConfig())
         if type_of[c] == C.NUMERIC_CATEGORICAL and not is_numeric_type(schema[c]):
             df = df.withColumn(c, try_number(col(c), schema[c]))
 
-    med = {r["column"]: r["median"] for r in medians(df, numeric, cfg).collect()} if numeric else {}
+    med = ({r["column"]: r["median"] for r in medians(df, numeric, cfg, n_rows).collect()}
+           if numeric else {})
 
     spark = df.sparkSession
     if category:

@@ -102,7 +102,7 @@ def q_coerce_numeric(spark, folder):
 
 @query("medians")
 def q_medians(spark, folder):
-    g = derived.lineitem_with_gaps(spark, folder)
+    g = derived.lineitem_with_gaps(spark, folder, with_row_id=False)
     return rounded(medians(g, ["l_orderkey", "l_quantity", "l_extendedprice", "l_tax"]))
 
 
