@@ -91,8 +91,8 @@ def top_categories(counts: DataFrame, n: int = C.TOP_N_CATEGORIES, salts: int |
     candidates = salted.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= n)
     w2 = Window.partitionBy("column").orderBy(*order)
     ranked = candidates.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= n)
-    sizes = counts.groupBy("column").agg(F.count("*").alias("_n"))
-    return (ranked.join(sizes, "column")
+    sizes = counts.groupBy("column").agg(F.count("*").alias("_n"))  # one row per column
+    return (ranked.join(F.broadcast(sizes), "column")
             .select("column", F.col("rank").cast("int").alias("rank"), "value",
                     F.col("count").cast("long").alias("count"),
                     (F.col("_n") > n).alias("more_exist")))

@@ -243,27 +243,33 @@ def kde(df: DataFrame, cols: Sequence[str], points: int = C.KDE_POINTS,
             .select("column", F.col("point").cast("int").alias("point"), "x", (F.col("_s") / norm).alias("density")))
 
 
-def pearson(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def pearson(df: DataFrame, cols: Sequence[str], pairs_per_pass: int = 256) -> DataFrame:
     """``(col_x, col_y, pearson)`` for every ordered pair, diagonal included.
     Each pair uses the rows where both values are present; a constant column
-    gives null. One aggregate computes all pairs."""
+    gives null. All pairs are aggregated in one pass (partial aggregation
+    map-side); very wide inputs are split into passes of
+    ``pairs_per_pass`` pairs so each aggregate stays a bounded code unit."""
     v, x = _typed(df, cols)
-    cells = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if j < i:
-                continue
+    pairs = [(a, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
+
+    def cells(chunk):
+        out = []
+        for a, b in chunk:
             both = x[a].isNotNull() & x[b].isNotNull()
             xa, xb = F.when(both, x[a]), F.when(both, x[b])
             sa, sb = F.stddev_pop(xa), F.stddev_pop(xb)
-            if i == j:
-                r = F.when(sa > 0, F.lit(1.0))
-            else:
-                r = F.try_divide(F.covar_pop(xa, xb), sa * sb)
-            cells.append(F.struct(F.lit(a).alias("col_x"), F.lit(b).alias("col_y"), r.alias("pearson")))
-            if i != j:
-                cells.append(F.struct(F.lit(b).alias("col_x"), F.lit(a).alias("col_y"), r.alias("pearson")))
-    return v.agg(F.array(*cells).alias("_s")).select(F.inline("_s"))
+            r = F.when(sa > 0, F.lit(1.0)) if a == b else F.try_divide(F.covar_pop(xa, xb), sa * sb)
+            out.append(F.struct(F.lit(a).alias("col_x"), F.lit(b).alias("col_y"), r.alias("pearson")))
+            if a != b:
+                out.append(F.struct(F.lit(b).alias("col_x"), F.lit(a).alias("col_y"), r.alias("pearson")))
+        return out
+
+    parts = [v.agg(F.array(*cells(pairs[k:k + pairs_per_pass])).alias("_s")).select(F.inline("_s"))
+             for k in range(0, len(pairs), pairs_per_pass)]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
 
 
 def head(df: DataFrame, order_cols: Sequence[str], n: int, dense_id: bool = False,

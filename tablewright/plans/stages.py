@@ -95,9 +95,12 @@ def eda(cleaned: Cleaned, cfg: PrepConfig = PrepConfig(), pearson_rows: int | No
 
     codes = cat.value_counts(t, category)
     top = cat.top_categories(codes, cfg.top_n_categories)
-    decoded = top.join(cleaned.dictionary.select("column", F.col("code").cast("string").alias("value"),
-                                                 F.col("value").alias("label")),
-                       ["column", "value"], "left")
+    # top holds at most top_n_categories rows per column: it is the side to
+    # broadcast; the dictionary is scanned once.
+    labels = cleaned.dictionary.select("column", F.col("code").cast("string").alias("value"),
+                                       F.col("value").alias("label"))
+    found = labels.join(F.broadcast(top.select("column", "value")), ["column", "value"])
+    decoded = F.broadcast(top).join(found, ["column", "value"], "left")
 
     plot, mins = N.plot_values(t, numeric, cfg.skew_log_threshold)
     pearson = scatter = None
