@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,11 +52,13 @@ def kafka_settings(servers: str = "localhost:9092", topic: str = "restaurants",
 
 def write_messages(df: DataFrame, fmt: str = "kafka", path: str | None = None,
                    servers: str = "localhost:9092", topic: str = "restaurants",
-                   batch_size: int = C.MESSAGE_BATCH_SIZE, extra: dict | None = None) -> None:
-    """Write ``to_messages(df)``. ``fmt="kafka"`` needs the Spark Kafka
-    connector on the classpath; any file format (``json``, ``text``,
-    ``parquet``) writes the messages to ``path`` instead."""
-    msgs = to_messages(df)
+                   batch_size: int = C.MESSAGE_BATCH_SIZE, extra: dict | None = None) -> int:
+    """Write ``to_messages(df)`` and return the number of messages sent
+    (counted during the write with an observation, no second pass).
+    ``fmt="kafka"`` needs the Spark Kafka connector on the classpath; any file
+    format (``json``, ``text``, ``parquet``) writes the messages to ``path``."""
+    sent = Observation("messages_sent")
+    msgs = to_messages(df).observe(sent, F.count(F.lit(1)).alias("sent"))
     w = msgs.write
     if fmt == "kafka":
         s = kafka_settings(servers, topic, batch_size)
@@ -66,8 +68,9 @@ def write_messages(df: DataFrame, fmt: str = "kafka", path: str | None = None,
         for k, v in (extra or {}).items():
             w = w.option(k, v)
         w.save()
-        return
-    w.mode("overwrite").format(fmt).save(path)
+    else:
+        w.mode("overwrite").format(fmt).save(path)
+    return int(sent.get["sent"])
 
 
 def message_batches(df: DataFrame, row_id: str, chunk_size: int = C.CHUNK_SIZE,

@@ -61,7 +61,7 @@ def test_messages_are_valid_json_with_nulls(spark):
 
 def test_write_messages_to_files(spark, tmp_dir):
     df = spark.range(10).withColumnRenamed("id", "x")
-    write_messages(df, "text", os.path.join(tmp_dir, "m"))
+    assert write_messages(df, "text", os.path.join(tmp_dir, "m")) == 10
     back = spark.read.text(os.path.join(tmp_dir, "m"))
     assert sorted(json.loads(r.value)["x"] for r in back.collect()) == list(range(10))
 
