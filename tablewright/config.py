@@ -58,6 +58,8 @@ SCATTER_SAMPLE_ROWS = 10_000
 OHE_MAX_CARDINALITY = 15
 PCA_MAX_COMPONENTS = 50
 MESSAGE_BATCH_SIZE = 500
+INLINE_DICTIONARY_LIMIT = 256
+BROADCAST_ROW_LIMIT = 1_000_000
 
 # Semantic column types.
 NUMERIC = "numeric"
@@ -101,10 +103,11 @@ class PrepConfig:
     # distributed rank path is used.
     single_task_distinct_limit: int = 1_000_000
     # Dictionaries up to this many rows are inlined as map literals instead
-    # of being joined.
-    inline_dictionary_limit: int = 10_000
+    # of being joined. Kept small: every entry is a literal in the plan (built
+    # and shipped by the driver); larger dictionaries take a broadcast join.
+    inline_dictionary_limit: int = INLINE_DICTIONARY_LIMIT
     # Row bound under which a lookup side may be broadcast.
-    broadcast_row_limit: int = 1_000_000
+    broadcast_row_limit: int = BROADCAST_ROW_LIMIT
     # The id column is a dense 0-based row id, so "first n rows" is a filter.
     dense_row_id: bool = True
     # Optional: above this many distinct values per column the density

@@ -65,6 +65,12 @@ def looks_boolean(text: Column) -> Column:
     return text.rlike(BOOLEAN_TEXT)
 
 
+def starts_with_after_space(text: Column, char: str) -> Column:
+    """True when the first non-whitespace character is ``char`` (an
+    anchored regular expression: no stripped copy of the text)."""
+    return text.rlike(rf"^{WS_CLASS}*\{char}")
+
+
 def try_number(c: Column, dtype: T.DataType) -> Column:
     """Value as DOUBLE: numeric types are cast, text is parsed only when it is
     number-shaped; anything else (and NaN) becomes null."""
@@ -74,9 +80,11 @@ def try_number(c: Column, dtype: T.DataType) -> Column:
         v = c.cast("double")
     else:
         s = c.cast("string")
-        # Stripped (a copy) only for the cells that are numbers.
-        v = F.when(looks_numeric(s), strip(s).try_cast("double"))
-    return F.when(~F.isnan(v), v)
+        # Spark's cast trims ASCII whitespace itself; the stripped copy is
+        # made only for number cells with other (Unicode) spaces around them.
+        v = F.when(looks_numeric(s), F.coalesce(s.try_cast("double"), strip(s).try_cast("double")))
+    # nanvl evaluates ``v`` once (a when(~isnan(v), v) would parse twice).
+    return F.nanvl(v, F.lit(None).cast("double"))
 
 
 def number_text(x: Column) -> Column:

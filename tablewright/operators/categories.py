@@ -151,7 +151,7 @@ def _lookup(df: DataFrame, cols: Sequence[str], dictionary: DataFrame, key: str,
 
 
 def label_encode(df: DataFrame, cols: Sequence[str], dictionary: DataFrame,
-                 inline_limit: int = 10_000, broadcast_limit: int = 1_000_000,
+                 inline_limit: int = C.INLINE_DICTIONARY_LIMIT, broadcast_limit: int = C.BROADCAST_ROW_LIMIT,
                  sizes: Mapping[str, int] | None = None) -> DataFrame:
     """Replace each column in ``cols`` by its code (INT; null when the value
     is not in the dictionary). Small dictionaries become map literals (no
@@ -162,7 +162,7 @@ def label_encode(df: DataFrame, cols: Sequence[str], dictionary: DataFrame,
 
 
 def label_decode(df: DataFrame, cols: Sequence[str], dictionary: DataFrame,
-                 inline_limit: int = 10_000, broadcast_limit: int = 1_000_000,
+                 inline_limit: int = C.INLINE_DICTIONARY_LIMIT, broadcast_limit: int = C.BROADCAST_ROW_LIMIT,
                  sizes: Mapping[str, int] | None = None) -> DataFrame:
     """Inverse of :func:`label_encode`: codes back to the original text."""
     return _lookup(df, cols, dictionary, "code", "value",

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from tablewright import config as C
 from tablewright.functions.names import col
-from tablewright.functions.text import (is_missing, is_numeric_type, left_strip, looks_boolean, looks_numeric,
-                                        try_number, value_text)
+from tablewright.functions.text import (is_missing, is_numeric_type, looks_boolean, looks_numeric,
+                                        starts_with_after_space, try_number, value_text)
 
 PROFILE_SCHEMA = ("column string, position int, null_count long, row_count long, "
                   "null_ratio double, dropped boolean")
@@ -124,38 +124,45 @@ def detect_types(df: DataFrame, columns: Sequence[str] | None = None,
         # At most ``sample_rows`` rows, read by up to two aggregates: keep them.
         sample = sample.cache()
 
-    # Parse every cell once in a projection; the aggregate then reads plain
-    # columns (an expression repeated inside aggregate branches would be
-    # evaluated once per use).
-    proj = []
+    # Every cell is parsed once into a flag struct; ``inline`` turns a row
+    # into one row per column and a narrow ``groupBy(position)`` aggregate
+    # (partial map-side, at most one row per column per partition) counts
+    # the flags. The aggregation buffer has a fixed width whatever the number
+    # of columns, so whole-stage codegen stays on (a single wide aggregate
+    # with several fields per column exceeds Spark's codegen field limit and
+    # runs interpreted).
+    no = F.lit(False)
+    cells = []
     for i, c in enumerate(cols):
         dt = schema[c]
-        proj.append(try_number(col(c), dt).alias(f"_x{i}"))
-        if not is_numeric_type(dt):
-            s = value_text(col(c), dt)
-            head = left_strip(s)
-            proj += [s.alias(f"_s{i}"), looks_numeric(s).alias(f"_n{i}"), looks_boolean(s).alias(f"_y{i}"),
-                     head.startswith("{").alias(f"_br{i}"), head.startswith("[").alias(f"_sq{i}"),
-                     s.contains(",").alias(f"_cm{i}")]
-    parsed = sample.select(*proj)
-    parsed = parsed.select("*", *[F.pmod(F.xxhash64(f"_x{i}"), F.lit(64 * _BUCKET_WORDS)).alias(f"_b{i}")
-                                  for i in range(len(cols))])
-
-    aggs = []
-    for i, c in enumerate(cols):
-        if is_numeric_type(schema[c]):
-            aggs += [F.count(f"_x{i}").alias(f"nn{i}"), F.count(f"_x{i}").alias(f"num{i}"),
-                     F.lit(0).alias(f"yn{i}"), F.lit(0.0).alias(f"br{i}"),
-                     F.lit(0.0).alias(f"sq{i}"), F.lit(0.0).alias(f"cm{i}")]
+        x = try_number(col(c), dt)
+        if is_numeric_type(dt):
+            present, flags = x.isNotNull(), [x.isNotNull(), no, no, no, no]
         else:
-            aggs += [F.count(f"_s{i}").alias(f"nn{i}"),
-                     F.count_if(F.col(f"_n{i}")).alias(f"num{i}"),
-                     F.count_if(F.col(f"_y{i}")).alias(f"yn{i}"),
-                     F.avg(F.col(f"_br{i}").cast("double")).alias(f"br{i}"),
-                     F.avg(F.col(f"_sq{i}").cast("double")).alias(f"sq{i}"),
-                     F.avg(F.col(f"_cm{i}").cast("double")).alias(f"cm{i}")]
-        aggs += _bucket_bitmaps(F.col(f"_x{i}"), F.col(f"_b{i}"), f"bm{i}_")
-    stats = parsed.agg(*aggs).first()
+            s = value_text(col(c), dt)
+            present = s.isNotNull()
+            flags = [looks_numeric(s), looks_boolean(s), starts_with_after_space(s, "{"),
+                     starts_with_after_space(s, "["), s.contains(",")]
+        names = ["num", "yn", "br", "sq", "cm"]
+        cells.append(F.struct(F.lit(i).alias("pos"), x.alias("x"), present.alias("nn"),
+                              *[f.alias(n) for f, n in zip(flags, names)]))
+    long = sample.select(F.inline(F.array(*cells)))
+    bucket = F.pmod(F.xxhash64("x"), F.lit(64 * _BUCKET_WORDS))
+    long = long.withColumn("b", bucket)
+    agg_rows = long.groupBy("pos").agg(
+        *[F.count_if(F.col(n) & F.col("nn")).alias(n) for n in ("nn", "num", "yn", "br", "sq", "cm")],
+        *_bucket_bitmaps(F.col("x"), F.col("b"), "bm")).collect()
+    by_pos = {r["pos"]: r for r in agg_rows}
+    stats = {}
+    empty = {n: 0 for n in ("nn", "num", "yn", "br", "sq", "cm")} | {f"bm{w}": 0 for w in range(_BUCKET_WORDS)}
+    for i in range(len(cols)):
+        r = by_pos.get(i, empty)  # no rows at all: every count is zero
+        nn = r["nn"]
+        stats.update({f"nn{i}": nn, f"num{i}": r["num"], f"yn{i}": r["yn"]})
+        for n in ("br", "sq", "cm"):
+            stats[f"{n}{i}"] = (r[n] / nn) if nn else 0.0
+        for w in range(_BUCKET_WORDS):
+            stats[f"bm{i}_{w}"] = r[f"bm{w}"]
 
     numeric_cols = [c for i, c in enumerate(cols) if stats[f"num{i}"] == stats[f"nn{i}"]]
     # Distinct counts only matter up to the threshold. The hash-bucket bitmaps
