@@ -542,3 +542,9 @@ SQL["streamed_messages"] = SQL["json_messages"]
 
 # ``column`` is a reserved word in DuckDB: quote it as an identifier.
 SQL = {k: re.sub(r"(?<!['\"\w])column(?![\"'\w])", '"column"', v) for k, v in SQL.items()}
+
+# Sinks and persisted parameters: a written table read back equals the query
+# it was written from.
+SQL["table_roundtrip"] = SQL["impute"]
+SQL["side_table_roundtrip"] = SQL["explode_json_list"]
+SQL["saved_features"] = SQL["preprocessed"]

@@ -28,6 +28,8 @@ from tablewright.plans import derived, stages
 from tablewright.plans.clean import clean, impute, medians
 from tablewright.session import scratch_path
 from tablewright.sinks.messages import message_batches, to_messages
+from tablewright.sinks.files import write_table
+from tablewright.sources.side_tables import read_side_table, write_side_table
 from tablewright.sources.csv import read_raw_csv, write_csv
 from tablewright.sources.tables import table
 
@@ -128,6 +130,15 @@ def q_impute(spark, folder):
     return rounded(impute(t, med, mode))
 
 
+@query("table_roundtrip")
+def q_table_roundtrip(spark, folder):
+    """The imputed table written as parquet partitioned by ``l_open`` and
+    read back."""
+    path = scratch_path(spark, "imputed")
+    write_table(q_impute(spark, folder), path, partition_by=["l_open"])
+    return spark.read.parquet(path).select("row_id", "l_quantity", "l_tax", "l_returnflag", "l_open")
+
+
 PART_CATEGORIES = ["p_brand", "p_type", "p_name", "p_size"]
 
 
@@ -192,6 +203,17 @@ def q_explode_json_list(spark, folder):
     return L.explode_list(p, "p_tags", C.HINT_JSON, "p_partkey")
 
 
+@query("side_table_roundtrip")
+def q_side_table_roundtrip(spark, folder):
+    """Exploded tag lists written as JSON Lines and read back, together with a
+    side table that was never written (reads as empty)."""
+    p = derived.part_with_tags(spark, folder)
+    path = scratch_path(spark, "part-tags")
+    write_side_table(L.explode_list(p, "p_tags", C.HINT_JSON, "p_partkey"), path)
+    missing = read_side_table(spark, scratch_path(spark, "never-written"))
+    return read_side_table(spark, path).unionByName(missing)
+
+
 @query("explode_dict")
 def q_explode_dict(spark, folder):
     e = table(spark, folder, "events")
@@ -328,6 +350,19 @@ def q_preprocessed(spark, folder):
     return rounded(stages.preprocess(_orders_clean(spark, folder), WHOLE).features)
 
 
+@query("saved_features")
+def q_saved_features(spark, folder):
+    """Fit on orders, persist every parameter (dictionary, routes, scaler,
+    one-hot mappings, PCA loadings), read them back and re-apply them to the
+    cleaned table: the same features as ``preprocessed``."""
+    cl = _orders_clean(spark, folder)
+    out = scratch_path(spark, "orders-params")
+    write_table(cl.dictionary, f"{out}/meta/encodings", fmt="json")
+    stages.save_params(stages.preprocess(cl, WHOLE), out)
+    features, _ = stages.apply_saved(cl.table, out)
+    return rounded(features)
+
+
 @query("one_hot")
 def q_one_hot(spark, folder):
     o = table(spark, folder, "orders")

@@ -193,7 +193,7 @@ def run_all(df: DataFrame, out: str, id_col: str = "row_id", cfg: PrepConfig = P
         write_table(side, f"{out}/lists/{c}", fmt="json")
     write_metadata(cl.types, f"{out}/meta/types")
     write_metadata(cl.fill_values, f"{out}/meta/fill_values")
-    write_metadata(cl.dictionary, f"{out}/meta/encodings")
+    write_table(cl.dictionary, f"{out}/meta/encodings", fmt="json")  # grows with the data
     write_metadata(cl.profile, f"{out}/meta/null_profile")
 
     ed = eda(cl, cfg)
@@ -211,14 +211,9 @@ def run_all(df: DataFrame, out: str, id_col: str = "row_id", cfg: PrepConfig = P
 
     pr = preprocess(cl, cfg, remove_outliers)
     write_table(pr.features, f"{out}/preprocessed")
-    write_metadata(pr.routes, f"{out}/meta/routes")
-    write_metadata(pr.scaler, f"{out}/meta/scaler")
-    write_metadata(pr.ohe_mappings, f"{out}/meta/ohe_mappings")
     if pr.pca is not None:
         write_table(pr.pca, f"{out}/pca")
-        write_metadata(pr.pca_variance, f"{out}/meta/pca_explained_variance")
-        numeric = [r["column"] for r in pr.scaler.select("column").collect()]
-        write_metadata(FT.loadings_table(df.sparkSession, numeric, pr.loadings), f"{out}/meta/pca_loadings")
+    save_params(pr, out)
 
     features = df.sparkSession.read.parquet(f"{out}/preprocessed")
     if sink_format == "kafka":
@@ -228,6 +223,21 @@ def run_all(df: DataFrame, out: str, id_col: str = "row_id", cfg: PrepConfig = P
     return {"clean": cl, "eda": ed, "prepared": pr}
 
 
+def save_params(pr: Prepared, out: str) -> None:
+    """Write the fitted preprocessing parameters under ``out/meta``: routes,
+    scaler, one-hot mappings, PCA variance and loadings (a few rows per
+    column each). The category dictionary is written by the clean stage."""
+    out = out.rstrip("/")
+    write_metadata(pr.routes, f"{out}/meta/routes")
+    write_metadata(pr.scaler, f"{out}/meta/scaler")
+    write_metadata(pr.ohe_mappings, f"{out}/meta/ohe_mappings")
+    if pr.pca is not None:
+        write_metadata(pr.pca_variance, f"{out}/meta/pca_explained_variance")
+        numeric = [r["column"] for r in pr.scaler.select("column").collect()]
+        spark = pr.routes.sparkSession
+        write_metadata(FT.loadings_table(spark, numeric, pr.loadings), f"{out}/meta/pca_loadings")
+
+
 def apply_saved(df: DataFrame, out: str, id_col: str = "row_id") -> tuple[DataFrame, DataFrame | None]:
     """Re-apply the parameters :func:`run_all` wrote under ``out`` to a new
     cleaned table (same columns): standardise, one-hot, keep label codes, and

@@ -16,6 +16,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=Non
 
 
 def write_metadata(df: DataFrame, path: str) -> None:
-    """Small per-column tables (types, fill values, dictionaries, statistics)
-    as JSON Lines, one file."""
+    """Small per-column tables (types, fill values, statistics: a few rows per
+    column) as JSON Lines, one file. Tables that grow with the data, such as
+    category dictionaries, go through :func:`write_table` instead: a
+    ``coalesce(1)`` would also pull the stage that produces them into one
+    task."""
     df.coalesce(1).write.mode("overwrite").json(path)
