@@ -85,3 +85,32 @@ def test_type_histogram(spark):
     df = spark.createDataFrame([(1, "a")], "x int, y string")
     h = {r["type"]: r["n_columns"] for r in type_histogram(detect_types(df, sample_rows=None)).collect()}
     assert h == {"numeric_categorical": 1, "categorical": 1}
+
+
+def test_number_text_coercion(spark):
+    from pyspark.sql import types as T
+
+    from tablewright.functions.text import try_number
+    vals = [" 3 ", "\t-2.5e1\n", " 7 ", "1d", "1f", "nan", "inf", ".5", "5.", "x1", None]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    got = [r["x"] for r in df.select(try_number(F.col("s"), T.StringType()).alias("x")).collect()]
+    assert got == [3.0, -25.0, 7.0, None, None, None, float("inf"), 0.5, 5.0, None, None]
+
+
+def test_types_on_empty_and_all_null_input(spark):
+    # No values at all: every rule sees zero non-null cells (numbers by
+    # default, no distinct values -> numeric_categorical), with or without rows.
+    empty = spark.createDataFrame([], "a string, b int")
+    assert types_of(empty) == {"a": ("numeric_categorical", None), "b": ("numeric_categorical", None)}
+    nulls = spark.createDataFrame([(None, None)] * 5, "a string, b double")
+    assert types_of(nulls) == {"a": ("numeric_categorical", None), "b": ("numeric_categorical", None)}
+
+
+def test_many_columns_and_wide_distinct_counts(spark):
+    # 40 columns in one typing pass; the bucket bound settles the wide ones
+    # (100 distinct numbers) and the exact pass the narrow ones (5 values).
+    cols = [f"c{i}" for i in range(40)]
+    rows = [tuple((r % 5) if i % 2 else r for i in range(40)) for r in range(100)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} int" for c in cols))
+    t = types_of(df)
+    assert all(t[c][0] == ("numeric_categorical" if i % 2 else "numeric") for i, c in enumerate(cols))
