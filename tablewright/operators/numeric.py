@@ -28,28 +28,42 @@ def _typed(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict]:
     return view, {c: F.col(f"_v{i}") for i, c in enumerate(cols)}
 
 
+def per_column(df: DataFrame, cols: Sequence[str], aggs) -> DataFrame:
+    """``(column, *aggs(value))``, one row per column of ``cols``.
+
+    The cells are unpivoted to ``(column, value)`` and grouped by column: the
+    aggregation buffer has a fixed width whatever the number of columns (a
+    one-row aggregate with several fields per column passes Spark's codegen
+    field limit on wide tables), and each partial aggregate holds one row per
+    column. A column without any row still gets its row (null aggregates)."""
+    schema = {f.name: f.dataType for f in df.schema.fields}
+    cells = [F.struct(F.lit(c).alias("column"), try_number(col(c), schema[c]).alias("value"))
+             for c in cols]
+    stats = df.select(F.inline(F.array(*cells))).groupBy("column").agg(*aggs(F.col("value")))
+    names = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(cols)], "column string, _pos int")
+    # names has one row per requested column: proven small.
+    return F.broadcast(names).join(stats, "column", "left").drop("_pos")
+
+
 def numeric_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(column, count, min, max, mean)``; mean is 0 for an empty column."""
-    v, x = _typed(df, cols)
-    cells = [F.struct(F.lit(c).alias("column"), F.count(x[c]).alias("count"),
-                      F.min(x[c]).alias("min"), F.max(x[c]).alias("max"),
-                      F.coalesce(F.avg(x[c]), F.lit(0.0)).alias("mean")) for c in cols]
-    return v.agg(F.array(*cells).alias("_s")).select(F.inline("_s"))
+    out = per_column(df, cols, lambda x: [F.count(x).alias("count"), F.min(x).alias("min"),
+                                          F.max(x).alias("max"), F.avg(x).alias("mean")])
+    return out.select("column", F.coalesce("count", F.lit(0)).alias("count"), "min", "max",
+                      F.coalesce("mean", F.lit(0.0)).alias("mean"))
 
 
 def skewness(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(column, n, skewness)``: bias-corrected sample skewness
     ``g1 · sqrt(n(n-1)) / (n-2)``; 0 for a constant column, null for n < 3."""
-    v, x = _typed(df, cols)
-    cells = []
-    for c in cols:
-        n = F.count(x[c]).cast("double")
-        g1 = F.skewness(x[c])
+    def aggs(x):
+        n = F.count(x).cast("double")
         adj = F.when(n < 3, F.lit(None).cast("double")).when(
-            F.stddev_pop(x[c]) == 0, F.lit(0.0)).otherwise(
-            g1 * F.sqrt(n * (n - 1)) / (n - 2))
-        cells.append(F.struct(F.lit(c).alias("column"), F.count(x[c]).alias("n"), adj.alias("skewness")))
-    return v.agg(F.array(*cells).alias("_s")).select(F.inline("_s"))
+            F.stddev_pop(x) == 0, F.lit(0.0)).otherwise(
+            F.skewness(x) * F.sqrt(n * (n - 1)) / (n - 2))
+        return [F.count(x).alias("n"), adj.alias("skewness")]
+    out = per_column(df, cols, aggs)
+    return out.select("column", F.coalesce("n", F.lit(0)).alias("n"), "skewness")
 
 
 def skewed_columns(df: DataFrame, cols: Sequence[str],
@@ -153,11 +167,10 @@ def box_stats(df: DataFrame, cols: Sequence[str], factor: float = C.IQR_FACTOR,
 
 
 def _ranges(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple]:
-    v, x = _typed(df, cols)
-    row = v.agg(*[e for i, c in enumerate(cols) for e in (
-        F.min(x[c]).alias(f"lo{i}"), F.max(x[c]).alias(f"hi{i}"), F.count(x[c]).alias(f"n{i}"),
-        F.stddev_samp(x[c]).alias(f"sd{i}"))]).first()
-    return {c: (row[f"lo{i}"], row[f"hi{i}"], row[f"n{i}"], row[f"sd{i}"]) for i, c in enumerate(cols)}
+    """``{column: (min, max, count, sample std)}`` (one row per column)."""
+    rows = per_column(df, cols, lambda x: [F.min(x).alias("lo"), F.max(x).alias("hi"),
+                                           F.count(x).alias("n"), F.stddev_samp(x).alias("sd")]).collect()
+    return {r["column"]: (r["lo"], r["hi"], r["n"] or 0, r["sd"]) for r in rows}
 
 
 def _param_table(spark, rows, schema):
