@@ -49,7 +49,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached when nothing is configured (tests, local runs).
+        if not sc.master.startswith("local"):
+            # A folder on the driver's disk is not visible to executors.
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
+                               "(written tables and checkpoints go there)")
+        # Only reached in local runs with nothing configured (tests, benchmarks).
         configured = tempfile.mkdtemp(prefix="tablewright-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
