@@ -152,18 +152,22 @@ def box_stats(df: DataFrame, cols: Sequence[str], factor: float = C.IQR_FACTOR,
         return df.sparkSession.createDataFrame(
             [], "column string, q1 double, median double, q3 double, whisker_lo double, "
                 "whisker_hi double, n_fliers long")
-    v, x = _typed(df, present)
-    cells = []
-    for c in present:
-        b = bounds[c]
-        inside = (x[c] >= F.lit(b["lower"])) & (x[c] <= F.lit(b["upper"]))
-        cells.append(F.struct(
-            F.lit(c).alias("column"), F.lit(float(b["q1"])).alias("q1"),
-            F.lit(float(b["median"])).alias("median"), F.lit(float(b["q3"])).alias("q3"),
-            F.min(F.when(inside, x[c])).alias("whisker_lo"),
-            F.max(F.when(inside, x[c])).alias("whisker_hi"),
-            F.count_if(_outside(x[c], b)).alias("n_fliers")))
-    return v.agg(F.array(*cells).alias("_s")).select(F.inline("_s"))
+    # One row per column (quartiles and fences): proven small, broadcast. The
+    # whiskers are a grouped aggregate over the unpivoted values, so the
+    # buffer width does not grow with the number of columns.
+    fences = F.broadcast(df.sparkSession.createDataFrame(
+        [(c, *[float(bounds[c][k]) for k in ("q1", "median", "q3", "lower", "upper")]) for c in present],
+        "column string, q1 double, median double, q3 double, lower double, upper double"))
+    x = F.col("value")
+    inside = (x >= F.col("lower")) & (x <= F.col("upper"))
+    outside = (x < F.col("lower")) | (x > F.col("upper"))
+    stats = (numeric_long(df, present).join(fences.select("column", "lower", "upper"), "column")
+             .groupBy("column").agg(F.min(F.when(inside, x)).alias("whisker_lo"),
+                                    F.max(F.when(inside, x)).alias("whisker_hi"),
+                                    F.count_if(outside).alias("n_fliers")))
+    return fences.join(stats, "column", "left").select(
+        "column", "q1", "median", "q3", "whisker_lo", "whisker_hi",
+        F.coalesce("n_fliers", F.lit(0)).cast("long").alias("n_fliers"))
 
 
 def _ranges(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple]:
