@@ -296,9 +296,12 @@ def head(df: DataFrame, order_cols: Sequence[str], n: int, dense_id: bool = Fals
     * ``dense_id``: ``order_cols`` is one dense 0-based row id (as made by
       ``assign_row_id`` / ``read_raw_csv``), so the head is a filter that is
       pushed into the scan;
-    * otherwise a top-k. With many input partitions it runs in two rounds
-      (top ``n`` per group of partitions, then the final merge) so that no
-      task merges more than ``fan_in * n`` rows."""
+    * otherwise a top-k. With many input partitions it runs in rounds so
+      that no task merges more than ``fan_in * n`` rows: every input
+      partition is cut to its own first ``n`` rows where it is (a sort within
+      the partition and a filter on the partition-local index: no shuffle),
+      then the survivors of each group of ``fan_in`` partitions are ranked
+      together, then the final merge takes the first ``n``."""
     if dense_id and len(order_cols) == 1:
         return df.where(col(order_cols[0]) < F.lit(n))
     order = [col(c) for c in order_cols]
@@ -306,9 +309,14 @@ def head(df: DataFrame, order_cols: Sequence[str], n: int, dense_id: bool = Fals
     if parts <= fan_in:
         return df.orderBy(*order).limit(n)
     groups = max(1, parts // fan_in)
+    # monotonically_increasing_id = partition index << 33 | row index within
+    # the partition, so its low bits number the rows of a sorted partition.
+    local = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    per_partition = (df.sortWithinPartitions(*order)
+                     .withColumn("_g", F.pmod(F.spark_partition_id(), F.lit(groups)))
+                     .where(local < F.lit(n)))
     w = Window.partitionBy("_g").orderBy(*order)
-    first = (df.withColumn("_g", F.pmod(F.spark_partition_id(), F.lit(groups)))
-             .withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n)
+    first = (per_partition.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n)
              .drop("_g", "_r"))
     return first.orderBy(*order).limit(n)
 
