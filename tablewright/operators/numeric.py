@@ -290,25 +290,24 @@ def pearson(df: DataFrame, cols: Sequence[str], pairs_per_pass: int = 256) -> Da
 
 
 def head(df: DataFrame, order_cols: Sequence[str], n: int, dense_id: bool = False,
-         fan_in: int = 1000) -> DataFrame:
+         groups: int | None = None) -> DataFrame:
     """First ``n`` rows in ``order_cols`` order.
 
     * ``dense_id``: ``order_cols`` is one dense 0-based row id (as made by
       ``assign_row_id`` / ``read_raw_csv``), so the head is a filter that is
       pushed into the scan;
-    * otherwise a top-k. With many input partitions it runs in rounds so
-      that no task merges more than ``fan_in * n`` rows: every input
-      partition is cut to its own first ``n`` rows where it is (a sort within
-      the partition and a filter on the partition-local index: no shuffle),
-      then the survivors of each group of ``fan_in`` partitions are ranked
-      together, then the final merge takes the first ``n``."""
+    * otherwise a top-k in rounds, so that no task merges every partition's
+      candidates: each input partition is cut to its own first ``n`` rows
+      where it is (a sort within the partition and a filter on the
+      partition-local index: no shuffle), the survivors of each of ``groups``
+      groups of partitions (default: the shuffle partition count) are ranked
+      together, and the final merge takes the first ``n`` of at most
+      ``groups * n`` rows. The input's partition count is never asked for
+      (that would run the input's shuffles ahead of the query)."""
     if dense_id and len(order_cols) == 1:
         return df.where(col(order_cols[0]) < F.lit(n))
     order = [col(c) for c in order_cols]
-    parts = df.rdd.getNumPartitions()
-    if parts <= fan_in:
-        return df.orderBy(*order).limit(n)
-    groups = max(1, parts // fan_in)
+    groups = groups or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # monotonically_increasing_id = partition index << 33 | row index within
     # the partition, so its low bits number the rows of a sorted partition.
     local = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))

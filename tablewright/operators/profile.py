@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from tablewright import config as C
 from tablewright.functions.names import col
-from tablewright.sources.tables import spread
 from tablewright.functions.text import (is_missing, is_numeric_type, looks_boolean, looks_numeric,
                                         starts_with_after_space, try_number, value_text)
 
@@ -124,12 +123,6 @@ def detect_types(df: DataFrame, columns: Sequence[str] | None = None,
     if sample_rows is not None:
         # At most ``sample_rows`` rows, read by up to two aggregates: keep them.
         sample = sample.cache()
-    else:
-        # Whole-table typing runs several regular expressions per cell (CPU
-        # bound): an input that arrives in fewer partitions than task slots
-        # is spread first. A large input already has more partitions than
-        # slots and is left as it is.
-        sample = spread(sample)
 
     # Every cell is parsed once into a flag struct; ``inline`` turns a row
     # into one row per column and a narrow ``groupBy(position)`` aggregate

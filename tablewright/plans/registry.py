@@ -31,7 +31,7 @@ from tablewright.sinks.messages import message_batches, to_messages
 from tablewright.sinks.files import write_table
 from tablewright.sources.side_tables import read_side_table, write_side_table
 from tablewright.sources.csv import read_raw_csv, write_csv
-from tablewright.sources.tables import table
+from tablewright.sources.tables import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,13 +72,17 @@ def q_null_profile(spark, folder):
 TYPE_TABLES = ("events", "orders", "customer", "part")
 
 
+# Whole-table typing is CPU bound (regular expressions per cell): the raw
+# scans are spread over the task slots first (a no-op for a scan that already
+# has more partitions than slots).
+
 @query("column_types")
 def q_column_types(spark, folder):
     parts = []
     for name in TYPE_TABLES:
-        t = table(spark, folder, name)
+        t = spread(table(spark, folder, name))
         parts.append(detect_types(t, sample_rows=None).withColumn("table_name", F.lit(name)))
-    g = derived.lineitem_with_gaps(spark, folder, with_row_id=False).drop("row_id")
+    g = spread(derived.lineitem_with_gaps(spark, folder, with_row_id=False).drop("row_id"))
     parts.append(detect_types(g, sample_rows=None).withColumn("table_name", F.lit("lineitem_gaps")))
     out = parts[0]
     for p in parts[1:]:
@@ -88,7 +92,7 @@ def q_column_types(spark, folder):
 
 @query("type_histogram")
 def q_type_histogram(spark, folder):
-    g = derived.lineitem_with_gaps(spark, folder, with_row_id=False).drop("row_id")
+    g = spread(derived.lineitem_with_gaps(spark, folder, with_row_id=False).drop("row_id"))
     return type_histogram(detect_types(g, sample_rows=None))
 
 
@@ -445,8 +449,8 @@ TEXT_TABLES = ("documents", "pages", "conversations", "labels", "embeddings", "b
 
 @query("column_types_text")
 def q_column_types_text(spark, folder):
-    parts = [detect_types(table(spark, folder, name), sample_rows=None).withColumn("table_name", F.lit(name))
-             for name in TEXT_TABLES]
+    parts = [detect_types(spread(table(spark, folder, name)), sample_rows=None)
+             .withColumn("table_name", F.lit(name)) for name in TEXT_TABLES]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -106,7 +106,7 @@ def test_head_paths_agree(spark):
     rows = [(i, (i * 7919) % 1000) for i in range(3000)]
     df = spark.createDataFrame(rows, "id long, k long").repartition(12)
     plain = [tuple(r) for r in N.head(df, ["k", "id"], 50).collect()]
-    tree = [tuple(r) for r in N.head(df, ["k", "id"], 50, fan_in=3).collect()]
+    tree = [tuple(r) for r in N.head(df, ["k", "id"], 50, groups=3).collect()]
     assert tree == plain == sorted(rows, key=lambda r: (r[1], r[0]))[:50]
     dense = sorted(tuple(r) for r in N.head(df, ["id"], 50, dense_id=True).collect())
     assert dense == rows[:50]
