@@ -110,3 +110,14 @@ def test_head_paths_agree(spark):
     assert tree == plain == sorted(rows, key=lambda r: (r[1], r[0]))[:50]
     dense = sorted(tuple(r) for r in N.head(df, ["id"], 50, dense_id=True).collect())
     assert dense == rows[:50]
+
+
+def test_per_column_statistics_keep_columns_without_values(spark):
+    df = spark.createDataFrame([(1.0, None), (3.0, None), (None, None)], "a double, b double")
+    got = {r["column"]: r for r in N.numeric_summary(df, ["a", "b"]).collect()}
+    assert (got["a"]["count"], got["a"]["min"], got["a"]["max"], got["a"]["mean"]) == (2, 1.0, 3.0, 2.0)
+    assert (got["b"]["count"], got["b"]["min"], got["b"]["max"], got["b"]["mean"]) == (0, None, None, 0.0)
+    empty = spark.createDataFrame([], "a double")
+    assert [tuple(r) for r in N.numeric_summary(empty, ["a"]).collect()] == [("a", 0, None, None, 0.0)]
+    sk = {r["column"]: (r["n"], r["skewness"]) for r in N.skewness(df, ["a", "b"]).collect()}
+    assert sk == {"a": (2, None), "b": (0, None)}
