@@ -17,6 +17,10 @@ from tablewright.functions.names import col
 from tablewright.functions.text import (is_missing, is_numeric_type, looks_boolean, looks_numeric,
                                         starts_with_after_space, try_number, value_text)
 
+# Column count from which per-column counts are grouped by position instead
+# of held as one field each in a single-row aggregate.
+_WIDE_COLUMNS = 90
+
 PROFILE_SCHEMA = ("column string, position int, null_count long, row_count long, "
                   "null_ratio double, dropped boolean")
 
@@ -27,15 +31,29 @@ def null_profile(df: DataFrame, threshold: float = C.NULL_THRESHOLD,
     a column is dropped when its null share is strictly above ``threshold``."""
     schema = {f.name: f.dataType for f in df.schema.fields}
     cols = list(columns) if columns is not None else list(df.columns)
-    counts = df.agg(F.count(F.lit(1)).alias("_rows"),
-                    *[F.count_if(is_missing(col(c), schema[c])).alias(f"_n{i}")
-                      for i, c in enumerate(cols)])
-    cells = [F.struct(F.lit(c).alias("column"), F.lit(i).alias("position"),
-                      F.col(f"_n{i}").alias("null_count")) for i, c in enumerate(cols)]
     ratio = F.try_divide(F.col("null_count").cast("double"), F.col("row_count").cast("double"))
-    return (counts.select(F.col("_rows").alias("row_count"), F.inline(F.array(*cells)))
-            .select("column", "position", "null_count", "row_count",
-                    F.coalesce(ratio, F.lit(0.0)).alias("null_ratio"))
+    if len(cols) < _WIDE_COLUMNS:
+        # One row, one count per column: within Spark's codegen field limit.
+        counts = df.agg(F.count(F.lit(1)).alias("_rows"),
+                        *[F.count_if(is_missing(col(c), schema[c])).alias(f"_n{i}")
+                          for i, c in enumerate(cols)])
+        cells = [F.struct(F.lit(c).alias("column"), F.lit(i).alias("position"),
+                          F.col(f"_n{i}").alias("null_count")) for i, c in enumerate(cols)]
+        base = counts.select(F.col("_rows").alias("row_count"), F.inline(F.array(*cells)))
+    else:
+        # Very wide tables: (position, missing) cells grouped by position, so
+        # the aggregation buffer does not grow with the column count.
+        cells = [F.struct(F.lit(i).alias("position"), is_missing(col(c), schema[c]).alias("m"))
+                 for i, c in enumerate(cols)]
+        grouped = (df.select(F.inline(F.array(*cells))).groupBy("position")
+                   .agg(F.count(F.lit(1)).alias("_rows"), F.count_if("m").alias("_n")))
+        names = df.sparkSession.createDataFrame(list(enumerate(cols)), "position int, column string")
+        # names has one row per column: proven small.
+        base = F.broadcast(names).join(grouped, "position", "left").select(
+            "column", "position", F.coalesce("_n", F.lit(0)).alias("null_count"),
+            F.coalesce("_rows", F.lit(0)).alias("row_count"))
+    return (base.select("column", "position", "null_count", "row_count",
+                        F.coalesce(ratio, F.lit(0.0)).alias("null_ratio"))
             .withColumn("dropped", F.col("null_ratio") > F.lit(float(threshold))))
 
 

@@ -114,3 +114,21 @@ def test_many_columns_and_wide_distinct_counts(spark):
     df = spark.createDataFrame(rows, ", ".join(f"{c} int" for c in cols))
     t = types_of(df)
     assert all(t[c][0] == ("numeric_categorical" if i % 2 else "numeric") for i, c in enumerate(cols))
+
+
+def test_null_profile_wide_and_narrow_forms_agree(spark):
+    # 120 columns take the grouped form; the same columns 30 at a time the
+    # single-row form.
+    cols = [f"c{i}" for i in range(120)]
+    rows = [tuple(None if (r + i) % (i % 7 + 2) == 0 else float(r) for i in range(120)) for r in range(30)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols))
+    wide = {r["column"]: tuple(r) for r in null_profile(df).collect()}
+    narrow = {}
+    for k in range(0, 120, 30):
+        part = null_profile(df, columns=cols[k:k + 30]).collect()
+        narrow.update({r["column"]: (r["column"], r["position"] + k, *tuple(r)[2:]) for r in part})
+    assert wide == narrow
+    expected = {c: sum(1 for row in rows if row[i] is None) for i, c in enumerate(cols)}
+    assert {c: v[2] for c, v in wide.items()} == expected
+    empty = spark.createDataFrame([], ", ".join(f"{c} double" for c in cols))
+    assert {tuple(r)[2:] for r in null_profile(empty).collect()} == {(0, 0, 0.0, False)}
