@@ -39,6 +39,11 @@ NA_TOKENS = (
 # The only strings (after stripping) that make a column boolean.
 BOOLEAN_TOKENS = ("Y", "N")
 
+# Default message sink: broker address and topic (overridable by arguments
+# and by the KAFKA_BOOTSTRAP_SERVERS / KAFKA_TOPIC environment variables).
+KAFKA_SERVERS = "localhost:9092"
+KAFKA_TOPIC = "restaurants"
+
 # Defaults of the stages.
 CHUNK_SIZE = 50_000
 NULL_THRESHOLD = 0.70

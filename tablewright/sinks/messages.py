@@ -41,7 +41,7 @@ def to_messages(df: DataFrame, key: str | None = None) -> DataFrame:
     return clean.select(*cols)
 
 
-def kafka_settings(servers: str = "localhost:9092", topic: str = "restaurants",
+def kafka_settings(servers: str = C.KAFKA_SERVERS, topic: str = C.KAFKA_TOPIC,
                    batch_size: int = C.MESSAGE_BATCH_SIZE) -> dict:
     return {
         "servers": os.environ.get("KAFKA_BOOTSTRAP_SERVERS", servers),
@@ -51,7 +51,7 @@ def kafka_settings(servers: str = "localhost:9092", topic: str = "restaurants",
 
 
 def write_messages(df: DataFrame, fmt: str = "kafka", path: str | None = None,
-                   servers: str = "localhost:9092", topic: str = "restaurants",
+                   servers: str = C.KAFKA_SERVERS, topic: str = C.KAFKA_TOPIC,
                    batch_size: int = C.MESSAGE_BATCH_SIZE, extra: dict | None = None) -> int:
     """Write ``to_messages(df)`` and return the number of messages sent
     (counted during the write with an observation, no second pass).

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tablewright import config as C
 from tablewright.session import scratch_path
 from tablewright.sinks.messages import kafka_settings, to_messages
 
@@ -20,8 +21,8 @@ from tablewright.sinks.messages import kafka_settings, to_messages
 def stream_messages(spark: SparkSession, source: str, schema, fmt: str = "kafka",
                     path: str | None = None, checkpoint: str | None = None,
                     source_format: str = "parquet", max_files_per_trigger: int = 1,
-                    available_now: bool = True, servers: str = "localhost:9092",
-                    topic: str = "restaurants") -> StreamingQuery:
+                    available_now: bool = True, servers: str = C.KAFKA_SERVERS,
+                    topic: str = C.KAFKA_TOPIC) -> StreamingQuery:
     rows = (spark.readStream.schema(schema).format(source_format)
             .option("maxFilesPerTrigger", max_files_per_trigger).load(source))
     msgs = to_messages(rows)
