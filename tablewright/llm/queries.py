@@ -60,3 +60,53 @@ def op9_packed_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     from tablewright.llm.pack_sequences import pack
 
     return pack(read(spark, folder, "documents"), byte_bpe_encoder, capacity=1024, end_id=50256, vocabulary=50257)
+
+
+@query
+def op6_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from tablewright.llm.embeddings import near_embeddings
+
+    return near_embeddings(read(spark, folder, "embeddings"), cosine=0.98)
+
+
+SQL["op6_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(vec_id, to_id) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN link l ON r.to_id = l.a),
+component AS (SELECT vec_id, min(to_id) AS component_id FROM reach GROUP BY vec_id),
+counted AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT c.vec_id, coalesce(n, 0) AS n_links, component_id, c.vec_id = component_id AS kept
+FROM component c LEFT JOIN counted ON a = c.vec_id
+"""
+
+
+@query
+def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from tablewright.llm.minhash import near_duplicates
+
+    return near_duplicates(read(spark, folder, "documents"), width=3, percent=85)
+
+
+SQL["op10_minhash_near_dedup"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM words),
+grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS n, b.n AS m, count(*) AS shared FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY ALL),
+link AS (SELECT a, b FROM common WHERE 100 * shared >= 85 * (n + m - shared)),
+reach(doc_id, to_id) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN link l ON r.to_id = l.a),
+component AS (SELECT doc_id, min(to_id) AS component_id FROM reach GROUP BY doc_id)
+SELECT c.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, c.doc_id = component_id AS kept
+FROM component c JOIN sets USING (doc_id)
+"""
