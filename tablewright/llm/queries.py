@@ -110,3 +110,25 @@ component AS (SELECT doc_id, min(to_id) AS component_id FROM reach GROUP BY doc_
 SELECT c.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, c.doc_id = component_id AS kept
 FROM component c JOIN sets USING (doc_id)
 """
+
+
+@query
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    from tablewright.llm import secrets
+
+    found = secrets.scan(read(spark, folder, "documents"), ["doc_id"])
+
+    def many(kind: str):
+        number = secrets.KINDS.index(kind)
+        return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", many("assign"), many("access"), many("hex"),
+                        F.sha2(secrets.digest(F.col("base")), 256).alias("base_sha256"),
+                        secrets.digest(F.col("spans")).alias("spans"))
+
+
+@query
+def op5_syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    from tablewright.llm.syncmers import fingerprints
+
+    return fingerprints(read(spark, folder, "documents"))
