@@ -132,3 +132,33 @@ def op5_syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     from tablewright.llm.syncmers import fingerprints
 
     return fingerprints(read(spark, folder, "documents"))
+
+
+@query
+def op7_warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    from tablewright.llm.warc import round_trip
+
+    return round_trip(read(spark, folder, "pages"))
+
+
+SQL["op7_warc_round_trip"] = """
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+w AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) ELSE page_id END AS chosen
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = chosen THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> chosen THEN chosen END AS refers_to FROM w
+"""
+
+#: The rules of the url filter (verdict, host, path).
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+@query
+def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    from tablewright.llm.urls import judge
+
+    return judge(read(spark, folder, "pages"), URL_RULES)
