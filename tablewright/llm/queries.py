@@ -162,3 +162,11 @@ def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     from tablewright.llm.urls import judge
 
     return judge(read(spark, folder, "pages"), URL_RULES)
+
+
+@query
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from tablewright.llm import toxicity
+
+    docs = read(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, read(spark, folder, "labels")))
