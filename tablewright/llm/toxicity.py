@@ -45,6 +45,8 @@ SAMPLE, SAMPLE_CHARS = 1_500, 20_000
 EPOCHS, STEPS, BATCH, RATE = 6, 210, 128, 0.02
 #: Pseudo-documents behind each log-odds, and its greatest size.
 SMOOTHING, MOST = 5.0, 3.0
+#: Texts that a word or n-gram must be in to say anything.
+SUPPORT = 4
 PART_CHARS, OVERLAP_CHARS = 1_000_000, 1_000
 _ODD = 0xC2B2AE3D27D4EB4F
 
@@ -265,7 +267,7 @@ class Network:
 
 def _odds(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
     share = totals / totals.sum()
-    seen = (counts.sum(axis=0) > 0)
+    seen = counts.sum(axis=0) >= SUPPORT          # else a text's own words would tell its label
     out = np.log((counts[1] + SMOOTHING * share[1]) / (totals[1] + SMOOTHING)) - np.log(
         (counts[0] + SMOOTHING * share[0]) / (totals[0] + SMOOTHING))
     base = np.log(share[1] / (totals[1] + SMOOTHING)) - np.log(share[0] / (totals[0] + SMOOTHING))
