@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.graph import components
+from tablewright.llm.graph import components, stars
 from tablewright.llm.shared import prepare, written
 
 DIRECTIONS, TABLES = 32, 3
@@ -99,21 +99,6 @@ def _entries(width: float, per_table: int):
     return run
 
 
-def _stars(ids: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges from every node of the pairs to the least node it reaches."""
-    nodes, at = np.unique(np.concatenate([ids, others]), return_inverse=True)
-    a, b = at[:len(ids)], at[len(ids):]
-    low = np.arange(len(nodes))
-    while True:
-        before = low.copy()
-        np.minimum.at(low, a, low[b])
-        np.minimum.at(low, b, low[a])
-        low = low[low]
-        if (low == before).all():
-            moved = low != np.arange(len(nodes))
-            return nodes[moved], nodes[low[moved]]
-
-
 def _compare(cosine: float, width: float, least: int, per_table: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         query = frame["query"].to_numpy()
@@ -153,7 +138,7 @@ def _compare(cosine: float, width: float, least: int, per_table: int):
             start = stop
         a, b = np.concatenate(left), np.concatenate(right)
         counted, n = np.unique(a, return_counts=True)
-        nodes, low = _stars(a, b)
+        nodes, low = stars(a, b)
         return pd.DataFrame({"a": np.concatenate([counted, nodes]), "b": np.concatenate([counted, low]),
                              "n": np.concatenate([n, np.zeros(len(nodes), np.int64)])})
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,3 +39,18 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
                 roots.select("node", F.col("node").alias("component")))
         mark = found[:2]
+
+
+def stars(ids: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from every node of the pairs to the least node it reaches."""
+    nodes, at = np.unique(np.concatenate([ids, others]), return_inverse=True)
+    a, b = at[:len(ids)], at[len(ids):]
+    low = np.arange(len(nodes))
+    while True:
+        before = low.copy()
+        np.minimum.at(low, a, low[b])
+        np.minimum.at(low, b, low[a])
+        low = low[low]
+        if (low == before).all():
+            moved = low != np.arange(len(nodes))
+            return nodes[moved], nodes[low[moved]]

@@ -8,8 +8,12 @@ sets. ``banding`` chooses the bands for a wanted recall at the threshold.
 
 Documents with equal sets are one node, so copies never make pairs. In a bucket
 of several nodes every node is first compared to the least one (a row per node,
-not per pair). Buckets whose nodes are joined by then are done; in the others
-all pairs between different components are compared, so no candidate is lost.
+not per pair). Buckets whose nodes are joined by then are done. The others are
+split into blocks, and every block meets every block of its bucket: a task
+counts the common shingles of its nodes by products of incidence matrices and
+emits edges between components only. So no candidate is lost and no pairs are
+rows; the comparisons still grow with the square of a bucket whose nodes are
+alike but not linked.
 
 Cases: null and empty texts, or texts without words, have an empty set and link
 with nothing. Repeated rows have equal results. Rows with a null id take part;
@@ -23,15 +27,18 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.graph import components
+from tablewright.llm.graph import components, stars
 from tablewright.llm.shared import prepare, written
 
 #: Coordinates of a signature at most, and the universe of the permutations.
 COORDINATES, UNIVERSE = 126, 2**20
+#: Nodes and shingles that a block of a large bucket holds.
+BLOCK_NODES, BLOCK_SHINGLES = 512, 500_000
 #: Share of pairs at the threshold that the bands may miss.
 MISS = 1e-4
 
@@ -137,6 +144,47 @@ def _linked(percent: int):
     return run
 
 
+def common_items(sets: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """How many items each of the sets ``rows`` shares with every set."""
+    items = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    order = np.argsort(items, kind="stable")
+    items, owner = items[order], owner[order]
+    first = np.concatenate([[True], items[1:] != items[:-1]])
+    number = np.cumsum(first) - 1
+    shared = np.bincount(number)[number] > 1               # the others are in one set only
+    number, owner = number[shared], owner[shared]
+    number = np.cumsum(np.concatenate([[False], number[1:] != number[:-1]])) if len(number) else number
+    out = np.zeros((len(rows), len(sets)), np.float32)
+    last = int(number[-1]) + 1 if len(number) else 0
+    for k in range(0, last, 4096):                          # a bounded slice of the incidence matrix
+        a, b = np.searchsorted(number, [k, k + 4096])
+        has = np.zeros((len(sets), min(4096, last - k)), np.float32)
+        has[owner[a:b], number[a:b] - k] = 1
+        out += has[rows] @ has.T
+    return out.astype(np.int64)
+
+
+def _joins(percent: int):
+    """Edges between the components that links within a block of a bucket join.
+    Nodes of the block's largest component need not meet each other."""
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.drop_duplicates("node")
+        component, kind = np.unique(frame["component"].to_numpy(np.int64), return_inverse=True)
+        if len(component) < 2:
+            return pd.DataFrame({"a": [], "b": []}).astype("int64")
+        rows = np.flatnonzero(kind != np.bincount(kind).argmax())
+        sets = [np.frombuffer(x, np.uint64) for x in frame["items"]]
+        size = np.array([len(x) for x in sets])
+        both = common_items(sets, rows)
+        linked = (100 * both >= percent * (size[rows][:, None] + size[None, :] - both)) & (kind[rows][:, None] != kind[None, :])
+        i, j = np.nonzero(linked)
+        a, b = stars(component[kind[rows[i]]], component[kind[j]])
+        return pd.DataFrame({"a": a, "b": b})
+
+    return run
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     a = sets.select(F.col("node").alias("a"), F.col("items").alias("one"))
     b = sets.select(F.col("node").alias("b"), F.col("items").alias("two"))
@@ -175,11 +223,14 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: st
     label = members.join(joined, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("component"))
     split = label.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     label = written(label.join(split.select("bucket"), "bucket", "left_semi"), "open-buckets")
-    other = label.select("bucket", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "component")))
-    rest = label.join(other, "bucket").where("component < component2").where(alike("n", "n2")).select(
-        F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
-    tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = written(_verified(rest.join(tested, ["a", "b"], "left_anti"), sets, percent), "more-links")
+    size = label.groupBy("bucket").agg(F.greatest(F.count("*") / BLOCK_NODES, F.sum("n") / BLOCK_SHINGLES).alias("blocks")).select(
+        F.col("bucket").alias("at"), F.ceil("blocks").cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = label.join(size, F.col("bucket") == F.col("at")).select("bucket", "node", "component", own.alias("own"), F.explode(
+        F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node", "component")
+    more = written(dealt.join(sets, "node").groupBy("bucket", "low", "high").applyInPandas(
+        _joins(percent), "a bigint, b bigint"), "more-links")
     joined = components(links.unionByName(more)) if more.take(1) else joined
     group = docs.where("node is not null").groupBy("node").agg(F.min("id").alias("low")).join(joined, "node", "left")
     group = group.select("node", "low", F.coalesce("component", "node").alias("component"))
