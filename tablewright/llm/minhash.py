@@ -145,7 +145,7 @@ def _linked(percent: int):
 
 
 def common_items(sets: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
-    """How many items each of the sets ``rows`` shares with every set."""
+    """How many items each of the sets ``rows`` shares with every other set."""
     items = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
     order = np.argsort(items, kind="stable")
