@@ -48,7 +48,6 @@ KAFKA_TOPIC = "restaurants"
 CHUNK_SIZE = 50_000
 NULL_THRESHOLD = 0.70
 NUMERIC_CATEGORICAL_THRESHOLD = 20
-TYPE_SAMPLE_ROWS = 10_000
 DICT_SHARE = 0.5
 LIST_SHARE = 0.5
 COMMA_SHARE = 0.3
@@ -89,9 +88,9 @@ class PrepConfig:
 
     null_threshold: float = NULL_THRESHOLD
     numeric_categorical_threshold: int = NUMERIC_CATEGORICAL_THRESHOLD
-    # Rows (in row-id order) used for semantic type detection. ``None`` types
-    # each column on the whole table, which costs one aggregate either way.
-    type_sample_rows: int | None = TYPE_SAMPLE_ROWS
+    # ``None`` types each column on the whole table. A number types it on the
+    # first rows by row id; later values that do not fit the type are lost.
+    type_sample_rows: int | None = None
     no_list: tuple[str, ...] = field(default_factory=tuple)
     top_n_categories: int = TOP_N_CATEGORIES
     top_n_cooccurrence: int = TOP_N_COOCCURRENCE

@@ -113,7 +113,7 @@ def pca_fit(scaled: DataFrame, cols: Sequence[str], k: int | None = None):
     a ``p×k`` numpy array whose columns have their largest absolute loading
     positive, and the explained variance ratio of each component."""
     k = k or pca_components(len(cols))
-    vec = VectorAssembler(inputCols=list(cols), outputCol="_features", handleInvalid="keep")
+    vec = VectorAssembler(inputCols=list(cols), outputCol="_features", handleInvalid="error")
     model = PCA(k=k, inputCol="_features", outputCol="_pca").fit(vec.transform(scaled.select(*[col(c) for c in cols])))
     pc = model.pc.toArray().copy()
     for j in range(pc.shape[1]):

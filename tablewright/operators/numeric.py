@@ -145,7 +145,8 @@ def remove_outliers(df: DataFrame, cols: Sequence[str], factor: float = C.IQR_FA
 
 def box_stats(df: DataFrame, cols: Sequence[str], factor: float = C.IQR_FACTOR, **kw) -> DataFrame:
     """``(column, q1, median, q3, whisker_lo, whisker_hi, n_fliers)``: the
-    whiskers are the furthest values inside the 1.5·IQR fences."""
+    whiskers are the furthest values inside the 1.5·IQR fences, and never end
+    inside the box."""
     bounds = quartile_bounds(df, cols, factor, **kw)
     present = [c for c in cols if c in bounds]
     if not present:
@@ -166,8 +167,8 @@ def box_stats(df: DataFrame, cols: Sequence[str], factor: float = C.IQR_FACTOR,
                                     F.max(F.when(inside, x)).alias("whisker_hi"),
                                     F.count_if(outside).alias("n_fliers")))
     return fences.join(stats, "column", "left").select(
-        "column", "q1", "median", "q3", "whisker_lo", "whisker_hi",
-        F.coalesce("n_fliers", F.lit(0)).cast("long").alias("n_fliers"))
+        "column", "q1", "median", "q3", F.least("whisker_lo", "q1").alias("whisker_lo"),
+        F.greatest("whisker_hi", "q3").alias("whisker_hi"), F.coalesce("n_fliers", F.lit(0)).cast("long").alias("n_fliers"))
 
 
 def _ranges(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple]:

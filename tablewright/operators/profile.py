@@ -120,7 +120,7 @@ def _occupied(stats, prefix: str) -> int:
 
 def detect_types(df: DataFrame, columns: Sequence[str] | None = None,
                  order_cols: Sequence[str] | None = None,
-                 sample_rows: int | None = C.TYPE_SAMPLE_ROWS,
+                 sample_rows: int | None = None,
                  no_list: Sequence[str] = (),
                  numeric_categorical_threshold: int = C.NUMERIC_CATEGORICAL_THRESHOLD,
                  dense_id: bool = False) -> DataFrame:

@@ -375,8 +375,8 @@ SQL["box_stats"] = f"""
 WITH e AS ({EVSQ}), pv AS ({PLOT}), l AS ({_long('pv', ['value', 'value_sq'])}),
 b AS ({_bounds('SELECT * FROM l')})
 SELECT b.column, round(q1, 6) AS q1, round(med, 6) AS median, round(q3, 6) AS q3,
-  round(min(x) FILTER (WHERE x >= lower AND x <= upper), 6) AS whisker_lo,
-  round(max(x) FILTER (WHERE x >= lower AND x <= upper), 6) AS whisker_hi,
+  round(least(min(x) FILTER (WHERE x >= lower AND x <= upper), q1), 6) AS whisker_lo,
+  round(greatest(max(x) FILTER (WHERE x >= lower AND x <= upper), q3), 6) AS whisker_hi,
   count(*) FILTER (WHERE x < lower OR x > upper) AS n_fliers
 FROM b JOIN l USING (column) GROUP BY b.column, q1, med, q3
 """

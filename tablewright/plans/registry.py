@@ -325,7 +325,7 @@ def q_pearson_head(spark, folder):
 @query("head_sample")
 def q_head_sample(spark, folder):
     li = table(spark, folder, "lineitem")
-    out = N.head(li, KEY, C.TYPE_SAMPLE_ROWS)
+    out = N.head(li, KEY, C.SCATTER_SAMPLE_ROWS)
     return out.withColumn("l_shipdate", F.col("l_shipdate").cast("string"))
 
 

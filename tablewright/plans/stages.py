@@ -76,6 +76,9 @@ def summary_stats(cleaned: Cleaned) -> DataFrame:
         codes = cat.value_counts(cleaned.table, category)
         parts.append(melt(cat.category_summary(codes), ["count", "num_unique_values"]))
     for c, side in cleaned.side_tables.items():
+        if cleaned.type_of[c] != C.LIST_JSON:          # the items of a dict column are not summarised
+            parts.append(spark.createDataFrame([(c, "count", 0.0)], "column string, statistic string, value double"))
+            continue
         counts = L.item_counts(L.row_item_sets_from_side(side))
         summary = L.list_summary(c, counts).withColumn("count", F.lit(0))
         parts.append(melt(summary, ["count", "total_items_parsed", "num_unique_elements"]))
@@ -88,7 +91,7 @@ def summary_stats(cleaned: Cleaned) -> DataFrame:
     return F.broadcast(types).join(stats, "column").select("column", "type", "statistic", "value")
 
 
-def eda(cleaned: Cleaned, cfg: PrepConfig = PrepConfig(), pearson_rows: int | None = C.SCATTER_SAMPLE_ROWS) -> Eda:
+def eda(cleaned: Cleaned, cfg: PrepConfig = PrepConfig(), pearson_rows: int | None = None) -> Eda:
     t = cleaned.table
     numeric = cleaned.columns_of(C.NUMERIC)
     category = cleaned.columns_of(*C.CATEGORY_LIKE)
@@ -99,8 +102,10 @@ def eda(cleaned: Cleaned, cfg: PrepConfig = PrepConfig(), pearson_rows: int | No
     # broadcast; the dictionary is scanned once.
     labels = cleaned.dictionary.select("column", F.col("code").cast("string").alias("value"),
                                        F.col("value").alias("label"))
+    # A numeric category is shown as its code.
+    labels = labels.where(F.col("column").isin(cleaned.columns_of(C.CATEGORICAL, C.BOOLEAN)))
     found = labels.join(F.broadcast(top.select("column", "value")), ["column", "value"])
-    decoded = F.broadcast(top).join(found, ["column", "value"], "left")
+    decoded = F.broadcast(top).join(found, ["column", "value"], "left").withColumn("label", F.coalesce("label", "value"))
 
     plot, mins = N.plot_values(t, numeric, cfg.skew_log_threshold)
     pearson = scatter = None
@@ -113,6 +118,8 @@ def eda(cleaned: Cleaned, cfg: PrepConfig = PrepConfig(), pearson_rows: int | No
 
     lists = {}
     for c, side in cleaned.side_tables.items():
+        if cleaned.type_of[c] != C.LIST_JSON:
+            continue
         sets = L.row_item_sets_from_side(side)
         counts = L.item_counts(sets)
         top_items = L.top_items(counts, cfg.top_n_cooccurrence)

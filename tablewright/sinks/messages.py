@@ -55,7 +55,8 @@ def write_messages(df: DataFrame, fmt: str = "kafka", path: str | None = None,
                    batch_size: int = C.MESSAGE_BATCH_SIZE, extra: dict | None = None) -> int:
     """Write ``to_messages(df)`` and return the number of messages sent
     (counted during the write with an observation, no second pass).
-    ``fmt="kafka"`` needs the Spark Kafka connector on the classpath; any file
+    ``batch_size`` counts messages and only documents the caller's batches: the
+    producer batches by bytes. ``fmt="kafka"`` needs the Spark Kafka connector on the classpath; any file
     format (``json``, ``text``, ``parquet``) writes the messages to ``path``."""
     sent = Observation("messages_sent")
     msgs = to_messages(df).observe(sent, F.count(F.lit(1)).alias("sent"))
@@ -63,8 +64,7 @@ def write_messages(df: DataFrame, fmt: str = "kafka", path: str | None = None,
     if fmt == "kafka":
         s = kafka_settings(servers, topic, batch_size)
         w = (w.format("kafka").option("kafka.bootstrap.servers", s["servers"]).option("topic", s["topic"])
-             .option("kafka.acks", "all").option("kafka.retries", "3")
-             .option("kafka.batch.size", str(s["batch_size"])))
+             .option("kafka.acks", "all").option("kafka.retries", "3"))
         for k, v in (extra or {}).items():
             w = w.option(k, v)
         w.save()

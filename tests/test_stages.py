@@ -79,3 +79,16 @@ def test_csv_end_to_end(spark, tmp_dir):
     assert cl.type_of["l_shipyear"] == "numeric_categorical"
     assert cl.table.count() == g.count()
     assert spark.read.text(f"{tmp_dir}/out/messages").count() == g.count()
+
+
+def test_late_text_is_kept(spark):
+    df = spark.range(12_000).selectExpr("id AS row_id", "CASE WHEN id < 10000 THEN CAST(id AS STRING) ELSE concat('t', id % 700) END AS v")
+    cl = clean(df, "row_id")
+    assert cl.type_of["v"] == "categorical"
+
+
+def test_box_whiskers_stay_outside_the_box(spark):
+    from tablewright.operators.numeric import box_stats
+
+    r = box_stats(spark.createDataFrame([(0.0,), (0.0,), (0.0,), (100.0,)], "x double"), ["x"]).first()
+    assert (r.q3, r.whisker_hi, r.whisker_lo) == (25.0, 25.0, 0.0)
