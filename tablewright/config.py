@@ -114,8 +114,3 @@ class PrepConfig:
     broadcast_row_limit: int = BROADCAST_ROW_LIMIT
     # The id column is a dense 0-based row id, so "first n rows" is a filter.
     dense_row_id: bool = True
-    # Optional: above this many distinct values per column the density
-    # estimate snaps values to ``kde_grid`` equal bins before the kernel sum
-    # (an approximation; None keeps it exact).
-    kde_max_distinct: int | None = None
-    kde_grid: int = 65_536

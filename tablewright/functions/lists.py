@@ -28,13 +28,32 @@ ITEMS = T.ArrayType(T.StringType())
 OBJECT = T.MapType(T.StringType(), T.StringType())
 
 
-def _python_literal_to_json(s: Column) -> Column:
-    """Second-chance normalisation for list literals JSON rejects: bare
-    ``None``/``True``/``False`` tokens and a trailing comma."""
-    s = F.regexp_replace(s, r"(?<=[\[,\s])None(?=\s*[,\]])", "null")
-    s = F.regexp_replace(s, r"(?<=[\[,\s])True(?=\s*[,\]])", "true")
-    s = F.regexp_replace(s, r"(?<=[\[,\s])False(?=\s*[,\]])", "false")
-    return F.regexp_replace(s, r",\s*\]$", "]")
+# A quoted string with its escapes, a run of text without quotes, or a quote
+# that nothing closes.
+TOKEN = r"""("[^"\\]*+(?:\\[\s\S][^"\\]*+)*+"|'[^'\\]*+(?:\\[\s\S][^'\\]*+)*+'|[^"']+|["'])"""
+ANY_ESCAPE = {"allowBackslashEscapingAnyCharacter": "true"}
+
+
+def _python_literal_to_json(s: Column, true: str = "true", false: str = "false") -> Column:
+    """Second-chance normalisation for literals JSON rejects: outside quoted
+    text ``None``/``True``/``False``, tuples and trailing commas, inside it
+    two-digit ``\\x`` escapes."""
+    def token(t: Column) -> Column:
+        bare = t
+        for old, new in ((r"\bNone\b", "null"), (r"\bTrue\b", true), (r"\bFalse\b", false),
+                         (r"\(", "["), (r"\)", "]"), (r",(\s*[\]}])", "$1")):
+            bare = F.regexp_replace(bare, old, new)
+        quoted = F.regexp_replace(t, r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+        return F.when(t.startswith('"') | t.startswith("'"), quoted).otherwise(bare)
+
+    return F.array_join(F.transform(F.regexp_extract_all(s, F.lit(TOKEN), 1), token), "")
+
+
+def _python_list(s: Column) -> Column:
+    """Items of a Python list literal; a boolean element keeps its Python text."""
+    plain = F.from_json(_python_literal_to_json(s), ITEMS, ANY_ESCAPE)
+    spelled = F.from_json(_python_literal_to_json(s, '"True"', '"False"'), ITEMS, ANY_ESCAPE)
+    return F.zip_with(plain, spelled, lambda a, b: F.when(F.lower(b) == a, b).otherwise(a))
 
 
 def _split_items(s: Column) -> Column:
@@ -56,11 +75,9 @@ def parse_items(c: Column, dtype: T.DataType, hint: str | None) -> Column:
     if hint in (HINT_DICT, HINT_JSON):
         is_list = s.startswith("[") & s.endswith("]")
         is_obj = s.startswith("{") & s.endswith("}")
-        as_list = F.coalesce(
-            F.from_json(s, ITEMS),
-            F.from_json(_python_literal_to_json(s), ITEMS),
-        )
-        as_obj = F.when(F.from_json(s, OBJECT).isNotNull(), F.array(s))
+        as_list = F.coalesce(F.from_json(s, ITEMS), _python_list(s))
+        valid = F.coalesce(F.from_json(s, OBJECT), F.from_json(_python_literal_to_json(s), OBJECT, ANY_ESCAPE))
+        as_obj = F.when(valid.isNotNull(), F.array(s))
         parsed = (
             F.when(is_list, F.filter(as_list, lambda x: x.isNotNull()))
             .when(is_obj, as_obj)

@@ -42,6 +42,13 @@ NUMERIC_TYPES = (
 )
 
 
+INTEGER_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+# The spellings a CSV reader takes for a boolean; a column of nothing else
+# counts as numeric, and its keys are "True" and "False".
+TRUTH_TOKENS = ("True", "TRUE", "true", "False", "FALSE", "false")
+
+
 def is_numeric_type(dtype: T.DataType) -> bool:
     return isinstance(dtype, NUMERIC_TYPES)
 
@@ -94,8 +101,14 @@ def number_text(x: Column) -> Column:
 
 
 def value_text(c: Column, dtype: T.DataType) -> Column:
-    """Category key of a value: canonical number text for numeric columns,
-    the text itself otherwise."""
+    """Category key of a value: canonical number text for numeric columns
+    (integers and decimals digit by digit, without a detour over DOUBLE), the
+    text itself otherwise."""
+    if isinstance(dtype, INTEGER_TYPES):
+        return c.cast("string")
+    if isinstance(dtype, T.DecimalType):
+        # 1.50 -> 1.5 and 1.00 -> 1
+        return F.regexp_replace(c.cast("string"), r"\.0+$|(\.[0-9]*[1-9])0+$", "$1")
     if is_numeric_type(dtype):
         return number_text(try_number(c, dtype))
     if isinstance(dtype, T.StringType):
@@ -105,6 +118,20 @@ def value_text(c: Column, dtype: T.DataType) -> Column:
     return c.cast("string")
 
 
+def looks_truth(text: Column) -> Column:
+    return text.isin(*TRUTH_TOKENS)
+
+
+def number_or_truth_text(c: Column, dtype: T.DataType) -> Column:
+    """Category key of a text cell in a column typed numeric_categorical: its
+    number ("3", "3.0" and " 3" are all "3"; whole numbers digit by digit) or
+    its truth word."""
+    s = strip(c.cast("string"))
+    whole = F.when(s.rlike(r"^[+-]?[0-9]{16,38}$"), s.try_cast("decimal(38,0)").cast("string"))
+    word = F.when(looks_truth(c.cast("string")), F.initcap(c.cast("string")))
+    return F.coalesce(whole, number_text(try_number(c, dtype)), word)
+
+
 def is_missing(c: Column, dtype: T.DataType) -> Column:
     """Null, or NaN for floating columns (both count as missing)."""
     if isinstance(dtype, (T.FloatType, T.DoubleType)):

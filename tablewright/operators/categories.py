@@ -153,12 +153,12 @@ def _lookup(df: DataFrame, cols: Sequence[str], dictionary: DataFrame, key: str,
 def label_encode(df: DataFrame, cols: Sequence[str], dictionary: DataFrame,
                  inline_limit: int = C.INLINE_DICTIONARY_LIMIT, broadcast_limit: int = C.BROADCAST_ROW_LIMIT,
                  sizes: Mapping[str, int] | None = None) -> DataFrame:
-    """Replace each column in ``cols`` by its code (INT; null when the value
+    """Replace each column in ``cols`` by its code (BIGINT; null when the value
     is not in the dictionary). Small dictionaries become map literals (no
     join); large ones are joined, broadcast only below ``broadcast_limit``."""
     schema = {f.name: f.dataType for f in df.schema.fields}
     return _lookup(df, cols, dictionary, "value", "code",
-                   lambda c: value_text(col(c), schema[c]), "int", inline_limit, broadcast_limit, sizes)
+                   lambda c: value_text(col(c), schema[c]), "bigint", inline_limit, broadcast_limit, sizes)
 
 
 def label_decode(df: DataFrame, cols: Sequence[str], dictionary: DataFrame,

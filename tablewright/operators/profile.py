@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tablewright import config as C
 from tablewright.functions.names import col
-from tablewright.functions.text import (is_missing, is_numeric_type, looks_boolean, looks_numeric,
+from tablewright.functions.text import (is_missing, is_numeric_type, looks_boolean, looks_numeric, looks_truth,
                                         starts_with_after_space, try_number, value_text)
 
 # Column count from which per-column counts are grouped by position instead
@@ -128,7 +128,8 @@ def detect_types(df: DataFrame, columns: Sequence[str] | None = None,
 
     First matching rule on the non-null values: all number-like -> numeric
     (``numeric_categorical`` when at most ``numeric_categorical_threshold``
-    distinct numbers); all ``Y``/``N`` after stripping -> boolean; unless the
+    distinct numbers); all ``True``/``False`` (three spellings each) ->
+    numeric_categorical; all ``Y``/``N`` after stripping -> boolean; unless the
     column is in ``no_list``: share starting with ``{`` > 0.5 -> dict_json
     (hint dict), share starting with ``[`` > 0.5 -> list_json (hint json),
     share containing a comma > 0.3 -> list_json (hint csv); else categorical.
@@ -155,28 +156,28 @@ def detect_types(df: DataFrame, columns: Sequence[str] | None = None,
         dt = schema[c]
         x = try_number(col(c), dt)
         if is_numeric_type(dt):
-            present, flags = x.isNotNull(), [x.isNotNull(), no, no, no, no]
+            present, flags = x.isNotNull(), [x.isNotNull(), no, no, no, no, no]
         else:
             s = value_text(col(c), dt)
             present = s.isNotNull()
-            flags = [looks_numeric(s), looks_boolean(s), starts_with_after_space(s, "{"),
+            flags = [looks_numeric(s), looks_truth(s), looks_boolean(s), starts_with_after_space(s, "{"),
                      starts_with_after_space(s, "["), s.contains(",")]
-        names = ["num", "yn", "br", "sq", "cm"]
+        names = ["num", "tf", "yn", "br", "sq", "cm"]
         cells.append(F.struct(F.lit(i).alias("pos"), x.alias("x"), present.alias("nn"),
                               *[f.alias(n) for f, n in zip(flags, names)]))
     long = sample.select(F.inline(F.array(*cells)))
     bucket = F.pmod(F.xxhash64("x"), F.lit(64 * _BUCKET_WORDS))
     long = long.withColumn("b", bucket)
     agg_rows = long.groupBy("pos").agg(
-        *[F.count_if(F.col(n) & F.col("nn")).alias(n) for n in ("nn", "num", "yn", "br", "sq", "cm")],
+        *[F.count_if(F.col(n) & F.col("nn")).alias(n) for n in ("nn", "num", "tf", "yn", "br", "sq", "cm")],
         *_bucket_bitmaps(F.col("x"), F.col("b"), "bm")).collect()
     by_pos = {r["pos"]: r for r in agg_rows}
     stats = {}
-    empty = {n: 0 for n in ("nn", "num", "yn", "br", "sq", "cm")} | {f"bm{w}": 0 for w in range(_BUCKET_WORDS)}
+    empty = {n: 0 for n in ("nn", "num", "tf", "yn", "br", "sq", "cm")} | {f"bm{w}": 0 for w in range(_BUCKET_WORDS)}
     for i in range(len(cols)):
         r = by_pos.get(i, empty)  # no rows at all: every count is zero
         nn = r["nn"]
-        stats.update({f"nn{i}": nn, f"num{i}": r["num"], f"yn{i}": r["yn"]})
+        stats.update({f"nn{i}": nn, f"num{i}": r["num"], f"tf{i}": r["tf"], f"yn{i}": r["yn"]})
         for n in ("br", "sq", "cm"):
             stats[f"{n}{i}"] = (r[n] / nn) if nn else 0.0
         for w in range(_BUCKET_WORDS):
@@ -200,6 +201,8 @@ def detect_types(df: DataFrame, columns: Sequence[str] | None = None,
         if c in numeric_cols:
             n_distinct = distinct.get(c, lower[c])
             kind = C.NUMERIC_CATEGORICAL if n_distinct <= numeric_categorical_threshold else C.NUMERIC
+        elif stats[f"tf{i}"] == stats[f"nn{i}"]:
+            kind = C.NUMERIC_CATEGORICAL
         elif stats[f"yn{i}"] == stats[f"nn{i}"]:
             kind = C.BOOLEAN
         elif c not in no_list and (stats[f"br{i}"] or 0.0) > C.DICT_SHARE:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tablewright import config as C
 from tablewright.config import PrepConfig
 from tablewright.functions.names import col
-from tablewright.functions.text import is_numeric_type, try_number, value_text
+from tablewright.functions.text import is_numeric_type, number_or_truth_text, try_number, value_text
 from tablewright.operators import categories as cat
 from tablewright.operators.lists import explode_list
 from tablewright.operators.profile import detect_types, null_profile
@@ -111,7 +111,7 @@ def clean(df: DataFrame, id_col: str = "row_id", cfg: PrepConfig = PrepConfig())
     schema = {f.name: f.dataType for f in df.schema.fields}
     for c in category:
         if type_of[c] == C.NUMERIC_CATEGORICAL and not is_numeric_type(schema[c]):
-            df = df.withColumn(c, try_number(col(c), schema[c]))
+            df = df.withColumn(c, number_or_truth_text(col(c), schema[c]))
 
     med = ({r["column"]: r["median"] for r in medians(df, numeric, cfg, n_rows).collect()}
            if numeric else {})

@@ -59,6 +59,40 @@ def part_with_tags(spark: SparkSession, folder: str) -> DataFrame:
     return p.withColumn("p_tags", tags)
 
 
+def part_with_literals(spark: SparkSession, folder: str) -> DataFrame:
+    """part with ``p_literal``: Python list literals that are no JSON (quoted
+    and bare None, booleans, a dict, a tuple, escapes, a trailing comma),
+    chosen by the remainder of ``p_size``."""
+    p = table(spark, folder, "part")
+    forms = [
+        F.concat(F.lit("['say None, ok', None, '"), F.col("p_type"), F.lit("']")),
+        F.concat(F.lit("[{'a': "), F.col("p_size").cast("string"), F.lit(", 'b': None}, True]")),
+        F.concat(F.lit("['x', ('y', '"), F.col("p_brand"), F.lit("')]")),
+        F.concat(F.lit("['it\\'s', \""), F.col("p_brand"), F.lit("\",]")),
+        F.lit("[False, 'true', 2.5]"),
+        F.lit("['caf\\xe9', 'a, b']"),
+    ]
+    out = F.lit(None).cast("string")
+    for k, form in enumerate(forms):
+        out = F.when(F.col("p_size") % len(forms) == k, form).otherwise(out)
+    return p.withColumn("p_literal", out)
+
+
+def part_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    """part as a raw table with a column of every kind: numbers, numbers that
+    turn to text after the first 150 keys, True/False with gaps, Y/N, a list and
+    a dict."""
+    p = part_with_tags(spark, folder)
+    return p.select(
+        "p_partkey", "p_retailprice",
+        F.when(F.col("p_partkey") > 150, F.concat(F.lit("late-"), F.col("p_brand")))
+        .otherwise(F.col("p_partkey").cast("string")).alias("p_late"),
+        F.when(F.col("p_size") != 10, F.when(F.col("p_size") > 25, "True").otherwise("False")).alias("p_large"),
+        F.when(F.col("p_retailprice") >= 1000, "Y").otherwise("N").alias("p_flag"),
+        F.concat(F.lit('{"size": '), F.col("p_size").cast("string"), F.lit("}")).alias("p_dims"),
+        "p_tags")
+
+
 def events_with_square(spark: SparkSession, folder: str) -> DataFrame:
     """events with ``value_sq = value * value`` (a strongly skewed column)."""
     e = table(spark, folder, "events")

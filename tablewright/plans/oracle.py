@@ -99,14 +99,15 @@ def _type_select(table_name: str, source: str, column: str, pos: int, kind: str)
     t = f"trim(s, {WS})"
     numeric = f"count(s) = count(*) FILTER (WHERE {is_number('s')})"
     boolean = f"count(s) = count(*) FILTER (WHERE regexp_matches(s, {BOOL_RE}))"
+    truth = "count(s) = count(*) FILTER (WHERE s IN ('True', 'TRUE', 'true', 'False', 'FALSE', 'false'))"
     brace = f"{_share(f'starts_with({t}, ' + chr(39) + '{' + chr(39) + ')')} > 0.5"
     bracket = f"{_share(f'starts_with({t}, ' + chr(39) + '[' + chr(39) + ')')} > 0.5"
     comma = f"{_share('contains(s, ' + chr(39) + ',' + chr(39) + ')')} > 0.3"
     kind_sql = (f"CASE WHEN {numeric} THEN (CASE WHEN count(DISTINCT TRY_CAST({t} AS DOUBLE)) <= 20 "
                 f"THEN 'numeric_categorical' ELSE 'numeric' END) "
-                f"WHEN {boolean} THEN 'boolean' WHEN {brace} THEN 'dict_json' "
+                f"WHEN {truth} THEN 'numeric_categorical' WHEN {boolean} THEN 'boolean' WHEN {brace} THEN 'dict_json' "
                 f"WHEN {bracket} THEN 'list_json' WHEN {comma} THEN 'list_json' ELSE 'categorical' END")
-    hint_sql = (f"CASE WHEN {numeric} OR {boolean} THEN NULL WHEN {brace} THEN 'dict' "
+    hint_sql = (f"CASE WHEN {numeric} OR {truth} OR {boolean} THEN NULL WHEN {brace} THEN 'dict' "
                 f"WHEN {bracket} THEN 'json' WHEN {comma} THEN 'csv' ELSE NULL END")
     return (f"SELECT '{table_name}' AS table_name, '{column}' AS column, {pos} AS position, "
             f"{kind_sql} AS type, {hint_sql} AS hint "
@@ -150,6 +151,10 @@ LI_VC = [("l_returnflag", "l_returnflag"), ("l_linestatus", "l_linestatus"),
          ("l_linenumber", "CAST(l_linenumber AS VARCHAR)"), ("l_discount", num_text("l_discount")),
          ("l_tax", num_text("l_tax"))]
 SQL["value_counts"] = _vc("lineitem", LI_VC)
+SQL["value_counts_big_ids"] = """
+SELECT 'big_id' AS column, CAST(user_id + 9007199254740992 AS VARCHAR) AS value, count(*) AS count
+FROM events GROUP BY user_id
+"""
 
 ORDERS_VC = [("o_orderstatus", "o_orderstatus"), ("o_orderpriority", "o_orderpriority"),
              ("o_custkey", "CAST(o_custkey AS VARCHAR)")]
@@ -199,7 +204,7 @@ def _encoded_part() -> str:
     joins = "\n".join(
         f"LEFT JOIN d AS d{i} ON d{i}.column = '{c}' AND d{i}.value = {v.replace(c, 'p.' + c)}"
         for i, (c, v) in enumerate(PART_VC))
-    sel = ", ".join(f"CAST(d{i}.code AS INTEGER) AS {c}" for i, (c, _) in enumerate(PART_VC))
+    sel = ", ".join(f"CAST(d{i}.code AS BIGINT) AS {c}" for i, (c, _) in enumerate(PART_VC))
     return f"""
 WITH d AS ({_dictionary(_vc('part', PART_VC))})
 SELECT p.p_partkey, {sel}
@@ -241,7 +246,7 @@ def _clean() -> str:
             filled.append(f"coalesce({v}, (SELECT mode FROM mo WHERE column = '{c}')) AS {c}")
     joins = "\n".join(f"LEFT JOIN d AS d_{c} ON d_{c}.column = '{c}' AND d_{c}.value = f.{c}"
                       for c, _ in CLEAN_CATEGORY)
-    sel = ", ".join(f"round(f.{c}, 6) AS {c}" if c in CLEAN_NUMERIC else f"CAST(d_{c}.code AS INTEGER) AS {c}"
+    sel = ", ".join(f"round(f.{c}, 6) AS {c}" if c in CLEAN_NUMERIC else f"CAST(d_{c}.code AS BIGINT) AS {c}"
                     for c in CLEAN_ORDER)
     return f"""
 WITH g AS ({GAPS}),
@@ -469,7 +474,7 @@ def _std(x: str, source: str) -> str:
 SQL["preprocessed"] = f"""
 WITH o AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row_id, * FROM orders),
 d AS (SELECT CAST(o_orderdate AS VARCHAR) AS value,
-             CAST(row_number() OVER (ORDER BY CAST(o_orderdate AS VARCHAR)) - 1 AS INTEGER) AS code
+             CAST(row_number() OVER (ORDER BY CAST(o_orderdate AS VARCHAR)) - 1 AS BIGINT) AS code
       FROM (SELECT DISTINCT o_orderdate FROM orders))
 SELECT row_id, round({_std('CAST(o_orderkey AS DOUBLE)', 'o')}, 6) AS o_orderkey,
   round({_std('CAST(o_custkey AS DOUBLE)', 'o')}, 6) AS o_custkey,
@@ -488,6 +493,72 @@ SQL["standardize"] = ("SELECT l_orderkey, l_linenumber, "
                       + ", ".join(f"round({_std(c, 'lineitem')}, 6) AS {c}" for c in LI_NUM)
                       + " FROM lineitem")
 
+# PCA of three standardised columns: eigenvalues of the 3x3 correlation matrix by
+# the trigonometric formula, eigenvectors as cross products of rows of A - lambda I.
+PCA = f"""
+WITH e AS ({EVSQ}),
+c AS (SELECT corr(value, value_sq) AS a, corr(value, user_id) AS b, corr(value_sq, user_id) AS d FROM e),
+q AS (SELECT *, sqrt((a * a + b * b + d * d) / 3) AS p FROM c),
+r AS (SELECT *, acos(a * b * d / (p * p * p)) / 3 AS phi FROM q),
+l AS (SELECT *, 1 + 2 * p * cos(phi) AS l1, 1 + 2 * p * cos(phi + 2 * pi() / 3) AS l3 FROM r),
+k AS (SELECT a, b, d, 1 AS i, l1 AS lam FROM l UNION ALL SELECT a, b, d, 2, 3 - l1 - l3 FROM l),
+m AS (SELECT *, 1 - lam AS m FROM k),
+x AS (SELECT i, lam, m * m - d * d AS x, b * d - a * m AS y, a * d - b * m AS z FROM m
+      UNION ALL SELECT i, lam, d * b - m * a, m * m - b * b, a * b - d * m FROM m
+      UNION ALL SELECT i, lam, a * d - b * m, b * a - m * d, m * m - a * a FROM m),
+n AS (SELECT *, sqrt(x * x + y * y + z * z) *
+             sign(CASE WHEN abs(x) >= abs(y) AND abs(x) >= abs(z) THEN x WHEN abs(y) >= abs(z) THEN y ELSE z END) AS s
+      FROM x),
+v AS (SELECT i, lam, x / s AS x, y / s AS y, z / s AS z FROM n
+      QUALIFY row_number() OVER (PARTITION BY i ORDER BY abs(s) DESC) = 1)
+"""
+SQL["pca_variance"] = PCA + """
+SELECT 'PC' || i AS component, round(lam / 3, 6) AS explained_variance_ratio,
+  round(sum(lam) OVER (ORDER BY i) / 3, 6) AS cumulative_variance_ratio FROM v
+"""
+SQL["pca_project"] = PCA + f"""
+SELECT event_id, {", ".join(
+    "round(" + " + ".join(f"{_std(c, 'e')} * (SELECT {w} FROM v WHERE i = {i})" for c, w in zip(EV_NUM, "xyz"))
+    + f", 6) AS PC{i}" for i in (1, 2))}
+FROM e
+"""
+
+# A raw table with a column of every kind.
+MIXED = """
+SELECT p_partkey, p_retailprice,
+  CASE WHEN p_partkey > 150 THEN 'late-' || p_brand ELSE CAST(p_partkey AS VARCHAR) END AS p_late,
+  CASE WHEN p_size <> 10 THEN (CASE WHEN p_size > 25 THEN 'True' ELSE 'False' END) END AS p_large,
+  CASE WHEN p_retailprice >= 1000 THEN 'Y' ELSE 'N' END AS p_flag,
+  '{"size": ' || p_size || '}' AS p_dims, p_tags
+FROM (""" + TAGS + ")"
+SQL["clean_mixed_types"] = (f"WITH m AS ({MIXED})\nSELECT column, position, type, hint FROM (" + union(
+    [_type_select("mixed", "m", c, i, k) for i, (c, k) in enumerate(
+        [("p_retailprice", "num"), ("p_late", "text"), ("p_large", "text"), ("p_flag", "text"), ("p_dims", "text"),
+         ("p_tags", "text")])]) + ")")
+SQL["clean_mixed"] = f"""
+WITH m AS ({MIXED}),
+f AS (SELECT * REPLACE (coalesce(p_large, (SELECT p_large FROM m WHERE p_large IS NOT NULL GROUP BY p_large
+                                           ORDER BY count(*) DESC, p_large LIMIT 1)) AS p_large) FROM m)
+SELECT p_partkey, round(p_retailprice, 6) AS p_retailprice,
+  {", ".join(f"dense_rank() OVER (ORDER BY {c}) - 1 AS {c}" for c in ("p_late", "p_large", "p_flag"))}
+FROM f
+"""
+SQL["clean_mixed_lists"] = f"""
+WITH m AS (SELECT * FROM ({TAGS}))
+SELECT 'p_dims' AS column, p_partkey AS row_id, '{{"size": ' || p_size || '}}' AS value FROM m
+UNION ALL SELECT 'p_tags', p_partkey, unnest([p_type, p_brand, split_part(p_name, ' ', 1)]) FROM m
+"""
+SQL["explode_python_list"] = r"""
+SELECT p_partkey AS row_id, unnest(CASE p_size % 6
+  WHEN 0 THEN ['say None, ok', p_type]
+  WHEN 1 THEN ['{"a":' || p_size || ',"b":null}', 'True']
+  WHEN 2 THEN ['x', '["y","' || p_brand || '"]']
+  WHEN 3 THEN ['it''s', p_brand]
+  WHEN 4 THEN ['False', 'true', '2.5']
+  ELSE ['café', 'a, b'] END) AS value
+FROM part
+"""
+
 _NUM_STATS = ["count", "min", "max", "mean"]
 SQL["summary_stats"] = f"""
 WITH ct AS ({_clean()})

@@ -8,6 +8,7 @@ comparable across engines whose summation order differs.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from tablewright.functions.names import col
 from tablewright.functions.text import try_number
 from tablewright.operators import categories as cat
 from tablewright.operators import lists as L
+from tablewright.operators.lists import explode_list
 from tablewright.operators import numeric as N
 from tablewright.operators.profile import detect_types, null_profile, type_histogram
 from tablewright.operators import features as FT
@@ -118,6 +120,13 @@ def q_value_counts(spark, folder):
     return cat.value_counts(li, ["l_returnflag", "l_linestatus", "l_linenumber", "l_discount", "l_tax"])
 
 
+@query("value_counts_big_ids")
+def q_value_counts_big_ids(spark, folder):
+    # Ids above 2^53, which DOUBLE cannot tell apart.
+    e = table(spark, folder, "events").select((F.col("user_id") + F.lit(2**53)).alias("big_id"))
+    return cat.value_counts(e, ["big_id"])
+
+
 @query("modes")
 def q_modes(spark, folder):
     o = table(spark, folder, "orders")
@@ -395,18 +404,50 @@ def q_standardize(spark, folder):
     return rounded(_scaled_lineitem(spark, folder))
 
 
+def _scaled_events(spark, folder):
+    # Columns whose correlation matrix has well separated eigenvalues.
+    e = derived.events_with_square(spark, folder).select("event_id", *EVENT_NUMERIC)
+    return FT.standardize(e, FT.scaler_from(FT.scaler_fit(e, EVENT_NUMERIC)))
+
+
 @query("pca_variance")
 def q_pca_variance(spark, folder):
-    scaled = _scaled_lineitem(spark, folder)
-    _, ratios = FT.pca_fit(scaled, LINEITEM_NUMERIC)
+    scaled = _scaled_events(spark, folder)
+    _, ratios = FT.pca_fit(scaled, EVENT_NUMERIC)
     return rounded(FT.pca_variance(spark, ratios))
 
 
 @query("pca_project")
 def q_pca_project(spark, folder):
-    scaled = _scaled_lineitem(spark, folder)
-    loadings, _ = FT.pca_fit(scaled, LINEITEM_NUMERIC)
-    return rounded(FT.pca_project(scaled, LINEITEM_NUMERIC, loadings, keep=["l_orderkey", "l_linenumber"]))
+    scaled = _scaled_events(spark, folder)
+    loadings, _ = FT.pca_fit(scaled, EVENT_NUMERIC)
+    return rounded(FT.pca_project(scaled, EVENT_NUMERIC, loadings, keep=["event_id"]))
+
+
+def _clean_mixed(spark, folder):
+    return clean(derived.part_mixed(spark, folder), "p_partkey", PrepConfig(dense_row_id=False))
+
+
+@query("clean_mixed")
+def q_clean_mixed(spark, folder):
+    return rounded(_clean_mixed(spark, folder).table)
+
+
+@query("clean_mixed_types")
+def q_clean_mixed_types(spark, folder):
+    return _clean_mixed(spark, folder).types
+
+
+@query("clean_mixed_lists")
+def q_clean_mixed_lists(spark, folder):
+    sides = _clean_mixed(spark, folder).side_tables
+    out = [side.select(F.lit(c).alias("column"), "row_id", "value") for c, side in sides.items()]
+    return functools.reduce(DataFrame.unionByName, out)
+
+
+@query("explode_python_list")
+def q_explode_python_list(spark, folder):
+    return explode_list(derived.part_with_literals(spark, folder), "p_literal", "json", "p_partkey")
 
 
 @query("summary_stats")

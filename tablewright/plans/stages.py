@@ -7,7 +7,7 @@ through local files. :func:`run_all` writes every output under one folder
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -130,7 +130,7 @@ def eda(cleaned: Cleaned, cfg: PrepConfig = PrepConfig(), pearson_rows: int | No
     return Eda(summary=summary_stats(cleaned), top_categories=decoded,
                outliers=N.iqr_outliers(t, numeric), box=N.box_stats(plot, numeric),
                histogram=N.histogram(plot, numeric, cfg.histogram_bins),
-               kde=N.kde(plot, numeric, cfg.kde_points, cfg.kde_bandwidth, cfg.kde_max_distinct, cfg.kde_grid),
+               kde=N.kde(plot, numeric, cfg.kde_points, cfg.kde_bandwidth),
                pearson=pearson, scatter=scatter, lists=lists, log_transformed=mins)
 
 
@@ -193,11 +193,16 @@ def run_all(df: DataFrame, out: str, id_col: str = "row_id", cfg: PrepConfig = P
     """Run every stage on ``df`` (with a unique ``id_col``) and write the
     outputs under ``out``. Messages go to ``sink_format`` (``kafka`` for a
     broker, a file format otherwise)."""
-    out = out.rstrip("/")
-    cl = clean(df, id_col, cfg)
-    write_table(cl.table, f"{out}/clean")
-    for c, side in cl.side_tables.items():
-        write_table(side, f"{out}/lists/{c}", fmt="json")
+    spark, out = df.sparkSession, out.rstrip("/")
+
+    def again(table: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
+        """Written once; the next stage reads it instead of the plan behind it."""
+        write_table(table, path, fmt)
+        return spark.read.format(fmt).schema(table.schema).load(path)
+
+    cl = clean(again(df, f"{out}/raw"), id_col, cfg)
+    cl = replace(cl, table=again(cl.table, f"{out}/clean"),
+                 side_tables={c: again(side, f"{out}/lists/{c}", "json") for c, side in cl.side_tables.items()})
     write_metadata(cl.types, f"{out}/meta/types")
     write_metadata(cl.fill_values, f"{out}/meta/fill_values")
     write_table(cl.dictionary, f"{out}/meta/encodings", fmt="json")  # grows with the data
@@ -222,7 +227,7 @@ def run_all(df: DataFrame, out: str, id_col: str = "row_id", cfg: PrepConfig = P
         write_table(pr.pca, f"{out}/pca")
     save_params(pr, out)
 
-    features = df.sparkSession.read.parquet(f"{out}/preprocessed")
+    features = spark.read.parquet(f"{out}/preprocessed")
     if sink_format == "kafka":
         write_messages(features, "kafka")
     else:
@@ -247,12 +252,13 @@ def save_params(pr: Prepared, out: str) -> None:
 
 def apply_saved(df: DataFrame, out: str, id_col: str = "row_id") -> tuple[DataFrame, DataFrame | None]:
     """Re-apply the parameters :func:`run_all` wrote under ``out`` to a new
-    cleaned table (same columns): standardise, one-hot, keep label codes, and
-    project on the saved PCA loadings. Returns ``(features, pca)``."""
+    cleaned table: standardise, one-hot, keep label codes, and project on the
+    saved PCA loadings. Columns that ``df`` lacks are left out, and without one of
+    its columns there is no projection. Returns ``(features, pca)``."""
     spark = df.sparkSession
     out = out.rstrip("/")
-    routes = spark.read.json(f"{out}/meta/routes").orderBy("position").collect()
-    params = FT.scaler_from(spark.read.json(f"{out}/meta/scaler"))
+    routes = [r for r in spark.read.json(f"{out}/meta/routes").orderBy("position").collect() if r["column"] in df.columns]
+    params = {c: p for c, p in FT.scaler_from(spark.read.json(f"{out}/meta/scaler")).items() if c in df.columns}
     cats = FT.categories_from(spark.read.json(f"{out}/meta/ohe_mappings"), spark.read.json(f"{out}/meta/encodings"))
     numeric = [r["column"] for r in routes if r["route"] == "numeric"]
     ohe = [r["column"] for r in routes if r["route"] == "one_hot"]
@@ -264,5 +270,6 @@ def apply_saved(df: DataFrame, out: str, id_col: str = "row_id") -> tuple[DataFr
     pca = None
     if numeric:
         cols, load = FT.loadings_from(spark.read.json(f"{out}/meta/pca_loadings"))
-        pca = FT.pca_project(scaled, cols, load, keep=[id_col])
+        if set(cols) <= set(df.columns):
+            pca = FT.pca_project(scaled, cols, load, keep=[id_col])
     return features, pca

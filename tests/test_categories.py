@@ -23,7 +23,7 @@ def test_encode_decode_roundtrip_inline_and_join(spark):
     d = cat.label_dictionary(cat.value_counts(df, ["n", "t"]))
     for inline_limit in (10_000, 0):
         enc = cat.label_encode(df, ["n", "t"], d, inline_limit=inline_limit)
-        assert dict(enc.dtypes)["n"] == "int"
+        assert dict(enc.dtypes)["n"] == "bigint"
         dec = cat.label_decode(enc, ["n", "t"], d, inline_limit=inline_limit)
         assert sorted(map(tuple, dec.collect())) == sorted(map(tuple, df.collect()))
 
@@ -48,3 +48,12 @@ def test_category_summary(spark):
     df = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "x string")
     s = cat.category_summary(cat.value_counts(df, ["x"])).first()
     assert (s["count"], s["num_unique_values"]) == (3, 2)
+
+
+def test_keys_of_long_ids_and_decimals(spark):
+    df = spark.sql("""SELECT * FROM VALUES (9007199254740992L, 1.50BD), (9007199254740993L, 1.00BD),
+                      (3000000000000000L, 0.00BD), (-7L, 20.00BD) AS t(id, d)""")
+    got = {(r.column, r.value): r["count"] for r in cat.value_counts(df, ["id", "d"]).collect()}
+    assert got == {(c, v): 1 for c, v in [
+        ("id", "9007199254740992"), ("id", "9007199254740993"), ("id", "3000000000000000"), ("id", "-7"),
+        ("d", "1.5"), ("d", "1"), ("d", "0"), ("d", "20")]}

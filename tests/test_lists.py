@@ -41,6 +41,27 @@ def test_json_hint_forms(spark):
     assert got[11] == ["{'k': 1}"]
 
 
+def test_python_literals(spark):
+    got = explode(spark, [
+        "[{'a': 1, 'b': None}]",           # one dict, one item
+        "['say None, ok', None]",          # quoted text is left alone
+        "['x', ('y','z')]",                # a tuple is a nested list
+        "[True, 'x', 'true', False]",      # booleans keep their Python text
+        "['it\\'s', \"say 'hi'\",]",       # escapes, other quotes, trailing comma
+        "['caf\\xe9', 'a\\\\x41']",        # two-digit escapes, not after a backslash
+        "{'a': True, 'b': (1, None)}",     # a dict keeps its text
+        "['" + "long " * 20_000 + "']",
+    ], "json")
+    assert got[0] == ['{"a":1,"b":null}']
+    assert got[1] == ["say None, ok"]
+    assert got[2] == ["x", '["y","z"]']
+    assert got[3] == ["True", "x", "true", "False"]
+    assert got[4] == ["it's", "say 'hi'"]
+    assert got[5] == ["café", "a\\x41"]
+    assert got[6] == ["{'a': True, 'b': (1, None)}"]
+    assert got[7] == ["long " * 20_000]
+
+
 def test_dict_hint_keeps_object_text(spark):
     got = explode(spark, ['{"k": 69}', ' {"a": 1, "b": [1,2]} ', "{broken, x}"], "dict")
     assert got[0] == ['{"k": 69}']

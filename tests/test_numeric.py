@@ -95,13 +95,6 @@ def test_numeric_summary(spark, data):
     assert s["count"] == pdf.z.count() and s["mean"] == pytest.approx(pdf.z.mean())
 
 
-def test_binned_kde_is_close(spark, data):
-    df, pdf = data
-    exact = N.kde(df, ["y"], 200, 0.6).toPandas().sort_values("point")
-    binned = N.kde(df, ["y"], 200, 0.6, max_distinct=10, grid=4096).toPandas().sort_values("point")
-    np.testing.assert_allclose(binned.density, exact.density, rtol=1e-3, atol=1e-6)
-
-
 def test_head_paths_agree(spark):
     rows = [(i, (i * 7919) % 1000) for i in range(3000)]
     df = spark.createDataFrame(rows, "id long, k long").repartition(12)

@@ -56,7 +56,7 @@ def test_text_rules_and_shares(spark):
     assert t["l6"] == ("list_json", "json")
     assert t["c4"] == ("list_json", "csv")
     assert t["c3"] == ("categorical", None)
-    assert t["tf"] == ("categorical", None)
+    assert t["tf"] == ("numeric_categorical", None)
     assert t["dd"] == ("categorical", None)
     assert t["empty"] == ("numeric_categorical", None)
 
