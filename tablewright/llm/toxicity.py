@@ -48,6 +48,8 @@ SMOOTHING, MOST = 5.0, 3.0
 #: Texts that a word or n-gram must be in to say anything.
 SUPPORT = 4
 PART_CHARS, OVERLAP_CHARS = 1_000_000, 1_000
+#: Bytes whose words are hashed at a time.
+HASH_BYTES = 2**20
 _ODD = 0xC2B2AE3D27D4EB4F
 
 
@@ -58,7 +60,26 @@ def _tables():
     word = np.zeros(256, bool)
     word[48:58] = word[65:91] = word[97:123] = word[128:] = True
     factor = np.random.default_rng(41).integers(1, 2**63, 256, dtype=np.uint64)
-    return lower, word, factor, _powers(_ODD, 2 * CHUNK_CHARS), _powers(pow(_ODD, -1, 2**64), 2 * CHUNK_CHARS)
+    return lower, word, factor, _powers(_ODD, HASH_BYTES), _powers(pow(_ODD, -1, 2**64), HASH_BYTES)
+
+
+def _hashes(data: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each word, the same wherever the word stands."""
+    _, _, factor, up, down = _tables()
+    key, first = np.empty(len(begin), np.uint64), 0
+    while first < len(begin):
+        low = begin[first]
+        last = max(first + 1, int(np.searchsorted(stop, low + HASH_BYTES, "right")))
+        n = int(stop[last - 1] - low)
+        if n > len(up):                                # one word of more bytes
+            up, down = _powers(_ODD, n), _powers(pow(_ODD, -1, 2**64), n)
+        total = np.zeros(n + 1, np.uint64)
+        np.multiply(factor[data[low:low + n]], up[:n], out=total[1:])
+        np.cumsum(total, out=total)
+        at = begin[first:last] - low
+        key[first:last] = mix((total[stop[first:last] - low] - total[at]) * down[at])
+        first = last
+    return key
 
 
 def parts(text: str) -> Iterator[str]:
@@ -76,18 +97,14 @@ class WordTable:
     bytes and the buckets of its n-grams."""
 
     def __init__(self, texts: list[str]):
-        lower, is_word, factor, up, down = _tables()
+        lower, is_word, *_ = _tables()
         raw = [t.encode("utf-8") for t in texts]
         data = lower[np.frombuffer(b" ".join([b"", *raw, b""]), np.uint8)]
-        if len(data) > len(up):
-            up, down = _powers(_ODD, len(data)), _powers(pow(_ODD, -1, 2**64), len(data))
         ends = np.cumsum(np.fromiter((len(r) + 1 for r in raw), np.int64, len(raw)))
         inside = is_word[data]
         edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
         begin, stop = edge[::2], edge[1::2]
-        total = np.cumsum(factor[data] * up[:len(data)], dtype=np.uint64)
-        key = mix((total[stop - 1] - total[begin - 1]) * down[begin])
-        codes, unique = pd.factorize(key)
+        codes, unique = pd.factorize(_hashes(data, begin, stop))
         first = np.zeros(len(unique), np.int64)
         first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
         self.codes = (codes + 1).astype(np.int32)
