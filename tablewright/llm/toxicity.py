@@ -344,15 +344,46 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"):
-    """A model from the labelled texts that are not held out."""
+def sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> list:
+    """At most ``SAMPLE`` labelled texts of each label from rows that are not held
+    out, those with the smallest hashes, as rows (label, order, text, copies).
+
+    Ids and hashes are joined with the labels first; the chosen texts follow by a
+    second scan. About twice the sample's number of hashes reach the driver, by a
+    bound on the hash that is doubled until enough lie below it."""
+    spark = df.sparkSession
     wanted = labels.where(F.col(label_col).isin(0, 1)).where(~held_out(id_col)).select(
         F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).distinct()
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(
-        F.coalesce(F.char_length("text"), F.lit(0)) <= SAMPLE_CHARS).join(wanted, "id").select(
-        F.coalesce("text", F.lit("")).alias("text"), "label", F.xxhash64("text", F.lit(1)).alias("order"))
-    # The smallest hashes of each kind: a top-k of bounded size, not a sort.
-    some = [x for kind in (0, 1) for x in rows.where(F.col("label") == kind).orderBy("order", "text").limit(SAMPLE).collect()]
+    rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where(
+        F.char_length("text") <= SAMPLE_CHARS).withColumn("order", F.xxhash64("text", F.lit(1)))
+    known = rows.select("id", "order").join(wanted, "id").groupBy("label", "order").agg(
+        F.min("id").alias("id"), F.count("*").alias("copies"))
+    known = written(known, "labelled-texts")
+    many = {x["label"]: x["n"] for x in known.groupBy("label").agg(F.sum("copies").alias("n")).collect()}
+    chosen = []
+    for kind, n in many.items():
+        share, found = 2 * SAMPLE / n, []
+        while sum(x["copies"] for x in found) < min(n, SAMPLE):
+            bound = int(2**63 * (2 * min(share, 1) - 1))
+            below = F.lit(True) if share >= 1 else F.col("order") < bound
+            found = known.where(F.col("label") == kind).where(below).collect()
+            share *= 2
+        left = SAMPLE
+        for x in sorted(found, key=lambda x: x["order"]):
+            if left:
+                chosen.append((x["label"], x["order"], x["id"], min(left, x["copies"])))
+                left -= chosen[-1][-1]
+    if not chosen:
+        return []
+    # 2 * SAMPLE short rows.
+    picked = F.broadcast(spark.createDataFrame(chosen, known.schema))
+    texts = rows.join(picked, ["id", "order"]).groupBy("label", "order", "copies").agg(F.first("text").alias("text"))
+    return sorted(texts.collect(), key=lambda x: (x["label"], x["order"]))
+
+
+def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"):
+    """A model from the labelled texts that are not held out."""
+    some = [x for x in sample(df, labels, id_col, text_col, label_col) for _ in range(x["copies"])]
     y = np.array([x["label"] for x in some], np.int64)
     if len(set(y.tolist())) < 2:
         return Constant(float(y.mean()) if len(y) else 0.0)
