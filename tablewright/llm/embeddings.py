@@ -12,9 +12,14 @@ touches. Inside a cell the residents are sorted by a projection, a query takes
 the window around its own value, pairs that also collide on the other
 directions of the table and often enough on all directions are verified by
 their cosine in double precision. A pair found by several tables counts in the
-first one only. Cells with many residents are split into blocks, and every
-block of queries meets every block of residents; a task emits a count for each
-query and the edges of a spanning star, never all pairs.
+first one only. A cell's residents and its queries are each split into blocks
+by their own number, and every block of queries meets every block of residents;
+a task emits a count for each query and the edges of a spanning star, never all
+pairs.
+
+Equal vectors of a label are one node before they are projected: a link to it
+counts all of them, and each of them links with the others. An id that has
+several vectors keeps a node for each, as it has no link with itself.
 
 Cases: vectors that are null, empty or zero, hold null or non-finite
 components, or have a null label link with nothing; vectors of different
@@ -94,7 +99,8 @@ def _entries(width: float, per_table: int):
                             rows.append(k), cells.append(cell), tables.append(t), roles.append(True)
                 at = same.iloc[rows]
                 yield pd.DataFrame({"label": at["label"].to_numpy(), "size": at["size"].to_numpy(), "tab": tables, "cell": cells,
-                                    "query": roles, "vec_id": at["vec_id"].to_numpy(), "embedding": at["embedding"].to_numpy()})
+                                    "query": roles, "vec_id": at["vec_id"].to_numpy(), "copies": at["copies"].to_numpy(),
+                                    "embedding": at["embedding"].to_numpy()})
 
     return run
 
@@ -106,7 +112,7 @@ def _compare(cosine: float, width: float, least: int, per_table: int):
             return pd.DataFrame({"a": [], "b": [], "n": []}).astype("int64")
         table, size = int(frame["tab"].iloc[0]), int(frame["size"].iloc[0])
         unit = units(frame["embedding"].tolist())
-        value, ids = unit @ directions_of(size), frame["vec_id"].to_numpy(np.int64)
+        value, ids, copies = unit @ directions_of(size), frame["vec_id"].to_numpy(np.int64), frame["copies"].to_numpy(np.int64)
         mine = [table * per_table + k for k in range(per_table)]
         earlier = [[t * per_table + k for k in range(per_table)] for t in range(table)]
         res = np.flatnonzero(~query)
@@ -116,7 +122,7 @@ def _compare(cosine: float, width: float, least: int, per_table: int):
         first = np.searchsorted(line, value[ask, mine[0]] - width, "left")
         many = np.searchsorted(line, value[ask, mine[0]] + width, "right") - first
         ends = np.cumsum(many)
-        left, right = [], []
+        left, right, weight = [], [], []
         start = 0
         while start < len(ask):                       # about a million window places at a time
             stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + 1_000_000, "right")))
@@ -134,10 +140,12 @@ def _compare(cosine: float, width: float, least: int, per_table: int):
                 near &= ~close[:, other].all(axis=1)
             q, r = q[near], r[near]
             near = np.einsum("ij,ij->i", unit[q], unit[r]) >= cosine
-            left.append(ids[q[near]]), right.append(ids[r[near]])
+            left.append(ids[q[near]]), right.append(ids[r[near]]), weight.append(copies[r[near]])
             start = stop
         a, b = np.concatenate(left), np.concatenate(right)
-        counted, n = np.unique(a, return_counts=True)
+        counted, at = np.unique(a, return_inverse=True)
+        n = np.zeros(len(counted), np.int64)
+        np.add.at(n, at, np.concatenate(weight))
         nodes, low = stars(a, b)
         return pd.DataFrame({"a": np.concatenate([counted, nodes]), "b": np.concatenate([counted, low]),
                              "n": np.concatenate([n, np.zeros(len(nodes), np.int64)])})
@@ -145,6 +153,22 @@ def _compare(cosine: float, width: float, least: int, per_table: int):
     return run
 
 
+def _dealt(entries: DataFrame) -> DataFrame:
+    """``entries`` with of_query and of_resident, the blocks that meet: a query
+    goes to every block of residents of its cell, a resident to every block of queries."""
+    cell = ["label", "size", "tab", "cell"]
+    blocks = lambda rows: F.ceil(F.count_if(rows) / BLOCK_ROWS).cast("int")
+    # Two residents or more, or one with other queries: a lone vector meets itself only.
+    held = entries.groupBy(*cell).agg(blocks(F.col("query")).alias("queries"), blocks(~F.col("query")).alias("residents"),
+                                      F.count("*").alias("rows")).where("queries > 0 and residents > 0 and rows > 2").drop("rows")
+    mine, others = (F.when(F.col("query"), F.col(a)).otherwise(F.col(b)) for a, b in (("queries", "residents"), ("residents", "queries")))
+    return entries.join(held, cell).select(
+        *entries.columns, F.pmod(F.xxhash64("vec_id", "embedding"), mine).cast("int").alias("own"),
+        F.explode(F.sequence(F.lit(0), others - 1)).alias("other")).select(
+        *entries.columns, F.when(F.col("query"), F.col("own")).otherwise(F.col("other")).alias("of_query"),
+        F.when(F.col("query"), F.col("other")).otherwise(F.col("own")).alias("of_resident"))
+
+
 def near_embeddings(df: DataFrame, cosine: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding",
                     label_col: str = "label") -> DataFrame:
     """One row per vector: id, n_links (other vectors of the same label with at
@@ -156,31 +180,33 @@ def near_embeddings(df: DataFrame, cosine: float = 0.98, id_col: str = "vec_id",
                       F.col(label_col).alias("label"))
     usable = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(
         "embedding", lambda x: x != 0)
-    vectors = every.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull()).where(
-        F.coalesce(usable, F.lit(False))).dropDuplicates(["vec_id", "label", "embedding"]).withColumn("size", F.size("embedding"))
-    vectors = written(vectors, "vectors")
-    largest = vectors.groupBy("label", "size").count().agg(F.max("count")).first()[0] or 1
+    rows = every.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull()).where(
+        F.coalesce(usable, F.lit(False))).dropDuplicates(["vec_id", "label", "embedding"])
+    rows = written(rows, "vectors")
+    several = written(rows.groupBy("vec_id").count().where("count > 1").select("vec_id"), "ids-of-several")
+    alone = rows.join(several, "vec_id", "left_anti")
+    folded = written(alone.groupBy("label", "embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")), "folded")
+    nodes = folded.unionByName(rows.join(several, "vec_id", "left_semi").withColumn("copies", F.lit(1).cast("long"))).withColumn(
+        "size", F.size("embedding"))
+    many = folded.where("copies > 1").select(F.col("label").alias("of_label"), F.col("embedding").alias("of_embedding"),
+                                             F.col("vec_id").alias("first"), "copies")
+    members = written(alone.join(many, (F.col("label") == F.col("of_label")) & (F.col("embedding") == F.col("of_embedding"))).select(
+        F.col("vec_id").alias("member"), "first", "copies"), "copies")
+    largest = nodes.groupBy("label", "size").count().agg(F.max("count")).first()[0] or 1
     per_table = min(DIRECTIONS // TABLES, max(2, math.ceil(math.log(largest / CELL_ROWS + 1, 3))))
     width, least = calibrate(cosine, per_table)
-    label_type = vectors.schema["label"].dataType.simpleString()
+    label_type = rows.schema["label"].dataType.simpleString()
     key = f"label {label_type}, size int, tab int, cell string"
-    entries = written(vectors.mapInPandas(_entries(width, per_table), f"{key}, query boolean, vec_id bigint, embedding array<double>"),
-                      "entries")
-    cell = ["label", "size", "tab", "cell"]
-    # Two residents or more, or one with other queries: a lone vector meets itself only.
-    held = entries.groupBy(*cell).agg(F.count_if(~F.col("query")).alias("residents"), F.count("*").alias("rows")).where(
-        "residents > 0 and rows > 2").select(*cell, F.ceil(F.col("residents") / BLOCK_ROWS).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")
-    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = entries.join(held, cell).select("*", own.alias("own"), each.alias("other")).select(
-        *cell, "query", "vec_id", "embedding", F.when(F.col("query"), F.col("own")).otherwise(F.col("other")).alias("of_query"),
-        F.when(F.col("query"), F.col("other")).otherwise(F.col("own")).alias("of_resident"))
-    found = written(dealt.groupBy(*cell, "of_query", "of_resident").applyInPandas(
+    entries = written(nodes.mapInPandas(_entries(width, per_table),
+                                        f"{key}, query boolean, vec_id bigint, copies bigint, embedding array<double>"), "entries")
+    found = written(_dealt(entries).groupBy("label", "size", "tab", "cell", "of_query", "of_resident").applyInPandas(
         _compare(cosine, width, least, per_table), "a bigint, b bigint, n bigint"), "links")
     links = found.where("n > 0").groupBy("a").agg(F.sum("n").alias("n_links")).withColumnRenamed("a", "at")
     joined = components(found.where("n = 0")).select(F.col("node").alias("of"), "component")
-    return every.select("vec_id").join(links, F.col("vec_id") == F.col("at"), "left").join(
-        joined, F.col("vec_id") == F.col("of"), "left").select(
-        F.col("vec_id").alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        F.coalesce("component", "vec_id").alias("component_id"),
-        F.coalesce(F.col("vec_id") == F.coalesce("component", "vec_id"), F.lit(False)).alias("kept"))
+    # The first of its copies stands for each.
+    asked = every.select("vec_id").join(members, F.col("vec_id") == F.col("member"), "left").select(
+        "vec_id", F.coalesce("first", "vec_id").alias("first"), (F.coalesce("copies", F.lit(1)) - 1).alias("others"))
+    component = F.coalesce("component", "first")
+    return asked.join(links, F.col("first") == F.col("at"), "left").join(joined, F.col("first") == F.col("of"), "left").select(
+        F.col("vec_id").alias(id_col), (F.coalesce("n_links", F.lit(0)) + F.col("others")).alias("n_links"),
+        component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))

@@ -236,6 +236,41 @@ def test_near_embeddings(spark):
     assert calibrate(0.98, 3)[1] <= 32
 
 
+def test_copies_of_a_vector_fold_and_queries_are_dealt_in_blocks(spark, monkeypatch):
+    from tablewright.llm import embeddings as E
+
+    rng = np.random.default_rng(6)
+    hot, hub, other = rng.standard_normal((3, 16))
+    near = [(hub + rng.normal(0, 0.01, 16)).tolist() for _ in range(300)]
+    rows = [(i, v, 0) for i, v in enumerate([hot.tolist()] * 400 + near + rng.standard_normal((40, 16)).tolist())]
+    rows += [(900, hot.tolist(), 0), (900, (hot + 0.001).tolist(), 0), (901, hot.tolist(), 1), (3, hot.tolist(), 0),
+             (902, hot.tolist(), 0), (902, other.tolist(), 0), (903, other.tolist(), 0)]
+    limit, whole = 40, E._compare
+    monkeypatch.setattr(E, "BLOCK_ROWS", limit)
+
+    def bounded(*args):
+        run = whole(*args)
+
+        def compare(frame):
+            assert 0 < len(frame) <= 4 * limit, len(frame)
+            return run(frame)
+
+        return compare
+
+    monkeypatch.setattr(E, "_compare", bounded)
+    df = table(spark, rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in E.near_embeddings(df).collect()}
+    distinct = list({(i, tuple(v), y) for i, v, y in rows})
+    unit = np.array([v for _, v, _ in distinct])
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    like, ids = unit @ unit.T >= 0.98, np.array([i for i, _, _ in distinct])
+    labels = np.array([y for _, _, y in distinct])
+    like &= (ids[:, None] != ids) & (labels[:, None] == labels)
+    low = components_of({i for i, _, _ in rows}, [(int(ids[a]), int(ids[b])) for a, b in np.argwhere(like)])
+    for i in low:
+        assert (got[i].n_links, got[i].component_id, got[i].kept) == (like[ids == i].sum(), low[i], low[i] == i)
+
+
 # 7 ------------------------------------------------------------------------------------------------
 def test_warc_round_trip(spark, tmp_dir):
     import gzip
