@@ -9,8 +9,10 @@ about its character n-grams and about the word itself (log-odds of the label).
 
 Training is in numpy on the driver, on a bounded sample of the labelled texts
 (``SAMPLE`` of each kind at most, the smallest hashes, of at most ``SAMPLE_CHARS``
-characters each). A text's label stands for its most suspicious window, which
-is chosen anew by the network between epochs. Scoring runs in the tasks and
+characters each). Each text weighs as many labelled texts of its kind, of any
+length, as it stands for, so the share of toxic texts that the network learns is
+that of all labels at every size. A text's label stands for its most suspicious
+window, which is chosen anew by the network between epochs. Scoring runs in the tasks and
 takes whole texts; the model that is sent there has a fixed size.
 
 Cases: null and empty texts and texts without words have one empty window and
@@ -222,14 +224,14 @@ class Network:
     def logits(self, codes: np.ndarray, p: dict[str, np.ndarray], size: int = 2_048) -> np.ndarray:
         return np.concatenate([self.forward(codes[k:k + size], p) for k in range(0, len(codes), size)])
 
-    def gradients(self, codes: np.ndarray, y: np.ndarray, t: WordTable) -> dict[str, np.ndarray]:
+    def gradients(self, codes: np.ndarray, y: np.ndarray, t: WordTable, weight_of: np.ndarray | float = 1.0) -> dict[str, np.ndarray]:
         h, w = HIDDEN, self.w
         own, codes = np.unique(np.append(codes.ravel(), 0), return_inverse=True)   # the batch's own words, 0 first
         codes, own = codes[:-1].reshape(len(y), -1), own[1:] - 1
         x = self.inputs(t, own)
         p = self.projected(x)
         logit, states, weight, pooled, tape = self.forward(codes, p, keep=True)
-        d_logit = ((_sigmoid(logit) - y) / len(y)).astype(np.float32)
+        d_logit = ((_sigmoid(logit) - y) * weight_of / len(y)).astype(np.float32)
         g = {"u": pooled.T @ d_logit, "b": np.array([d_logit.sum()])}
         d_pooled = d_logit[:, None] * w["u"]
         d_weight = np.einsum("tnh,nh->tn", states, d_pooled)
@@ -291,8 +293,9 @@ def _odds(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
     return np.where(seen, np.clip(out - base, -MOST, MOST), 0).astype(np.float32)
 
 
-def train(texts: list[str], y: np.ndarray, seed: int = 3) -> Network:
-    """A network for texts with labels 0 and 1, both present."""
+def train(texts: list[str], y: np.ndarray, every: dict[int, int] | None = None, seed: int = 3) -> Network:
+    """A network for texts with labels 0 and 1, both present. ``every``: how many
+    labelled texts of each kind there are, if ``texts`` are a sample of them."""
     t = WordTable(texts)
     grams = [(b[v], t.owner[v]) for b, v in t.ngrams()]
     bucket, owner = np.concatenate([b for b, _ in grams]), np.concatenate([o for _, o in grams])
@@ -310,6 +313,8 @@ def train(texts: list[str], y: np.ndarray, seed: int = 3) -> Network:
     codes, of = t.windows()
     rng = np.random.default_rng(seed)
     suspicious = np.concatenate([[0], np.maximum(net.all_inputs(t)[:, 1], 0)])[codes].sum(axis=1)
+    every = np.array([every[0], every[1]]) if every else totals
+    stands_for, any_stands_for = every / totals, every.sum() / len(y)
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.w.items()}
     count = 0
     epochs = max(EPOCHS, -(-STEPS * BATCH // (len(y) + len(y) // 2)))
@@ -319,10 +324,13 @@ def train(texts: list[str], y: np.ndarray, seed: int = 3) -> Network:
         ranked = np.lexsort((-suspicious, of))
         top = ranked[np.concatenate([[True], of[ranked][1:] != of[ranked][:-1]])]
         rows = np.concatenate([top, rng.choice(np.flatnonzero(y[of] == 0), min(len(top) // 2, int((y[of] == 0).sum())), replace=False)])
-        rng.shuffle(rows)
+        weight = np.concatenate([stands_for[y[of[top]]], np.full(len(rows) - len(top), any_stands_for)])
+        weight /= weight.mean()
+        order = rng.permutation(len(rows))
+        rows, weight = rows[order], weight[order]
         for k in range(0, len(rows), BATCH):
             some = rows[k:k + BATCH]
-            g = net.gradients(codes[some], y[of[some]].astype(np.float32), t)
+            g = net.gradients(codes[some], y[of[some]].astype(np.float32), t, weight[k:k + BATCH])
             count += 1
             for name, d in g.items():
                 m, s = moment[name]
@@ -344,9 +352,10 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> list:
+def sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> tuple[list, dict[int, int]]:
     """At most ``SAMPLE`` labelled texts of each label from rows that are not held
-    out, those with the smallest hashes, as rows (label, order, text, copies).
+    out, those with the smallest hashes, as rows (label, order, text, copies); and how
+    many labelled rows of each kind there are, also of longer texts.
 
     Ids and hashes are joined with the labels first; the chosen texts follow by a
     second scan. About twice the sample's number of hashes reach the driver, by a
@@ -354,11 +363,13 @@ def sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_c
     spark = df.sparkSession
     wanted = labels.where(F.col(label_col).isin(0, 1)).where(~held_out(id_col)).select(
         F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).distinct()
-    rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where(
-        F.char_length("text") <= SAMPLE_CHARS).withColumn("order", F.xxhash64("text", F.lit(1)))
-    known = rows.select("id", "order").join(wanted, "id").groupBy("label", "order").agg(
+    rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn(
+        "order", F.xxhash64("text", F.lit(1))).withColumn("short", F.char_length("text") <= SAMPLE_CHARS)
+    found = rows.select("id", "order", "short").join(wanted, "id").groupBy("label", "order", "short").agg(
         F.min("id").alias("id"), F.count("*").alias("copies"))
-    known = written(known, "labelled-texts")
+    found = written(found, "labelled-texts")
+    every = {x["label"]: x["n"] for x in found.groupBy("label").agg(F.sum("copies").alias("n")).collect()}
+    known = found.where("short").drop("short")
     many = {x["label"]: x["n"] for x in known.groupBy("label").agg(F.sum("copies").alias("n")).collect()}
     chosen = []
     for kind, n in many.items():
@@ -374,20 +385,21 @@ def sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_c
                 chosen.append((x["label"], x["order"], x["id"], min(left, x["copies"])))
                 left -= chosen[-1][-1]
     if not chosen:
-        return []
+        return [], every
     # 2 * SAMPLE short rows.
     picked = F.broadcast(spark.createDataFrame(chosen, known.schema))
-    texts = rows.join(picked, ["id", "order"]).groupBy("label", "order", "copies").agg(F.first("text").alias("text"))
-    return sorted(texts.collect(), key=lambda x: (x["label"], x["order"]))
+    texts = rows.where("short").join(picked, ["id", "order"]).groupBy("label", "order", "copies").agg(F.first("text").alias("text"))
+    return sorted(texts.collect(), key=lambda x: (x["label"], x["order"])), every
 
 
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"):
     """A model from the labelled texts that are not held out."""
-    some = [x for x in sample(df, labels, id_col, text_col, label_col) for _ in range(x["copies"])]
+    chosen, every = sample(df, labels, id_col, text_col, label_col)
+    some = [x for x in chosen for _ in range(x["copies"])]
     y = np.array([x["label"] for x in some], np.int64)
     if len(set(y.tolist())) < 2:
-        return Constant(float(y.mean()) if len(y) else 0.0)
-    return train([x["text"] for x in some], y)
+        return Constant(every.get(1, 0) / max(1, sum(every.values())))
+    return train([x["text"] for x in some], y, every)
 
 
 def score(df: DataFrame, model, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:

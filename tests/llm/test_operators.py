@@ -122,6 +122,16 @@ def test_toxicity_learns_and_scores_whole_texts(spark, odd):
     assert {r.score for r in toxicity.score(odd, none).collect()} == {0.0}
 
 
+def test_toxicity_learns_the_share_of_all_labels(spark, monkeypatch):
+    from tablewright.llm import toxicity
+
+    monkeypatch.setattr(toxicity, "SAMPLE", 60)
+    rows = [(i, "alpha beta gamma", int(i % 8 == 0)) for i in range(800)]
+    df = table(spark, rows, "doc_id long, text string, toxic int")
+    got = toxicity.score(df, toxicity.fit(df, df.select("doc_id", "toxic"))).collect()
+    assert sum(r.score for r in got) / len(got) < 0.2
+
+
 def test_network_gradients_are_right():
     from tablewright.llm import toxicity as X
 
