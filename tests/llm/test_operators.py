@@ -184,6 +184,22 @@ def test_url_rules(spark):
     assert {r.page_id: r.verdict for r in judge(asked, [], labelled=known).collect()} == {1: "block", 2: "allow"}
 
 
+@pytest.mark.parametrize("broadcast_rows", [20_000, 0])
+def test_url_statistics_are_of_all_labelled_rows(spark, monkeypatch, broadcast_rows):
+    from tablewright.llm import urls
+
+    monkeypatch.setattr(urls, "SAMPLE", 60)
+    monkeypatch.setattr(urls, "BROADCAST_ROWS", broadcast_rows, raising=False)
+    rng = random.Random(1)
+    hosts = ["".join(rng.choices("abcdefgh", k=6)) + ".com" for _ in range(150)]
+    rows = [(f"http://{h}/{i}", "block" if k % 2 else "allow") for k, h in enumerate(hosts) for i in range(10, 30)]
+    rows += [(f"http://hot.net/{i}", "allow") for i in range(10) for _ in range(500)]
+    known = table(spark, rows, "url string, verdict string")
+    asked = table(spark, [(k, f"http://{h}/99") for k, h in enumerate(hosts)], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in urls.judge(asked, [], labelled=known).collect()}
+    assert got == {k: "block" if k % 2 else "allow" for k in range(len(hosts))}
+
+
 # 5 ------------------------------------------------------------------------------------------------
 def test_fingerprints(spark):
     from tablewright.llm.syncmers import fingerprints
