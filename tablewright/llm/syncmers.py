@@ -5,10 +5,9 @@ of the runs between white space). A k-mer is ``K`` words in a row; it is chosen
 if the least hash of its inner substrings of ``S`` words stands at its first or
 last place. The choice depends on the k-mer alone, so equal passages have equal
 anchors wherever they stand, and an edit changes the anchors next to it only. A
-fingerprint is the ``SIZE`` smallest distinct anchor hashes of the whole text,
-each with the place of its first anchor; likeness estimates the share of common
-anchors from the smallest hashes of the two fingerprints together (exactly, if
-a text has no more anchors). Everything is built of DataFrame functions.
+fingerprint is all distinct anchor hashes of the whole text, each with the place
+of its first anchor; likeness is the share of common anchors of all anchors of
+the two. Everything is built of DataFrame functions.
 
 A text without a chosen k-mer has its whole word sequence as its one anchor; a
 text without words has none, and two such texts are alike (1). Null is empty.
@@ -16,7 +15,7 @@ text without words has none, and two such texts are alike (1). Null is empty.
 For the next document, rows are dealt by ranges of the id (bounds from an
 approximate quantile, at most ``MOST_RANGES``), and the first row of each range
 is also sent to the range before it, so a window over one range sees the next
-document of every row. Texts are shuffled once. An id is expected to be unique;
+document of every row. Texts are shuffled once, fingerprints never. An id is expected to be unique;
 rows of one id are ordered by their text, null ids come first. An empty table
 gives an empty result; other columns are ignored.
 """
@@ -28,12 +27,17 @@ from pyspark.sql import functions as F
 
 from tablewright.llm.shared import let
 
-K, S, PIECE, SIZE = 5, 2, 12, 64
+K, S, PIECE = 5, 2, 12
 RANGE_ROWS, MOST_RANGES = 500, 1_024
 
 
+def anchor(value: Column, place: Column) -> Column:
+    return F.struct(value.alias("hash"), place.cast("int").alias("place"))
+
+
 def anchors(text: Column) -> Column:
-    """array<bigint>: hashes of the chosen k-mers of a text, in order."""
+    """array<struct<hash bigint, place int>>: the chosen k-mers of a text, in order.
+    A place is the number of the anchor in its text."""
     words = F.transform(F.regexp_extract_all(text, F.lit(r"\S{1,%d}" % PIECE), F.lit(0)), lambda w: F.xxhash64(w))
 
     def chosen(h: Column) -> Column:
@@ -43,18 +47,19 @@ def anchors(text: Column) -> Column:
             wide = K - S
             at = F.filter(F.sequence(F.lit(0), F.size(h) - K), lambda i: F.least(F.get(s, i), F.get(s, i + wide)) <= F.least(
                 *[F.get(s, i + j) for j in range(1, wide)]))
-            return F.transform(at, lambda i: F.xxhash64(F.get(s, i), F.get(s, i + 2), F.get(h, i + 4)))
+            return F.transform(at, lambda i, k: anchor(F.xxhash64(F.get(s, i), F.get(s, i + 2), F.get(h, i + 4)), k + 1))
 
-        return let(let(inner, pick), lambda x: F.when(F.size(x) > 0, x).otherwise(F.array(F.xxhash64(h))))
+        return let(let(inner, pick), lambda x: F.when(F.size(x) > 0, x).otherwise(F.array(anchor(F.xxhash64(h), F.lit(1)))))
 
-    return let(words, lambda h: F.when(F.size(h) == 0, F.array().cast("array<bigint>")).when(
-        F.size(h) < K, F.array(F.xxhash64(h))).otherwise(chosen(h)))
+    return let(words, lambda h: F.when(F.size(h) == 0, F.array().cast("array<struct<hash:bigint,place:int>>")).when(
+        F.size(h) < K, F.array(anchor(F.xxhash64(h), F.lit(1)))).otherwise(chosen(h)))
 
 
 def fingerprint(text: Column) -> Column:
-    """array<struct<hash, place>> in the order of the hashes."""
-    return let(anchors(text), lambda a: F.transform(F.slice(F.sort_array(F.array_distinct(a)), 1, SIZE), lambda x: F.struct(
-        x.alias("hash"), F.array_position(a, x).cast("int").alias("place"))))
+    """array<struct<hash, place>> of all anchors in the order of the hashes, the
+    first place of each."""
+    return let(F.sort_array(anchors(text)), lambda a: F.filter(
+        a, lambda x, k: (k == 0) | (x["hash"] != F.get(a, k - 1)["hash"])))
 
 
 def as_text(prints: Column) -> Column:
@@ -62,10 +67,9 @@ def as_text(prints: Column) -> Column:
 
 
 def likeness(one: Column, two: Column) -> Column:
-    """Share of common anchors of two arrays of hashes (0 to 1)."""
-    common = F.array_intersect(one, two)
-    return let(F.slice(F.sort_array(F.array_union(one, two)), 1, SIZE), lambda u: F.when(F.size(u) == 0, F.lit(1.0)).otherwise(
-        F.size(F.array_intersect(u, common)) / F.size(u)))
+    """Share of common anchors of two arrays of distinct hashes (0 to 1)."""
+    return let(F.size(F.array_intersect(one, two)), lambda n: F.when(F.size(one) + F.size(two) == 0, F.lit(1.0)).otherwise(
+        n / (F.size(one) + F.size(two) - n)))
 
 
 def _range_of(bounds: list[int], value: Column) -> Column:
@@ -82,8 +86,7 @@ def _range_of(bounds: list[int], value: Column) -> Column:
 
 
 def with_next(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text, prints, next_text, next_prints) with the next row by id; after
-    the last comes the first."""
+    """(id, text, next_text) with the next row by id; after the last comes the first."""
     order = F.coalesce(F.col(id_col).cast("long"), F.lit(-2**63))
     keys = df.select(order.alias("k"))
     rows = keys.count()
@@ -100,13 +103,12 @@ def with_next(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         found = F.create_map(*[x for k, at in before.items() for x in (F.lit(k).cast("long"), F.lit(at))])
         first_of = F.array(*[F.lit(k).cast("long") for _, k in firsts])
         ghost = F.when(F.array_contains(first_of, F.col("k")), F.element_at(found, F.col("k")))
-    copies = keyed.withColumn("prints", fingerprint(F.col("text"))).withColumn("tie", F.xxhash64("text")).withColumn("dealt", F.explode(F.array_compact(F.array(
+    copies = keyed.withColumn("tie", F.xxhash64("text")).withColumn("dealt", F.explode(F.array_compact(F.array(
         F.struct(F.col("at").alias("at"), F.lit(0).alias("ghost")),
         F.when(ghost.isNotNull(), F.struct(ghost.alias("at"), F.lit(1).alias("ghost")))))))
     here = Window.partitionBy("dealt.at").orderBy("dealt.ghost", "k", "tie")
-    both = copies.withColumn("next", F.lead(F.struct("text", "prints")).over(here))
-    return both.where("dealt.ghost = 0").select("id", "text", "prints", F.col("next.text").alias("next_text"),
-                                                F.col("next.prints").alias("next_prints"))
+    both = copies.withColumn("next", F.lead("text").over(here))
+    return both.where("dealt.ghost = 0").select("id", "text", F.col("next").alias("next_text"))
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -117,7 +119,8 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     n = F.char_length("text")
     cut = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next_text", F.lit(1), cut))
-    rows = rows.select("id", n.cast("long").alias("n_chars"), "prints", "next_prints",
+    rows = rows.select("id", n.cast("long").alias("n_chars"), fingerprint(F.col("text")).alias("prints"),
+                       fingerprint(F.col("next_text")).alias("next_prints"),
                        let(edited, lambda e: F.struct(F.sha2(e, 256).alias("sha256"), fingerprint(e).alias("prints"))).alias("edited"))
     hashes = F.transform("prints", lambda x: x["hash"])
     return rows.select(

@@ -222,6 +222,44 @@ def test_fingerprints(spark):
     assert fingerprints(df.limit(0)).count() == 0 and fingerprints(df.where("doc_id = 0")).first().near_next == 1.0
 
 
+def syncmers_of(text):
+    """{anchor: its first place} by another way: a k-mer is its five words."""
+    from tablewright.llm.syncmers import K, PIECE, S
+
+    words = re.findall(r"\S{1,%d}" % PIECE, text)
+    return words, [tuple(words[i:i + K]) for i in range(len(words) - K + 1)], K - S
+
+
+def test_fingerprints_keep_all_anchors(spark):
+    from pyspark.sql import functions as F
+
+    from tablewright.llm.syncmers import fingerprints
+
+    rng = random.Random(12)
+    long = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    shared = long(60)
+    texts = [f"{long(2500)} {shared} {long(2400)}", f"{long(1000)} {shared} {long(3900)}", "again and again we say it " * 40]
+    got = {r.doc_id: r for r in fingerprints(table(spark, list(enumerate(texts)), "doc_id long, text string")).collect()}
+    prints = {}
+    for i, t in enumerate(texts):
+        words, kmers, wide = syncmers_of(t)
+        pairs = [(words[j], words[j + 1]) for j in range(len(words) - 1)]
+        hashed = table(spark, list(set(pairs)), "a string, b string").select(
+            "a", "b", F.xxhash64(F.xxhash64("a"), F.xxhash64("b")).alias("h")).collect()
+        h = {(r.a, r.b): r.h for r in hashed}
+        s = [h[p] for p in pairs]
+        chosen = {}
+        for j, kmer in enumerate(kmers):
+            if min(s[j], s[j + wide]) <= min(s[j + 1:j + wide]):
+                chosen.setdefault(kmer, j)
+        prints[i] = set(chosen)
+        assert len(got[i].fingerprint.split(" ")) == len(chosen) == len({x.split("@")[0] for x in got[i].fingerprint.split(" ")})
+    assert len(prints[0]) > 1500 and len(prints[0] & prints[1]) > 10
+    for i in range(3):
+        one, two = prints[i], prints[(i + 1) % 3]
+        assert got[i].near_next == pytest.approx(len(one & two) / len(one | two))
+
+
 # 6 ------------------------------------------------------------------------------------------------
 def components_of(ids, linked):
     low = {i: i for i in ids}
