@@ -6,8 +6,8 @@ if the least hash of its inner substrings of ``S`` words stands at its first or
 last place. The choice depends on the k-mer alone, so equal passages have equal
 anchors wherever they stand, and an edit changes the anchors next to it only. A
 fingerprint is all distinct anchor hashes of the whole text, each with the place
-of its first anchor; likeness is the share of common anchors of all anchors of
-the two. Everything is built of DataFrame functions.
+(words before it) of its first anchor; likeness is the share of common anchors of
+all anchors of the two, wherever they stand. Everything is built of DataFrame functions.
 
 A text without a chosen k-mer has its whole word sequence as its one anchor; a
 text without words has none, and two such texts are alike (1). Null is empty.
@@ -37,7 +37,7 @@ def anchor(value: Column, place: Column) -> Column:
 
 def anchors(text: Column) -> Column:
     """array<struct<hash bigint, place int>>: the chosen k-mers of a text, in order.
-    A place is the number of the anchor in its text."""
+    A place is the number of the words before the anchor in its text."""
     words = F.transform(F.regexp_extract_all(text, F.lit(r"\S{1,%d}" % PIECE), F.lit(0)), lambda w: F.xxhash64(w))
 
     def chosen(h: Column) -> Column:
@@ -47,12 +47,12 @@ def anchors(text: Column) -> Column:
             wide = K - S
             at = F.filter(F.sequence(F.lit(0), F.size(h) - K), lambda i: F.least(F.get(s, i), F.get(s, i + wide)) <= F.least(
                 *[F.get(s, i + j) for j in range(1, wide)]))
-            return F.transform(at, lambda i, k: anchor(F.xxhash64(F.get(s, i), F.get(s, i + 2), F.get(h, i + 4)), k + 1))
+            return F.transform(at, lambda i: anchor(F.xxhash64(F.get(s, i), F.get(s, i + 2), F.get(h, i + 4)), i))
 
-        return let(let(inner, pick), lambda x: F.when(F.size(x) > 0, x).otherwise(F.array(anchor(F.xxhash64(h), F.lit(1)))))
+        return let(let(inner, pick), lambda x: F.when(F.size(x) > 0, x).otherwise(F.array(anchor(F.xxhash64(h), F.lit(0)))))
 
     return let(words, lambda h: F.when(F.size(h) == 0, F.array().cast("array<struct<hash:bigint,place:int>>")).when(
-        F.size(h) < K, F.array(anchor(F.xxhash64(h), F.lit(1)))).otherwise(chosen(h)))
+        F.size(h) < K, F.array(anchor(F.xxhash64(h), F.lit(0)))).otherwise(chosen(h)))
 
 
 def fingerprint(text: Column) -> Column:

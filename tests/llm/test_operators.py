@@ -253,6 +253,7 @@ def test_fingerprints_keep_all_anchors(spark):
             if min(s[j], s[j + wide]) <= min(s[j + 1:j + wide]):
                 chosen.setdefault(kmer, j)
         prints[i] = set(chosen)
+        assert sorted(int(x.split("@")[1]) for x in got[i].fingerprint.split(" ")) == sorted(chosen.values())
         assert len(got[i].fingerprint.split(" ")) == len(chosen) == len({x.split("@")[0] for x in got[i].fingerprint.split(" ")})
     assert len(prints[0]) > 1500 and len(prints[0] & prints[1]) > 10
     for i in range(3):
