@@ -7,9 +7,10 @@ size. Spark tokenizes, counts the sizes (at most ``capacity`` counts, whatever
 the input) and later deals the pieces out; the search itself runs over the
 counts on the driver.
 
-Bin completion: the largest size left is placed first; its undominated fillings
-(no other filling replaces its pieces by larger ones that still fit) are tried,
-fullest first, each as often as the counts allow; a branch ends when the room
+Bin completion: the largest size left is placed first; at most ``FILLINGS`` of its
+fillings (the largest single piece, pairs, and the fullest of all where none of
+these is exact) are tried, fullest first, each as often as the counts allow, so a
+tree that is searched to its end proves nothing; a branch ends when the room
 wasted so far shows that it cannot beat the best packing known. Best-fit
 decreasing is the first packing known. The search ends at a proven lower bound
 or after ``nodes`` steps, with the best packing so far.
