@@ -170,3 +170,75 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
     docs = read(spark, folder, "documents")
     return toxicity.score(docs, toxicity.fit(docs, read(spark, folder, "labels")))
+
+
+@query
+def op11_trie_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from tablewright.llm.trie_bpe import decode, encode
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids = decode(encode(read(spark, folder, "documents"), path), path)
+    return ids.select("doc_id", "n_tokens", F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    from tablewright.llm.merkle import manifest, proof_digest
+
+    third = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return manifest(read(spark, folder, "documents"), tampered=third).select(
+        "doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", "verified")
+
+
+def _merkle_sql(levels: int = 7, group_levels: int = 4) -> str:
+    """For at most 8 ** levels rows of a group and 8 ** group_levels groups."""
+    def part(c: str) -> str:
+        return f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || {c}, '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({part('doc_id')} || {part('source')} || {part('lang')} || {part('n_chars')} || {part(text)})"
+
+    def tree(name: str, key: str, depth: int) -> list[str]:
+        """Tables ``name``0.. (key, pos, h) by level, and ``name``_s0.. with the
+        siblings of each node and the number of nodes of its key."""
+        out = []
+        for k in range(depth):
+            run = f"PARTITION BY {key}, pos // 8 ORDER BY pos ROWS BETWEEN"
+            out.append(f"""{name}_s{k} AS (SELECT {key}, pos, h, count(*) OVER (PARTITION BY {key}) AS n,
+  coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+  coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b FROM {name}{k})""")
+            out.append(f"""{name}{k + 1} AS (SELECT {key}, pos // 8 AS pos,
+  CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h FROM {name}_s{k} GROUP BY ALL)""")
+        return out
+
+    def fold(of: str, first: str, name: str, key: str, place: str, depth: int) -> list[str]:
+        """``of``_f: the node that the siblings give, and the siblings' text."""
+        out = []
+        for k in range(depth):
+            held = f"{of}_f{k - 1}" if k else first
+            out.append(f"""{of}_f{k} AS (SELECT x.* EXCLUDE (node, proof), CASE WHEN s.n > 1 THEN sha256(a || node || b) ELSE node END AS node,
+  proof || a || b AS proof FROM {held} x JOIN {name}_s{k} s ON x.{key} IS NOT DISTINCT FROM s.{key} AND x.{place} // {8**k} = s.pos)""")
+        return out
+
+    crc = """xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+  lambda c: [CAST(ascii(c) AS BIGINT), 256, 256, 256, 256, 256, 256, 256, 256]))),
+  lambda x, y: CASE WHEN y < 256 THEN xor(x, y) WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END), 4294967295)"""
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps = [
+        f"""d AS (SELECT doc_id, lang, {leaf('text')} AS h, CASE WHEN {crc} % 3 = 0 THEN {leaf(lower)} END AS changed FROM documents)""",
+        "e AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS pos FROM d)",
+        "l0 AS (SELECT lang, pos, h FROM e)", *tree("l", "lang", levels),
+        f"g AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, 1 AS one FROM l{levels})",
+        "t0 AS (SELECT one, place AS pos, subroot AS h FROM g)", *tree("t", "one", group_levels),
+        "x AS (SELECT e.*, coalesce(changed, h) AS node, '' AS proof FROM e)", *fold("x", "x", "l", "lang", "pos", levels),
+        f"y AS (SELECT x.*, subroot, place, one FROM x_f{levels - 1} x JOIN g ON x.lang IS NOT DISTINCT FROM g.lang)",
+        *fold("y", "y", "t", "one", "place", group_levels)]
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT doc_id, y.h AS leaf, subroot, t{group_levels}.h AS root, sha256(proof) AS proof_sha256, node AS folded_root, node = t{group_levels}.h AS verified
+FROM y_f{group_levels - 1} y JOIN t{group_levels} ON y.one = t{group_levels}.one"""
+
+
+SQL["op13_merkle_manifest"] = _merkle_sql()
