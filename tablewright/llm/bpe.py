@@ -16,12 +16,14 @@ functions gave the same ids but took about 150 microseconds of CPU for a word
 Cases: a null or empty text has no ids (empty binary); repeated rows give a row
 each; an id may be null; an empty table gives an empty result; other columns
 are ignored. Texts of any length are cut between words, so memory follows the
-ids of one text; a single word costs quadratic time in its own length.
+ids of one text; words of more than ``LONG`` bytes are merged one by one with a
+heap, in a time that grows with their length and its logarithm.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +38,8 @@ from tablewright.llm.shared import prepare
 #: Ids must fit into so many bits to share a 64-bit cell with a pair of ids.
 ID_BITS = 20
 NO_RANK = np.int64(2**62)
+#: Words of more bytes are merged one by one with a heap.
+LONG = 256
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -130,6 +134,43 @@ class RankMap:
         return out[np.argsort(words, kind="stable")].astype(np.uint32), np.bincount(words, minlength=len(sizes))
 
 
+    def merge_long(self, word: bytes) -> np.ndarray:
+        """Ids of one word, in a time that grows with its length and its logarithm:
+        the next merge comes from a heap, and places are linked to their neighbours."""
+        ids = self.byte_ids[np.frombuffer(word, np.uint8)]
+        rank = self.rank(ids[:-1], ids[1:])
+        n, ids = len(ids), ids.tolist()
+        heap = [(r, k) for k, r in enumerate(rank.tolist()) if r < NO_RANK]
+        heapq.heapify(heap)
+        held = [*rank.tolist(), int(NO_RANK)]             # rank of the pair that begins at a place
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        memo: dict[tuple[int, int], int] = {}
+
+        def ranked(k: int) -> None:
+            held[k] = int(NO_RANK)
+            if k >= 0 and after[k] < n:
+                pair = (ids[k], ids[after[k]])
+                if pair not in memo:
+                    memo[pair] = int(self.rank(np.array([pair[0]]), np.array([pair[1]]))[0])
+                held[k] = memo[pair]
+                if held[k] < NO_RANK:
+                    heapq.heappush(heap, (held[k], k))
+
+        while heap:
+            r, k = heapq.heappop(heap)
+            if held[k] != r:
+                continue
+            gone = after[k]
+            ids[k], held[gone], after[k] = r, int(NO_RANK), after[gone]
+            if after[k] < n:
+                before[after[k]] = k
+            ids[gone] = -1
+            ranked(k)
+            if before[k] >= 0:
+                ranked(before[k])
+        return np.array([x for x in ids if x >= 0], np.uint32)
+
+
 class RankEncoder(Encoder):
     """Ids of texts by ranks; words that are pieces themselves are one id."""
 
@@ -143,13 +184,17 @@ class RankEncoder(Encoder):
         whole = np.fromiter((self.ranks.get(w, -1) for w in raw), np.int64, len(raw))
         size = np.fromiter(map(len, raw), np.int64, len(raw))
         rest = np.flatnonzero(whole < 0)
-        merged, many = self.map.merge(np.frombuffer(b"".join(raw[k] for k in rest.tolist()), np.uint8), size[rest])
+        short, long_ = rest[size[rest] <= LONG], rest[size[rest] > LONG]
+        merged, many = self.map.merge(np.frombuffer(b"".join(raw[k] for k in short.tolist()), np.uint8), size[short])
+        apart = [self.map.merge_long(raw[k]) for k in long_.tolist()]
         sizes = np.ones(len(raw), np.int64)
-        sizes[rest] = many
+        sizes[short], sizes[long_] = many, [len(x) for x in apart]
         flat = np.empty(int(sizes.sum()), np.uint32)
-        split = np.repeat(whole < 0, sizes)
-        flat[split], flat[~split] = merged, whole[whole >= 0]
-        self.keys = np.concatenate([self.keys, part.keys[order]])
+        way = np.zeros(len(raw), np.int8)
+        way[short], way[long_] = 1, 2
+        way = np.repeat(way, sizes)
+        flat[way == 0], flat[way == 1] = whole[whole >= 0], merged
+        flat[way == 2] = np.concatenate([np.zeros(0, np.uint32), *apart])
         self.flat, self.sizes = np.concatenate([self.flat, flat]), np.concatenate([self.sizes, sizes])
 
 

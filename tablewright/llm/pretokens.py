@@ -73,10 +73,9 @@ def pieces(texts: Iterable[str], size: int = CHUNK_CHARS) -> Iterator[tuple[int,
 class Words:
     """The words of some text parts, in order: ``codes`` number the distinct
     words, ``counts`` has the number of words of each part. A distinct word has
-    a 64-bit key, a place in ``joined``, and may be white space (``blank``)."""
+    a place in ``joined``, and may be white space (``blank``)."""
     codes: np.ndarray
     counts: np.ndarray
-    keys: np.ndarray
     begin: np.ndarray
     stop: np.ndarray
     blank: np.ndarray
@@ -124,13 +123,12 @@ def starts_of(cp: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def words_of(parts: list[str]) -> Words:
-    """Words of the parts of texts, equal words under one code. The key of a
-    word is a polynomial of random factors of its characters modulo 2**64."""
+    """Words of the parts of texts, equal words under one code."""
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
     joined = "".join(parts)
     none = np.zeros(0, np.int64)
     if not joined:
-        return Words(none, np.zeros(len(parts), np.int64), none.astype(np.uint64), none, none, none.astype(bool), "")
+        return Words(none, np.zeros(len(parts), np.int64), none, none, none.astype(bool), "")
     cp = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     ends = np.cumsum(sizes)
     begin = starts_of(cp, ends)
@@ -143,12 +141,41 @@ def words_of(parts: list[str]) -> Words:
     key = total[stop - 1]
     key[1:] -= total[begin[1:] - 1]
     key *= down[begin]
-    codes, unique = pd.factorize(key)
-    first = np.empty(len(unique), np.int64)
-    first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+    codes, first = distinct(cp, begin, stop, key)
     edge = np.searchsorted(begin, np.concatenate([[0], ends]))
     last = stop[first]
-    return Words(codes, np.diff(edge), unique, begin[first], last, kind[cp[last - 1]] == SPACE, joined)
+    return Words(codes, np.diff(edge), begin[first], last, kind[cp[last - 1]] == SPACE, joined)
+
+
+def distinct(data: np.ndarray, begin: np.ndarray, stop: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the distinct stretches ``data[begin:stop]`` for each stretch, and
+    the first stretch of each number. ``key`` only has to be equal for equal
+    stretches: every stretch is compared with the first one of its key, and if any
+    differs, the stretches themselves are numbered."""
+    def firsts(codes: np.ndarray, n: int) -> np.ndarray:
+        first = np.empty(n, np.int64)
+        first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+        return first
+
+    codes, unique = pd.factorize(key)
+    first = firsts(codes, len(unique))
+    of, size = first[codes], stop - begin
+    same = (size == size[of]).all()
+    if same:
+        other = np.flatnonzero(of != np.arange(len(of)))
+        for k in range(0, len(other), 200_000):
+            at = other[k:k + 200_000]
+            n = size[at]
+            inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            if not (data[np.repeat(begin[at], n) + inside] == data[np.repeat(begin[of[at]], n) + inside]).all():
+                same = False
+                break
+    if not same:
+        whole = np.empty(len(begin), object)
+        whole[:] = [data[a:b].tobytes() for a, b in zip(begin.tolist(), stop.tolist())]
+        codes, unique = pd.factorize(whole)
+        first = firsts(codes, len(unique))
+    return codes, first
 
 
 def chunks(texts: list[str], size: int = CHUNK_CHARS) -> Iterator[tuple[list[int], Words]]:
@@ -192,7 +219,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
+        self.known: dict[str, int] = {}
         self.flat = np.zeros(0, np.uint32)
         self.sizes = np.zeros(0, np.int64)
 
@@ -214,21 +241,23 @@ class Encoder:
         plain, blank = new[~part.blank[new]], new[part.blank[new]]
         flat, sizes = self._encode(part.texts(plain)) if len(plain) else (self.flat[:0], self.sizes[:0])
         singly = [self.encoding.encode_ordinary(w) for w in part.texts(blank)]
-        self.keys = np.concatenate([self.keys, part.keys[plain], part.keys[blank]])
         self.flat = np.concatenate([self.flat, flat, *(np.array(x, np.uint32) for x in singly)])
         self.sizes = np.concatenate([self.sizes, sizes, np.array([len(x) for x in singly], np.int64)])
 
     def _plain_ids(self, texts: list[str]) -> list[np.ndarray]:
         out: list[list[np.ndarray]] = [[] for _ in texts]
         for index, part in chunks(texts):
-            if len(self.keys) > self.KEPT:
+            if len(self.known) > self.KEPT:
                 self.forget()
-            row = pd.Index(self.keys).get_indexer(part.keys)
+            known, held = self.known, len(self.known)
+            texts = part.texts(np.arange(len(part.begin)))
+            row = np.fromiter((known.get(w, -1) for w in texts), np.int64, len(texts))
             new = np.flatnonzero(row < 0)
             if len(new):
-                known = len(self.keys)
                 self._learn(part, new)
-                row[np.concatenate([new[~part.blank[new]], new[part.blank[new]]])] = np.arange(known, len(self.keys))
+                order = np.concatenate([new[~part.blank[new]], new[part.blank[new]]])
+                row[order] = np.arange(held, held + len(order))
+                known.update((texts[k], held + n) for n, k in enumerate(order.tolist()))
             codes = row[part.codes]
             ids = spread_ids(codes, self.flat, self.sizes)
             edge = np.concatenate([[0], np.cumsum(self.sizes[codes])])

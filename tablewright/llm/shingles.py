@@ -1,17 +1,21 @@
 """Distinct word shingles of texts as 64-bit hashes, on arrays.
 
+The distinct words of a block of texts are found on arrays and compared byte by
+byte; each is hashed by BLAKE2, so that words of any form have different hashes.
+
 A-Z are lower-cased, words are runs of anything but space and U+0009-U+000D. A
 text's set holds its distinct shingles of ``width`` words; a text with fewer
 words has its whole sequence as its one shingle, one without words has none."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 
-from tablewright.llm.pretokens import CHUNK_CHARS, _powers
+from tablewright.llm.pretokens import CHUNK_CHARS, _powers, distinct
 
 _ODD = 0xD6E8FEB86659FD93
 
@@ -47,7 +51,12 @@ def _hashes(texts: list[str], width: int) -> list[np.ndarray]:
     total = factor[data]
     total *= up[:len(data)]
     np.cumsum(total, out=total)
-    word = mix((total[stop - 1] - total[begin - 1]) * down[begin])
+    lower = data.copy()
+    lower[(data >= 65) & (data <= 90)] += 32
+    codes, first = distinct(lower, begin, stop, (total[stop - 1] - total[begin - 1]) * down[begin])
+    spelled, of = lower.tobytes(), hashlib.blake2b
+    hashed = b"".join(of(spelled[a:b], digest_size=8).digest() for a, b in zip(begin[first].tolist(), stop[first].tolist()))
+    word = np.frombuffer(hashed, "<u8")[codes]
     rows = np.concatenate([[0], np.searchsorted(begin, ends)])
     gram = np.zeros(max(0, len(word) - width + 1), np.uint64)
     weight = _powers(0x9E6C63D0876A9A47, width + 1)[1:]
