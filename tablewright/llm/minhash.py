@@ -24,6 +24,7 @@ result; other columns are ignored. Texts of any length are used whole.
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.llm.graph import components, stars
 from tablewright.llm.shared import prepare, written
@@ -79,47 +81,50 @@ class Circulant:
         return mix((part * self.weight).sum(axis=1, dtype=np.uint64) + self.salt).view(np.int64)
 
 
-def _node(items: np.ndarray) -> int:
-    """The same for equal sets only (64 bits of a SHA-1)."""
-    return int.from_bytes(hashlib.sha1(items.tobytes()).digest()[:8], "little", signed=True)
+def _digest(items: np.ndarray) -> tuple[int, int]:
+    """The same for equal sets only: 128 bits of a SHA-256."""
+    high, low = struct.unpack("<qq", hashlib.sha256(items.tobytes()).digest()[:16])
+    return high, low
 
 
-def _signed(df: DataFrame, id_col: str, text_col: str, width: int, bands: int, rows: int) -> DataFrame:
-    """id, n_shingles, node (null for an empty set) and the buckets."""
-    from pyspark.sql.pandas.types import to_arrow_type
+def _signed(df: DataFrame, keep: dict[str, str], text_col: str, width: int, bands: int, rows: int) -> DataFrame:
+    """The columns ``keep`` (as their new names), n_shingles, the set's digest as
+    high and low (null for an empty set) and the buckets."""
+    from pyspark.sql.pandas.types import to_arrow_schema
 
-    kind = df.schema[id_col].dataType
-    schema = pa.schema([("id", to_arrow_type(kind)), ("n_shingles", pa.int64()), ("node", pa.int64()),
-                        ("buckets", pa.list_(pa.int64()))])
+    kept = df.select(*[F.col(f"`{c}`").alias(name) for name, c in keep.items()])
+    added = T._parse_datatype_string("n_shingles bigint, high bigint, low bigint, buckets array<bigint>")
+    out = T.StructType([*kept.schema.fields, *added.fields])
+    schema = to_arrow_schema(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tablewright.llm.shingles import shingle_sets
 
         permutations = Circulant(bands, rows)
         for batch in batches:
-            size, node, keys = [], [], []
-            for items in shingle_sets(batch.column(1).to_pylist(), width):
-                size.append(len(items))
-                node.append(_node(items) if len(items) else None)
+            size, high, low, keys = [], [], [], []
+            for items in shingle_sets(batch.column(len(keep)).to_pylist(), width):
+                a, b = _digest(items) if len(items) else (None, None)
+                size.append(len(items)), high.append(a), low.append(b)
                 keys.append(permutations.buckets(items) if len(items) else None)
-            yield pa.record_batch([batch.column(0), pa.array(size, pa.int64()), pa.array(node, pa.int64()),
-                                   pa.array(keys, schema.field("buckets").type)], schema=schema)
+            yield pa.record_batch([*batch.columns[:len(keep)], pa.array(size, pa.int64()), pa.array(high, pa.int64()),
+                                   pa.array(low, pa.int64()), pa.array(keys, schema.field("buckets").type)], schema=schema)
 
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"id {kind.simpleString()}, n_shingles bigint, node bigint, buckets array<bigint>")
+    return df.select(*[F.col(f"`{c}`").alias(name) for name, c in keep.items()], F.col(f"`{text_col}`").alias("_text")).mapInArrow(run, out)
 
 
 def _sets(df: DataFrame, text_col: str, width: int) -> DataFrame:
-    """node and its set (binary) of every text that has one."""
+    """Digest and set (binary) of every text that has one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tablewright.llm.shingles import shingle_sets
 
         for batch in batches:
             found = [x for x in shingle_sets(batch.column(0).to_pylist(), width) if len(x)]
-            yield pa.record_batch([pa.array([_node(x) for x in found], pa.int64()),
-                                   pa.array([x.tobytes() for x in found], pa.binary())], names=["node", "items"])
+            digests = [_digest(x) for x in found]
+            yield pa.record_batch([pa.array([a for a, _ in digests], pa.int64()), pa.array([b for _, b in digests], pa.int64()),
+                                   pa.array([x.tobytes() for x in found], pa.binary())], names=["high", "low", "items"])
 
-    return df.select(F.col(text_col)).mapInArrow(run, "node bigint, items binary")
+    return df.select(F.col(text_col)).mapInArrow(run, "high bigint, low bigint, items binary")
 
 
 def _linked(percent: int):
@@ -195,11 +200,24 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: st
     """One row per document: id, n_shingles, component_id (the smallest id that
     links reach), kept (id = component_id). A link holds between documents with
     100 * intersection >= percent * union of their sets."""
+    out = grouped(df, {"id": id_col}, width, percent, text_col)
+    least = F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("least"))
+    return out.select(F.col("id").alias(id_col), "n_shingles", least.alias("component_id")).withColumn(
+        "kept", F.col(id_col).eqNullSafe(F.col("component_id")))
+
+
+def grouped(df: DataFrame, keep: dict[str, str], width: int, percent: int, text_col: str = "text") -> DataFrame:
+    """The columns ``keep`` (new name: column; one is ``id``) of every row with
+    n_shingles, ``component`` (a number of the group that links join; null for
+    rows without words) and ``least``, the group's smallest id. Equal sets are one
+    node, named by the first row that has it."""
     prepare(df.sparkSession)
     bands, rows = banding(percent / 100)
-    docs = written(_signed(df, id_col, text_col, width, bands, rows), "signed")
-    nodes = docs.where("node is not null").groupBy("node").agg(
-        F.first("n_shingles").alias("n"), F.first("buckets").alias("buckets"))
+    signed = _signed(df, keep, text_col, width, bands, rows)
+    docs = written(signed.withColumn("row", F.monotonically_increasing_id()), "signed")
+    nodes = docs.where("high is not null").groupBy("high", "low").agg(
+        F.min("row").alias("node"), F.first("n_shingles").alias("n"), F.first("buckets").alias("buckets"), F.min("id").alias("first_id"))
+    nodes = written(nodes, "nodes")
     every = nodes.select("node", "n", F.explode("buckets").alias("bucket"))
     hubs = every.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("hub"), F.max("node").alias("last")).where(
         "hub.node <> last").select(F.col("bucket").alias("at"), "hub")
@@ -212,12 +230,13 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: st
         F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct()
     first = written(first, "hub-pairs")
     # The sets of candidates only, each once; everything else about a document stays out of the joins.
-    wanted = written(members.select("node").distinct(), "candidates")
-    texts = docs.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id"))
-    chosen = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sets = _sets(chosen.join(texts.select("id").distinct(), "id", "left_semi"), "text", width)
+    wanted = members.select("node").distinct()
+    wanted = written(nodes.join(wanted, "node", "left_semi").select("node", "high", "low", "first_id"), "candidates")
+    chosen = df.select(F.col(f"`{keep['id']}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    sets = _sets(chosen.join(wanted.select(F.col("first_id").alias("id")).distinct(), "id", "left_semi"), "text", width)
     nulls = _sets(chosen.where("id is null"), "text", width)
-    sets = written(sets.unionByName(nulls).join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    sets = written(sets.unionByName(nulls).join(wanted.select("node", "high", "low"), ["high", "low"]).select("node", "items").dropDuplicates(
+        ["node"]), "sets")
     links = written(_verified(first, sets, percent), "links")
     joined = components(links)
     label = members.join(joined, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("component"))
@@ -232,11 +251,9 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, id_col: st
     more = written(dealt.join(sets, "node").groupBy("bucket", "low", "high").applyInPandas(
         _joins(percent), "a bigint, b bigint"), "more-links")
     joined = components(links.unionByName(more)) if more.take(1) else joined
-    group = docs.where("node is not null").groupBy("node").agg(F.min("id").alias("low")).join(joined, "node", "left")
-    group = group.select("node", "low", F.coalesce("component", "node").alias("component"))
-    least = group.groupBy("component").agg(F.min("low").alias("component_id"))
-    group = group.join(least, "component").select(F.col("node").alias("at"), "component_id")
-    out = docs.join(group, F.col("node") == F.col("at"), "left").select(
-        "id", "n_shingles", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id",
-                      F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    group = nodes.select("node", "high", "low", "first_id").join(joined, "node", "left").select(
+        F.col("high").alias("_high"), F.col("low").alias("_low"), "first_id", F.coalesce("component", "node").alias("component"))
+    least = group.groupBy("component").agg(F.min("first_id").alias("least"))
+    group = group.drop("first_id").join(least, "component")
+    return docs.join(group, (F.col("high") == F.col("_high")) & (F.col("low") == F.col("_low")), "left").select(
+        *keep, "n_shingles", "component", "least")
