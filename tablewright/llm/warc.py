@@ -2,15 +2,18 @@
 
 Writing: each task writes one file of gzip members, a record each, with the
 compressed and the plain length of the member in the gzip extra field ``sl``.
-The driver commits a list of the finished files, and only listed files are
-read, so attempts that were lost or ran twice leave nothing behind.
+The driver commits a list of the finished files for each write, and only listed
+files are read, so attempts that were lost or ran twice leave nothing behind and
+a later write to the same folder adds its records.
 
 Reading: the files are dealt to partitions by their size. A partition reads a
 record's headers first (the head of its member alone is decompressed), tests
 the pushed predicates on record type and headers, and goes on to the next
 record by the length in the extra field; payloads of unwanted records, and all
 payloads if ``payload`` is "false", are never decompressed. Members without
-the field (other writers) and plain ``.warc`` files are read too.
+the field (other writers) and plain ``.warc`` files are read too. Header names
+are matched in any case; the payload of a record that is no HTTP message is its
+whole block; a digest that is no SHA-1 in base32 or hex is null.
 
 Both sides reach the files through ``pyarrow.fs``, so the folder may be any
 shared store that it supports.
@@ -44,7 +47,7 @@ from tablewright.llm.shared import prepare
 from tablewright.session import scratch_path
 
 LEAST = 1000
-LIST = "_files.json"
+LIST = "_files"                 # a list of finished files for each write: _files-<id>.json
 ID = "urn:page:"
 HEAD = 4096                     # compressed bytes that normally hold a record's headers
 PARTITION_BYTES = 64 << 20
@@ -113,7 +116,7 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages: list) -> None:
         store, root = _store(self.path)
         store.create_dir(root, recursive=True)
-        with store.open_output_stream(f"{root}/{LIST}", compression=None) as out:
+        with store.open_output_stream(f"{root}/{LIST}-{uuid.uuid4().hex}.json", compression=None) as out:
             out.write(json.dumps([[m.file, m.size] for m in messages if m is not None and m.size]).encode())
 
 
@@ -122,15 +125,52 @@ class Files(InputPartition):
         super().__init__(names)
 
 
+def _fields(block: bytes) -> dict[str, str]:
+    """Named fields after a first line; names in small letters, the last of a name counts."""
+    named = (line.partition(":") for line in block.decode("utf-8", "replace").split("\r\n")[1:])
+    return {name.strip().lower(): value.strip() for name, colon, value in named if colon}
+
+
+def _has_http(warc: dict[str, str]) -> bool:
+    """Whether the block of a record begins with the head of an HTTP message."""
+    return warc.get("content-type", "").replace(" ", "").lower().startswith("application/http")
+
+
+def _length(warc: dict[str, str]) -> int:
+    size = warc.get("content-length", "")
+    return int(size) if size.isdigit() else 0
+
+
 def _head(data: bytes) -> tuple[dict[str, str], dict[str, str]] | None:
-    """WARC and HTTP headers from the start of a record, or None if cut off."""
+    """WARC and HTTP headers (none where the block is no HTTP message) from the
+    start of a record, or None if cut off."""
     warc, found, rest = data.partition(b"\r\n\r\n")
-    fields = dict(line.split(": ", 1) for line in warc.decode("utf-8", "replace").split("\r\n")[1:] if ": " in line)
+    if not found:
+        return None
+    fields = _fields(warc)
+    if not _has_http(fields):
+        return fields, {}
     http, whole, _ = rest.partition(b"\r\n\r\n")
-    if not found or not whole and len(rest) < int(fields.get("Content-Length", 0)):
+    if not whole and len(rest) < _length(fields):
         return None
-    web = dict(line.split(": ", 1) for line in http.decode("utf-8", "replace").split("\r\n")[1:] if ": " in line)
-    return fields, web
+    return fields, _fields(http)
+
+
+def _payload(data: bytes, warc: dict[str, str]) -> bytes:
+    """A record's payload: its block, without the head of an HTTP message."""
+    start = data.index(b"\r\n\r\n") + 4
+    block = data[start:start + _length(warc)]
+    return block.partition(b"\r\n\r\n")[2] if _has_http(warc) else block
+
+
+def _sha1(digest: str | None) -> str | None:
+    """The hex form of a SHA-1 given in base32 or hex; null for anything else."""
+    kind, _, value = (digest or "").partition(":")
+    try:
+        raw = bytes.fromhex(value) if len(value) == 40 else base64.b32decode(value.upper())
+    except ValueError:
+        return None
+    return raw.hex() if kind.lower() in ("sha1", "sha-1") and len(raw) == 20 else None
 
 
 def members(f, size: int) -> Iterator[tuple[bytes, object]]:
@@ -169,7 +209,7 @@ def members(f, size: int) -> Iterator[tuple[bytes, object]]:
                 start += f.read(HEAD)
             if not head:
                 return
-            length = start.index(b"\r\n\r\n") + 4 + int(head[0]["Content-Length"])
+            length = start.index(b"\r\n\r\n") + 4 + _length(head[0])
 
             def plain(at=at, length=length) -> bytes:
                 f.seek(at)
@@ -194,11 +234,13 @@ class WarcReader(DataSourceReader):
         from pyarrow import fs
 
         store, root = _store(self.path)
-        if store.get_file_info(f"{root}/{LIST}").type != fs.FileType.NotFound:
-            with store.open_input_stream(f"{root}/{LIST}", compression=None) as f:
-                files = [tuple(x) for x in json.loads(f.read())]
-        else:
-            found = store.get_file_info(fs.FileSelector(root, recursive=True))
+        found = store.get_file_info(fs.FileSelector(root, recursive=True))
+        files = []
+        lists = [x.path for x in found if x.path.rsplit("/", 1)[-1].startswith(f"{LIST}-")]
+        for path in lists:                                  # one for each write to this folder
+            with store.open_input_stream(path, compression=None) as f:
+                files += [tuple(x) for x in json.loads(f.read())]
+        if not lists:
             files = [(x.path[len(root) + 1:], x.size) for x in found if x.path.endswith((".warc", ".warc.gz"))]
         out: list[list[str]] = []
         held = PARTITION_BYTES
@@ -234,19 +276,15 @@ class WarcReader(DataSourceReader):
                     if head is None:
                         continue
                     warc, web = head
-                    digest = warc.get("WARC-Payload-Digest", "")
-                    row = {"record_type": warc.get("WARC-Type"), "record_id": warc.get("WARC-Record-ID"),
-                           "target_uri": warc.get("WARC-Target-URI"), "refers_to": warc.get("WARC-Refers-To"),
-                           "payload_digest": base64.b32decode(digest[5:]).hex() if digest.startswith("sha1:") else None,
-                           "payload_bytes": int(web["Content-Length"]) if web.get("Content-Length", "").isdigit() else None,
-                           "payload": None}
+                    size_of = web.get("content-length", "") if _has_http(warc) else str(_length(warc))
+                    row = {"record_type": warc.get("warc-type"), "record_id": warc.get("warc-record-id"),
+                           "target_uri": warc.get("warc-target-uri"), "refers_to": warc.get("warc-refers-to"),
+                           "payload_digest": _sha1(warc.get("warc-payload-digest")),
+                           "payload_bytes": int(size_of) if size_of.isdigit() else None, "payload": None}
                     if not self._wanted(row):
                         continue
                     if self.payload:
-                        data = whole()
-                        block = data.index(b"\r\n\r\n") + 4
-                        end = block + int(warc.get("Content-Length", 0))
-                        row["payload"] = data[data.index(b"\r\n\r\n", block) + 4:end]
+                        row["payload"] = _payload(whole(), warc)
                         held += len(row["payload"])
                     rows.append(row)
                     if len(rows) >= 2000 or held > 8 << 20:
