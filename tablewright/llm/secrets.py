@@ -4,7 +4,7 @@ Base kinds (``assign``, ``access``, ``hex``) are reported wherever they match.
 Weak kinds (a shorter access identifier, a long mixed string, an endpoint) mean
 little alone. An interval join within a document finds the parts of other roles
 within ``SCOPE`` characters, and a weak candidate is reported only if the parts
-that complete a credential are there:
+that complete a credential are there, apart from it in the text:
 
 * a weak access identifier needs a secret (assign, hex or weak secret),
 * a weak secret needs an access identifier (access or weak) or an endpoint,
@@ -75,13 +75,14 @@ def _apart(span: Column, others: Column) -> Column:
 
 def candidates(df: DataFrame, text: Column) -> DataFrame:
     """``df`` with ``base`` and ``weak``, arrays of spans; a weak span overlaps no
-    base span."""
+    base span, and a weak secret no endpoint: mixed strings are usual in addresses."""
     base = F.concat(
         _spans(text, "assign", ASSIGN, lambda m: F.char_length(F.regexp_extract(m, ASSIGN, 1)) >= ASSIGN_LEAST),
         _spans(text, "access", ACCESS), _spans(text, "hex", HEX))
     strong = lambda m: m.rlike("[0-9]") & m.rlike("[a-z]") & m.rlike("[A-Z]")
-    weak = F.concat(_spans(text, "weak_access", WEAK_ACCESS), _spans(text, "weak_secret", WEAK_SECRET, strong),
-                    _spans(text, "endpoint", ENDPOINT))
+    secrets_of = lambda ends: F.concat(ends, F.filter(
+        _spans(text, "weak_secret", WEAK_SECRET, strong), lambda s: _apart(s, ends)))
+    weak = F.concat(_spans(text, "weak_access", WEAK_ACCESS), let(_spans(text, "endpoint", ENDPOINT), secrets_of))
     both = let(F.struct(base.alias("base"), weak.alias("weak")), lambda x: F.struct(
         F.sort_array(x["base"]).alias("base"), F.filter(x["weak"], lambda w: _apart(w, x["base"])).alias("weak")))
     return df.withColumn("_both", both).select("*", F.col("_both.base").alias("base"), F.col("_both.weak").alias("weak")).drop("_both")
@@ -100,8 +101,11 @@ def linked(found: DataFrame, key: str, scope: int = SCOPE) -> DataFrame:
 
     ask = rows(F.col("weak"), scope).alias("w")
     part = rows(F.concat("base", "weak"), 0).alias("p")
+    # A part is another piece of text: what overlaps a candidate (the address that
+    # contains it, or a longer match) does not complete it.
     near = (F.col(f"w.{key}") == F.col(f"p.{key}")) & (F.col("w.bucket") == F.col("p.bucket")) & (
-        F.col("p.start") <= F.col("w.end") + scope) & (F.col("w.start") <= F.col("p.end") + scope)
+        F.col("p.start") <= F.col("w.end") + scope) & (F.col("w.start") <= F.col("p.end") + scope) & (
+        (F.col("p.start") >= F.col("w.end")) | (F.col("p.end") <= F.col("w.start")))
 
     def has(asking: DataFrame, asked: dict[str, tuple[str, ...]]) -> DataFrame:
         fits = F.lit(False)
@@ -143,15 +147,18 @@ def redact(df: DataFrame, text_col: str = "text", mark: str = "[SECRET]", scope:
     key = F.sha2(F.col(text_col), 256)
     some = df.where(maybe)
     spans = scan(some.select(key.alias("_key"), text_col), ["_key"], text_col, scope).where(F.size("spans") > 0)
-    spans = spans.groupBy("_key").agg(F.first("spans").alias("_spans"))
+    taken = {c.lower() for c in df.columns}
+    own, there, found = (next(n for k in range(len(taken) + 1) if (n := f"_{name}{k}") not in taken) for name in ("own", "there", "found"))
+    spans = spans.groupBy(F.col("_key").alias(there)).agg(F.first("spans").alias(found))
 
     def step(state: Column, s: Column) -> Column:
         new = F.concat(F.substring(F.col(text_col), state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0))), F.lit(mark))
         return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.concat(
             state["out"], F.when(s["start"] >= state["at"], new).otherwise(F.lit(""))).alias("out"))
 
-    clean = F.aggregate("_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda state: F.concat(
+    clean = F.aggregate(found, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda state: F.concat(
         state["out"], F.substring(F.col(text_col), state["at"] + 1, F.char_length(F.col(text_col)))))
-    marked = some.withColumn("_own", key).join(spans, F.col("_own") == F.col("_key"), "left")
-    changed = marked.withColumn(text_col, F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(clean)).select(*df.columns)
+    marked = some.withColumn(own, key).join(spans, F.col(own) == F.col(there), "left")
+    changed = marked.withColumn(text_col, F.when(F.col(found).isNull(), F.col(text_col)).otherwise(clean)).select(
+        *[F.col(f"`{c}`") for c in df.columns])
     return df.where(~maybe).unionByName(changed)
