@@ -102,9 +102,8 @@ class PrepConfig:
     skew_log_threshold: float = SKEW_LOG_THRESHOLD
     chunk_size: int = CHUNK_SIZE
     message_batch_size: int = MESSAGE_BATCH_SIZE
-    # Per-column distinct-value count up to which a single task may hold one
-    # column's values (percentile map, dictionary sort). Above it the
-    # distributed rank path is used.
+    # Per-column distinct-value count up to which a single task may number one
+    # column's values (dictionary). Above it positions are distributed.
     single_task_distinct_limit: int = 1_000_000
     # Dictionaries up to this many rows are inlined as map literals instead
     # of being joined. Kept small: every entry is a literal in the plan (built

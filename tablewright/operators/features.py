@@ -1,8 +1,8 @@
 """Feature preparation: column routing, standardisation, one-hot encoding,
 PCA and assembly.
 
-Fitting is aggregation (means and population deviations in one pass; PCA's
-covariance through Spark ML's distributed tree aggregate, p×p in size).
+Fitting is aggregation (means and population deviations in one pass; principal
+components by block power iteration, whose tasks and driver hold blocks of p×k).
 Applying a fitted transform is a projection with the parameters inlined as
 literals, so it stays in whole-stage codegen and needs no join.
 """
@@ -12,13 +12,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright import config as C
 from tablewright.functions.names import col
 from tablewright.functions.text import try_number
+from tablewright.operators.moments import column_state, scaler_of
 
 NUMERIC_ROUTE_TYPES = ("numeric", "numeric_continuous", "numeric_discrete")
 PASSTHROUGH_TYPES = ("list_json", "list_csv")
@@ -44,16 +44,9 @@ def feature_routes(type_of: Mapping[str, str], cardinality: Mapping[str, int],
 
 def scaler_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(column, mean, std)``: mean and population standard deviation; a
-    zero deviation is replaced by 1."""
-    schema = {f.name: f.dataType for f in df.schema.fields}
-    v = df.select(*[try_number(col(c), schema[c]).alias(f"_v{i}") for i, c in enumerate(cols)])
-    cells = []
-    for i, c in enumerate(cols):
-        x = F.col(f"_v{i}")
-        sd = F.stddev_pop(x)
-        cells.append(F.struct(F.lit(c).alias("column"), F.avg(x).alias("mean"),
-                              F.when((sd == 0) | sd.isNull(), F.lit(1.0)).otherwise(sd).alias("std")))
-    return v.agg(F.array(*cells).alias("_s")).select(F.inline("_s"))
+    zero deviation is replaced by 1. Grouped by column, so the aggregate has the
+    same width on any table."""
+    return scaler_of(column_state(df, cols))
 
 
 def standardize(df: DataFrame, params: Mapping[str, tuple[float, float]]) -> DataFrame:
@@ -108,19 +101,76 @@ def pca_components(p: int) -> int:
     return max(1, min(p - 1, C.PCA_MAX_COMPONENTS))
 
 
-def pca_fit(scaled: DataFrame, cols: Sequence[str], k: int | None = None):
+def principal(matrix: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` leading eigenvectors (columns, their largest absolute entry
+    positive) and eigenvalues of a symmetric matrix."""
+    values, vectors = np.linalg.eigh((matrix + matrix.T) / 2)
+    order = np.argsort(-values, kind="stable")[:k]
+    return upright(vectors[:, order]), values[order]
+
+
+def upright(vectors: np.ndarray) -> np.ndarray:
+    signs = np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(vectors.shape[1])])
+    return vectors * np.where(signs == 0, 1, signs)
+
+
+def covariance_times(df: DataFrame, cols: Sequence[str], basis: np.ndarray) -> tuple[np.ndarray, float]:
+    """(covariance matrix of ``cols``, population, times ``basis``; its trace), in one
+    scan. A task multiplies its rows by the basis and the result by its rows again,
+    so it holds a block as tall as the columns and as wide as the basis, never a
+    square of the columns; neither does the driver."""
+    p, width = basis.shape
+    view = df.select(*[try_number(col(c), df.schema[c].dataType).alias(f"_v{i}") for i, c in enumerate(cols)])
+
+    def run(batches):
+        import pyarrow as pa
+        # Product, then for each column its sum and its sum of squares.
+        total, n = np.zeros((p, width + 2)), 0
+        for batch in batches:
+            if any(c.null_count for c in batch.columns):
+                raise ValueError("principal components need a value in every row: impute the columns first")
+            rows = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            total[:, :width] += rows.T @ (rows @ basis)
+            total[:, width] += rows.sum(axis=0)
+            total[:, width + 1] += (rows * rows).sum(axis=0)
+            n += len(rows)
+        if n:
+            yield pa.record_batch([pa.array(np.repeat(np.arange(p), width + 2)), pa.array(np.tile(np.arange(width + 2), p)),
+                                   pa.array(total.ravel()), pa.array(np.full(p * (width + 2), n))], names=["i", "j", "v", "n"])
+
+    sums = view.mapInArrow(run, "i long, j long, v double, n long").groupBy("i", "j").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
+    total, n = np.zeros((p, width + 2)), 1
+    for r in sums.collect():                     # as tall as the columns, as wide as the basis
+        total[r["i"], r["j"]], n = r["v"], r["n"]
+    mean = total[:, width] / n
+    product = total[:, :width] / n - np.outer(mean, mean @ basis)
+    return product, float((total[:, width + 1] / n - mean * mean).sum())
+
+
+def pca_fit(scaled: DataFrame, cols: Sequence[str], k: int | None = None, extra: int = 10, rounds: int = 60,
+            tolerance: float = 1e-9):
     """Fit PCA on already standardised ``cols``. Returns ``(loadings, ratios)``:
     a ``p×k`` numpy array whose columns have their largest absolute loading
-    positive, and the explained variance ratio of each component."""
-    k = k or pca_components(len(cols))
-    vec = VectorAssembler(inputCols=list(cols), outputCol="_features", handleInvalid="error")
-    model = PCA(k=k, inputCol="_features", outputCol="_pca").fit(vec.transform(scaled.select(*[col(c) for c in cols])))
-    pc = model.pc.toArray().copy()
-    for j in range(pc.shape[1]):
-        i = int(np.argmax(np.abs(pc[:, j])))
-        if pc[i, j] < 0:
-            pc[:, j] = -pc[:, j]
-    return pc, np.asarray(model.explainedVariance.toArray())
+    positive, and the explained variance ratio of each component.
+
+    Randomised block power iteration: a random basis a little wider than ``k`` is
+    multiplied by the covariance matrix, one scan a round, and made orthogonal;
+    the components are those of the matrix within the basis. Rounds end when what
+    the matrix does to the components differs from their variances by less than
+    ``tolerance`` of the largest one. A basis as wide as the columns is exact after
+    one round."""
+    p = len(cols)
+    k = min(k or pca_components(p), p)
+    width = min(p, k + max(extra, k // 2))
+    basis = np.eye(p) if width == p else np.linalg.qr(np.random.default_rng(p).standard_normal((p, width)))[0]
+    for _ in range(rounds):
+        product, trace = covariance_times(scaled, cols, basis)
+        vectors, values = principal(basis.T @ product, width)
+        left = product @ vectors - (basis @ vectors) * values
+        if np.linalg.norm(left[:, :k], axis=0).max() <= tolerance * max(values[0], 1e-300):
+            break
+        basis = np.linalg.qr(product)[0]
+    return upright((basis @ vectors)[:, :k]), values[:k] / (trace or 1.0)
 
 
 def pca_variance(spark, ratios: np.ndarray) -> DataFrame:

@@ -11,13 +11,15 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright import config as C
 from tablewright.functions.names import col
 from tablewright.functions.text import try_number
-from tablewright.operators.quantiles import numeric_long, quantile_table
+from tablewright.operators.moments import pair_state, pearson_of
+from tablewright.operators.quantiles import interpolated, numeric_long, rank_pairs
 
 
 def _typed(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict]:
@@ -96,15 +98,31 @@ def plot_values(df: DataFrame, cols: Sequence[str],
     return log_transform(df, mins), mins
 
 
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
+
+def quartile_ranks(df: DataFrame, cols: Sequence[str]) -> dict:
+    """The order statistics behind the quartiles of ``cols``, for several uses of
+    one search (``ranks`` below)."""
+    return rank_pairs(df, cols, list(QUARTILES.values())) if cols else {}
+
+
+def plotted_ranks(ranks: Mapping, mins: Mapping[str, float]) -> dict:
+    """``ranks`` of columns that :func:`log_transform` has changed by ``mins``."""
+    return {(c, p): (*(math.log1p(v - mins[c]) for v in pair[:2]), pair[2]) if c in mins else pair
+            for (c, p), pair in ranks.items()}
+
+
 def quartile_bounds(df: DataFrame, cols: Sequence[str], factor: float = C.IQR_FACTOR,
-                    **kw) -> dict[str, dict]:
+                    ranks: Mapping | None = None) -> dict[str, dict]:
     """Per column: q1, median, q3, iqr and the outlier fences."""
-    q = quantile_table(df, cols, [0.25, 0.5, 0.75], ["q1", "median", "q3"], **kw).collect()
+    ranks = quartile_ranks(df, cols) if ranks is None else ranks
     out = {}
-    for r in q:
-        iqr = r["q3"] - r["q1"]
-        out[r["column"]] = dict(q1=r["q1"], median=r["median"], q3=r["q3"], iqr=iqr,
-                                lower=r["q1"] - factor * iqr, upper=r["q3"] + factor * iqr)
+    for c in cols:
+        if (c, 0.5) in ranks:
+            q = {name: interpolated(*ranks[c, p]) for name, p in QUARTILES.items()}
+            iqr = q["q3"] - q["q1"]
+            out[c] = dict(q, iqr=iqr, lower=q["q1"] - factor * iqr, upper=q["q3"] + factor * iqr)
     return out
 
 
@@ -112,10 +130,10 @@ def _outside(x, b) -> F.Column:
     return (x < F.lit(b["lower"])) | (x > F.lit(b["upper"]))
 
 
-def iqr_outliers(df: DataFrame, cols: Sequence[str], factor: float = C.IQR_FACTOR, **kw) -> DataFrame:
+def iqr_outliers(df: DataFrame, cols: Sequence[str], factor: float = C.IQR_FACTOR, ranks: Mapping | None = None) -> DataFrame:
     """``(column, q1, q3, iqr, lower, upper, n_outliers)``; a value is an
     outlier when strictly outside ``[q1 - f·iqr, q3 + f·iqr]``."""
-    bounds = quartile_bounds(df, cols, factor, **kw)
+    bounds = quartile_bounds(df, cols, factor, ranks)
     present = [c for c in cols if c in bounds]
     spark = df.sparkSession
     schema = ("column string, q1 double, q3 double, iqr double, lower double, "
@@ -130,10 +148,10 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str], factor: float = C.IQR_FACTO
     return v.agg(F.array(*cells).alias("_s")).select(F.inline("_s"))
 
 
-def remove_outliers(df: DataFrame, cols: Sequence[str], factor: float = C.IQR_FACTOR, **kw) -> DataFrame:
+def remove_outliers(df: DataFrame, cols: Sequence[str], factor: float = C.IQR_FACTOR, ranks: Mapping | None = None) -> DataFrame:
     """Rows of ``df`` that are not an IQR outlier in any of ``cols`` (nulls
     are kept). A plain filter with literal fences: pushed into the scan stage."""
-    bounds = quartile_bounds(df, cols, factor, **kw)
+    bounds = quartile_bounds(df, cols, factor, ranks)
     schema = {f.name: f.dataType for f in df.schema.fields}
     x = {c: try_number(col(c), schema[c]) for c in cols}
     keep = F.lit(True)
@@ -143,11 +161,11 @@ def remove_outliers(df: DataFrame, cols: Sequence[str], factor: float = C.IQR_FA
     return df.where(keep)
 
 
-def box_stats(df: DataFrame, cols: Sequence[str], factor: float = C.IQR_FACTOR, **kw) -> DataFrame:
+def box_stats(df: DataFrame, cols: Sequence[str], factor: float = C.IQR_FACTOR, ranks: Mapping | None = None) -> DataFrame:
     """``(column, q1, median, q3, whisker_lo, whisker_hi, n_fliers)``: the
     whiskers are the furthest values inside the 1.5·IQR fences, and never end
     inside the box."""
-    bounds = quartile_bounds(df, cols, factor, **kw)
+    bounds = quartile_bounds(df, cols, factor, ranks)
     present = [c for c in cols if c in bounds]
     if not present:
         return df.sparkSession.createDataFrame(
@@ -220,8 +238,9 @@ def kde(df: DataFrame, cols: Sequence[str], points: int = C.KDE_POINTS,
     bandwidth ``bandwidth · sample std`` at ``points`` equally spaced points
     from min to max. Columns with zero variance get no curve.
 
-    Equal values are grouped first, so the kernel sum costs one term per
-    distinct value and grid point; the grid sums are partial aggregates."""
+    Each task adds the kernels of its values to an array with a place for each
+    point (equal values of a batch once), and emits the arrays at its end; a value
+    never becomes a row for each point, nor a key of an exchange."""
     spark = df.sparkSession
     ranges = _ranges(df, cols)
     params = []
@@ -234,46 +253,35 @@ def kde(df: DataFrame, cols: Sequence[str], points: int = C.KDE_POINTS,
     p = _param_table(spark, params, "column string, lo double, hi double, n long, h double")
     step = (F.col("hi") - F.col("lo")) / F.lit(float(points - 1))
     grid_x = F.when(F.col("point") == points - 1, F.col("hi")).otherwise(F.col("lo") + F.col("point") * step)
-    long = numeric_long(df, [c for c, *_ in params])
-    counts = long.groupBy("column", "value").agg(F.count("*").alias("cnt"))
-    terms = (counts.join(p, "column")
-             .select("column", "value", "cnt", "h", "lo", "hi", "n",
-                     F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-             .withColumn("x", grid_x))
-    z = (F.col("x") - F.col("value")) / F.col("h")
-    sums = terms.groupBy("column", "point").agg(F.sum(F.col("cnt") * F.exp(-0.5 * z * z)).alias("_s"))
+    grids = [(np.append(lo + np.arange(points - 1) * ((hi - lo) / (points - 1)), hi), h) for _, lo, hi, _, h in params]
+    view, held = _typed(df, [c for c, *_ in params])
+
+    def run(batches):
+        import pyarrow as pa
+        total = np.zeros((len(grids), points))
+        for batch in batches:
+            for k, (grid, h) in enumerate(grids):
+                values, many = np.unique(batch.column(k).drop_null().to_numpy(zero_copy_only=False), return_counts=True)
+                for at in range(0, len(values), 512):
+                    z = (grid[:, None] - values[at:at + 512]) / h
+                    total[k] += np.exp(-0.5 * z * z) @ many[at:at + 512]
+        yield pa.record_batch([pa.array(np.repeat(np.arange(len(grids), dtype=np.int32), points)),
+                               pa.array(np.tile(np.arange(points, dtype=np.int32), len(grids))), pa.array(total.ravel())],
+                              names=["_k", "point", "s"])
+
+    sums = view.select(*[held[c] for c, *_ in params]).mapInArrow(run, "_k int, point int, s double")
+    names = F.array(*[F.lit(c) for c, *_ in params])
+    sums = sums.groupBy(F.get(names, F.col("_k")).alias("column"), "point").agg(F.sum("s").alias("_s"))
     norm = F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi))
     return (sums.join(p, "column").withColumn("x", grid_x)
             .select("column", F.col("point").cast("int").alias("point"), "x", (F.col("_s") / norm).alias("density")))
 
 
-def pearson(df: DataFrame, cols: Sequence[str], pairs_per_pass: int = 256) -> DataFrame:
+def pearson(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(col_x, col_y, pearson)`` for every ordered pair, diagonal included.
     Each pair uses the rows where both values are present; a constant column
-    gives null. All pairs are aggregated in one pass (partial aggregation
-    map-side); very wide inputs are split into passes of
-    ``pairs_per_pass`` pairs so each aggregate stays a bounded code unit."""
-    v, x = _typed(df, cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
-
-    def cells(chunk):
-        out = []
-        for a, b in chunk:
-            both = x[a].isNotNull() & x[b].isNotNull()
-            xa, xb = F.when(both, x[a]), F.when(both, x[b])
-            sa, sb = F.stddev_pop(xa), F.stddev_pop(xb)
-            r = F.when(sa > 0, F.lit(1.0)) if a == b else F.try_divide(F.covar_pop(xa, xb), sa * sb)
-            out.append(F.struct(F.lit(a).alias("col_x"), F.lit(b).alias("col_y"), r.alias("pearson")))
-            if a != b:
-                out.append(F.struct(F.lit(b).alias("col_x"), F.lit(a).alias("col_y"), r.alias("pearson")))
-        return out
-
-    parts = [v.agg(F.array(*cells(pairs[k:k + pairs_per_pass])).alias("_s")).select(F.inline("_s"))
-             for k in range(0, len(pairs), pairs_per_pass)]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    gives null. All pairs come from one scan (``moments.pair_state``)."""
+    return pearson_of(pair_state(df, cols))
 
 
 def head(df: DataFrame, order_cols: Sequence[str], n: int, dense_id: bool = False,

@@ -7,8 +7,7 @@ stay fixed if a task is re-run), and a position is ``rows in earlier
 partitions + index within partition``.
 Only a table with one row per (partition, group) ever goes to one task.
 
-Used for row ids (no group), dictionary codes (group = column name) and exact
-quantiles (group = column name, weighted by value counts).
+Used for row ids (no group) and dictionary codes (group = column name).
 """
 
 from __future__ import annotations
@@ -75,34 +74,3 @@ def assign_row_id(df: DataFrame, order_cols: Sequence[str], out: str = "row_id")
     """Dense 0-based row id following ``order_cols`` (a file-position
     stand-in). Computed once; persist the result if it is reused."""
     return positions(df, order_cols, (), out)
-
-
-def weighted_rank_lookup(counts: DataFrame, group_col: str, value_col: str, weight_col: str,
-                         make_targets, target_col: str = "target") -> DataFrame:
-    """For every ``(group_col, target)`` in ``targets`` find the value whose
-    cumulative weight range ``[before, before + weight)`` contains the
-    target rank (0-based), scanning the sorted ``counts`` table.
-
-    ``counts`` holds one row per distinct (group, value) with its weight, so a
-    hot value is one row however many times it occurs. ``make_targets`` gets
-    the per-group totals ``(group_col, total)`` and returns the small
-    ``(group_col, target)`` table. Only the partitions that contain a target
-    are scanned row by row.
-    """
-    tagged = pin_sorted(counts, [group_col, value_col])
-    chunks = _chunk_offsets(tagged, [group_col], F.col(weight_col))
-    totals = chunks.groupBy(group_col).agg(F.sum("_w").alias("total"))
-    targets = make_targets(totals)
-    hit = (chunks.join(F.broadcast(targets), group_col)
-           .where((F.col(target_col) >= F.col("_before"))
-                  & (F.col(target_col) < F.col("_before") + F.col("_w")))
-           .select("_pid", group_col, target_col, F.col("_before").alias("_chunk_before")))
-    # hit has one row per target: a proven small bound.
-    rows = tagged.join(F.broadcast(hit.select("_pid", group_col).distinct()), ["_pid", group_col])
-    w = Window.partitionBy("_pid", group_col).orderBy(value_col).rowsBetween(
-        Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_cum", F.coalesce(F.sum(weight_col).over(w), F.lit(0)))
-    found = rows.join(F.broadcast(hit), ["_pid", group_col]).where(
-        (F.col(target_col) >= F.col("_chunk_before") + F.col("_cum"))
-        & (F.col(target_col) < F.col("_chunk_before") + F.col("_cum") + F.col(weight_col)))
-    return found.select(group_col, target_col, value_col)

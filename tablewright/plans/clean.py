@@ -22,7 +22,7 @@ from tablewright.functions.text import is_numeric_type, number_or_truth_text, tr
 from tablewright.operators import categories as cat
 from tablewright.operators.lists import explode_list
 from tablewright.operators.profile import detect_types, null_profile
-from tablewright.operators.quantiles import exact_quantiles
+from tablewright.operators.quantiles import quantile_values
 from tablewright.session import materialize
 
 
@@ -43,15 +43,11 @@ class Cleaned:
         return [c for c, t in self.type_of.items() if t in kinds]
 
 
-def medians(df: DataFrame, cols, cfg: PrepConfig = PrepConfig(), row_count: int | None = None) -> DataFrame:
+def medians(df: DataFrame, cols) -> DataFrame:
     """``(column, median)``: exact median of the numeric values; 0.0 for a
     column without values."""
-    q = exact_quantiles(df, cols, [0.5], cfg.single_task_distinct_limit, row_count=row_count)
-    found = q.select("column", F.col("value").alias("median"))
-    spark = df.sparkSession
-    names = spark.createDataFrame([(c, i) for i, c in enumerate(cols)], "column string, _pos int")
-    return (F.broadcast(names).join(found, "column", "left")
-            .select("column", F.coalesce("median", F.lit(0.0)).alias("median")))
+    found = quantile_values(df, cols, [0.5])
+    return df.sparkSession.createDataFrame([(c, found.get((c, 0.5), 0.0)) for c in cols], "column string, median double")
 
 
 def fill_table(df: DataFrame, type_of: dict, med: dict, mode: dict) -> DataFrame:
@@ -91,9 +87,8 @@ def clean(df: DataFrame, id_col: str = "row_id", cfg: PrepConfig = PrepConfig())
     :func:`tablewright.sources.csv.read_raw_csv`."""
     data_cols = [c for c in df.columns if c != id_col]
     profile = null_profile(df, cfg.null_threshold, data_cols)
-    prow = profile.select("column", "position", "row_count", "dropped").collect()  # one row per column
+    prow = profile.select("column", "position", "dropped").collect()  # one row per column
     kept = [r["column"] for r in sorted(prow, key=lambda r: r["position"]) if not r["dropped"]]
-    n_rows = prow[0]["row_count"] if prow else 0
     types = detect_types(df, kept, order_cols=[id_col], sample_rows=cfg.type_sample_rows,
                          no_list=cfg.no_list,
                          numeric_categorical_threshold=cfg.numeric_categorical_threshold,
@@ -113,8 +108,8 @@ def clean(df: DataFrame, id_col: str = "row_id", cfg: PrepConfig = PrepConfig())
         if type_of[c] == C.NUMERIC_CATEGORICAL and not is_numeric_type(schema[c]):
             df = df.withColumn(c, number_or_truth_text(col(c), schema[c]))
 
-    med = ({r["column"]: r["median"] for r in medians(df, numeric, cfg, n_rows).collect()}
-           if numeric else {})
+    found = quantile_values(df, numeric, [0.5])
+    med = {c: found.get((c, 0.5), 0.0) for c in numeric}
 
     spark = df.sparkSession
     if category:

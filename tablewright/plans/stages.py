@@ -127,8 +127,10 @@ def eda(cleaned: Cleaned, cfg: PrepConfig = PrepConfig(), pearson_rows: int | No
         lists[c] = {"item_counts": counts, "pair_counts": pairs,
                     "cooccurrence": L.cooccurrence_matrix(counts, pairs, top_items)}
 
+    ranks = N.quartile_ranks(t, numeric)         # one search for outliers and boxes
     return Eda(summary=summary_stats(cleaned), top_categories=decoded,
-               outliers=N.iqr_outliers(t, numeric), box=N.box_stats(plot, numeric),
+               outliers=N.iqr_outliers(t, numeric, ranks=ranks),
+               box=N.box_stats(plot, numeric, ranks=N.plotted_ranks(ranks, mins)),
                histogram=N.histogram(plot, numeric, cfg.histogram_bins),
                kde=N.kde(plot, numeric, cfg.kde_points, cfg.kde_bandwidth),
                pearson=pearson, scatter=scatter, lists=lists, log_transformed=mins)
