@@ -582,13 +582,12 @@ SELECT CAST(json_object('o_orderkey', o_orderkey, 'o_custkey', o_custkey, 'o_ord
 FROM orders
 """
 
-SQL["message_batches"] = """
-SELECT CAST(floor(rid / 50000) AS BIGINT) AS chunk, CAST(floor((rid % 50000) / 500) AS BIGINT) AS batch,
-       count(*) AS n_messages
-FROM (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS rid FROM orders) GROUP BY 1, 2
-"""
+SQL["delivered_messages"] = (f"SELECT value, (SELECT count(*) FROM orders) AS sent, CAST(0 AS BIGINT) AS failed "
+                             f"FROM ({SQL['json_messages']})")
 
-SQL["csv_roundtrip"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
+SQL["csv_roundtrip"] = """
+SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_id, doc_id, text, lang, source, n_chars FROM documents
+"""
 
 
 # --- text-heavy tables, array lists, streaming load --------------------------
@@ -609,6 +608,7 @@ FROM (SELECT vec_id, unnest(embedding) AS e FROM embeddings) WHERE e IS NOT NULL
 """
 
 SQL["streamed_messages"] = SQL["json_messages"]
+SQL["loaded_once"] = SQL["json_messages"]
 
 
 # ``column`` is a reserved word in DuckDB: quote it as an identifier.

@@ -29,7 +29,8 @@ from tablewright.operators.ordinal import assign_row_id
 from tablewright.plans import derived, stages
 from tablewright.plans.clean import clean, impute, medians
 from tablewright.session import scratch_path
-from tablewright.sinks.messages import message_batches, to_messages
+from tablewright.sinks.delivery import deliver, file_transport, totals
+from tablewright.sinks.messages import to_messages
 from tablewright.sinks.files import write_table
 from tablewright.sources.side_tables import read_side_table, write_side_table
 from tablewright.sources.csv import read_raw_csv, write_csv
@@ -468,18 +469,21 @@ def q_json_messages(spark, folder):
     return to_messages(_orders_for_messages(spark, folder))
 
 
-@query("message_batches")
-def q_message_batches(spark, folder):
-    o = assign_row_id(table(spark, folder, "orders").select("o_orderkey"), ["o_orderkey"])
-    return message_batches(o, "row_id", C.CHUNK_SIZE, C.MESSAGE_BATCH_SIZE)
+@query("delivered_messages")
+def q_delivered_messages(spark, folder):
+    """Orders delivered as messages to files in the shared folder: the writer's
+    account, and the messages as they arrived."""
+    path = scratch_path(spark, "delivered")
+    account = totals(deliver(_orders_for_messages(spark, folder), file_transport(path)))
+    return spark.read.text(path).crossJoin(F.broadcast(account))      # the account is one row
 
 
 @query("csv_roundtrip")
 def q_csv_roundtrip(spark, folder):
     path = scratch_path(spark, "documents-csv")
-    write_csv(table(spark, folder, "documents"), path)
-    back = read_raw_csv(spark, path, row_id=None)
-    return back.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source",
+    write_csv(table(spark, folder, "documents").orderBy("doc_id"), path)
+    back = read_raw_csv(spark, path)
+    return back.select("row_id", F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source",
                        F.col("n_chars").cast("long").alias("n_chars"))
 
 
@@ -506,6 +510,22 @@ def q_explode_array_list(spark, folder):
     return side.select("row_id", F.col("value").cast("float").alias("value"))
 
 
+@query("loaded_once")
+def q_loaded_once(spark, folder):
+    """Orders that arrive as files, loaded with a ledger; then every batch is run
+    again, as after a stop between a batch's data and its checkpoint."""
+    from tablewright.streaming import messages as stream
+    src, out = scratch_path(spark, "orders-once-src"), scratch_path(spark, "orders-once-out")
+    rows = _orders_for_messages(spark, folder)
+    rows.repartition(3, "o_orderkey").write.parquet(src)
+    stream.load_once(spark, src, rows.schema, out, scratch_path(spark, "orders-once-ckpt")).awaitTermination()
+    # A batch that is run again finds its entry in the ledger and writes nothing.
+    done = stream.ledger(spark, out).orderBy("batch").collect()
+    for entry in done:
+        stream.write_batch_once(to_messages(rows).select("value"), entry["batch"], out, entry["stream"])
+    return stream.loaded_messages(spark, out)
+
+
 @query("streamed_messages")
 def q_streamed_messages(spark, folder):
     from tablewright.streaming.messages import stream_messages

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -59,6 +61,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_SENT: set[str] = set()
+
+
+def send_package(spark: SparkSession) -> None:
+    """Give Python workers on other machines this package, once for a session."""
+    app = spark.sparkContext.applicationId
+    if app in _SENT:
+        return
+    _SENT.add(app)
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"     # sent to the executors by Spark
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")

@@ -50,34 +50,25 @@ def kafka_settings(servers: str = C.KAFKA_SERVERS, topic: str = C.KAFKA_TOPIC,
     }
 
 
+def kafka_options(servers: str = C.KAFKA_SERVERS, topic: str = C.KAFKA_TOPIC) -> dict[str, str]:
+    """Options of Spark's Kafka sink: every broker confirms, three retries."""
+    s = kafka_settings(servers, topic)
+    return {"kafka.bootstrap.servers": s["servers"], "topic": s["topic"], "kafka.acks": "all", "kafka.retries": "3"}
+
+
 def write_messages(df: DataFrame, fmt: str = "kafka", path: str | None = None,
                    servers: str = C.KAFKA_SERVERS, topic: str = C.KAFKA_TOPIC,
-                   batch_size: int = C.MESSAGE_BATCH_SIZE, extra: dict | None = None) -> int:
+                   extra: dict | None = None) -> int:
     """Write ``to_messages(df)`` and return the number of messages sent
-    (counted during the write with an observation, no second pass).
-    ``batch_size`` counts messages and only documents the caller's batches: the
-    producer batches by bytes. ``fmt="kafka"`` needs the Spark Kafka connector on the classpath; any file
+    (counted during the write with an observation, no second pass). A message
+    that cannot be sent fails the task; ``sinks.delivery`` counts them instead.
+    ``fmt="kafka"`` needs the Spark Kafka connector on the classpath; any file
     format (``json``, ``text``, ``parquet``) writes the messages to ``path``."""
     sent = Observation("messages_sent")
     msgs = to_messages(df).observe(sent, F.count(F.lit(1)).alias("sent"))
     w = msgs.write
     if fmt == "kafka":
-        s = kafka_settings(servers, topic, batch_size)
-        w = (w.format("kafka").option("kafka.bootstrap.servers", s["servers"]).option("topic", s["topic"])
-             .option("kafka.acks", "all").option("kafka.retries", "3"))
-        for k, v in (extra or {}).items():
-            w = w.option(k, v)
-        w.save()
+        w.format("kafka").options(**kafka_options(servers, topic), **(extra or {})).save()
     else:
         w.mode("overwrite").format(fmt).save(path)
     return int(sent.get["sent"])
-
-
-def message_batches(df: DataFrame, row_id: str, chunk_size: int = C.CHUNK_SIZE,
-                    batch_size: int = C.MESSAGE_BATCH_SIZE) -> DataFrame:
-    """``(chunk, batch, n_messages)``: how the messages fall into chunks of
-    ``chunk_size`` rows and sub-batches of ``batch_size`` within a chunk."""
-    rid = col(row_id).cast("long")
-    chunk = F.floor(rid / F.lit(chunk_size)).cast("long")
-    batch = F.floor(F.pmod(rid, F.lit(chunk_size)) / F.lit(batch_size)).cast("long")
-    return df.groupBy(chunk.alias("chunk"), batch.alias("batch")).agg(F.count("*").alias("n_messages"))

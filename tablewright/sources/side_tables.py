@@ -14,9 +14,13 @@ def write_side_table(df: DataFrame, path: str, fmt: str = "json") -> None:
 
 
 def read_side_table(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    return read_or_empty(spark, path, SIDE_SCHEMA, fmt)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: str, fmt: str) -> DataFrame:
     try:
-        return spark.read.schema(SIDE_SCHEMA).format(fmt).load(path)
+        return spark.read.schema(schema).format(fmt).load(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
-        return spark.createDataFrame([], SIDE_SCHEMA)
+        return spark.createDataFrame([], schema)

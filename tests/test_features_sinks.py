@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from tablewright.operators import features as FT
-from tablewright.sinks.messages import message_batches, to_messages, write_messages
+from tablewright.sinks.messages import to_messages, write_messages
 from tablewright.sources.csv import read_raw_csv, write_csv
 from tablewright.sources.side_tables import read_side_table, write_side_table
 
@@ -66,12 +66,6 @@ def test_write_messages_to_files(spark, tmp_dir):
     assert sorted(json.loads(r.value)["x"] for r in back.collect()) == list(range(10))
 
 
-def test_message_batches(spark):
-    df = spark.range(1234).withColumnRenamed("id", "row_id")
-    got = {(r.chunk, r.batch): r.n_messages for r in message_batches(df, "row_id", 1000, 500).collect()}
-    assert got == {(0, 0): 500, (0, 1): 500, (1, 0): 234}
-
-
 def test_csv_roundtrip_na_tokens_and_newlines(spark, tmp_dir):
     rows = [(0, 'line one\nline "two", three', "NA"), (1, "", "n/a"), (2, "ok", "x")]
     df = spark.createDataFrame(rows, "id long, text string, tag string")
