@@ -63,7 +63,7 @@ OHE_MAX_CARDINALITY = 15
 PCA_MAX_COMPONENTS = 50
 MESSAGE_BATCH_SIZE = 500
 INLINE_DICTIONARY_LIMIT = 256
-BROADCAST_ROW_LIMIT = 1_000_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 # Semantic column types.
 NUMERIC = "numeric"
@@ -109,7 +109,7 @@ class PrepConfig:
     # of being joined. Kept small: every entry is a literal in the plan (built
     # and shipped by the driver); larger dictionaries take a broadcast join.
     inline_dictionary_limit: int = INLINE_DICTIONARY_LIMIT
-    # Row bound under which a lookup side may be broadcast.
-    broadcast_row_limit: int = BROADCAST_ROW_LIMIT
+    # Counted bytes up to which a lookup side may be broadcast.
+    broadcast_bytes: int = BROADCAST_BYTES
     # The id column is a dense 0-based row id, so "first n rows" is a filter.
     dense_row_id: bool = True

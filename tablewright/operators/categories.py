@@ -19,6 +19,14 @@ from tablewright.functions.text import value_text
 from tablewright.operators.ordinal import positions
 
 
+#: A value of this share of its column's rows is frequent.
+FREQUENT = 256
+#: Bytes of a dictionary that may stand in a plan as a literal, and of an entry besides its text.
+INLINE_BYTES, ENTRY_BYTES = 65_536, 40
+#: Places over which rows that need no match are spread.
+SPREAD = 4_096
+
+
 def category_long(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
     """``(*extra, column, value)`` with the category key text of every
     non-null cell of ``cols``."""
@@ -49,7 +57,7 @@ def category_summary(counts: DataFrame) -> DataFrame:
 
 
 def label_dictionary(counts: DataFrame, distinct_limit: int = 1_000_000,
-                     sizes: Mapping[str, int] | None = None) -> DataFrame:
+                     sizes: Mapping[str, tuple[int, int]] | None = None) -> DataFrame:
     """``(column, value, code)``: codes 0.. in value (code point) order.
 
     Columns with at most ``distinct_limit`` values are numbered with a window
@@ -57,10 +65,9 @@ def label_dictionary(counts: DataFrame, distinct_limit: int = 1_000_000,
     task sorts a huge dictionary."""
     distinct = counts.select("column", "value")
     if sizes is None:
-        sizes = {r["column"]: int(r["n"]) for r in
-                 distinct.groupBy("column").agg(F.count("*").alias("n")).collect()}
-    small = [c for c, n in sizes.items() if n <= distinct_limit]
-    large = [c for c, n in sizes.items() if n > distinct_limit]
+        sizes = _dictionary_sizes(distinct)
+    small = [c for c, (n, _) in sizes.items() if n <= distinct_limit]
+    large = [c for c, (n, _) in sizes.items() if n > distinct_limit]
     parts = []
     if small:
         w = Window.partitionBy("column").orderBy("value")
@@ -98,17 +105,10 @@ def top_categories(counts: DataFrame, n: int = C.TOP_N_CATEGORIES, salts: int |
                     (F.col("_n") > n).alias("more_exist")))
 
 
-def _dictionary_sizes(dictionary: DataFrame) -> dict[str, int]:
-    return {r["column"]: int(r["n"]) for r in
-            dictionary.groupBy("column").agg(F.count("*").alias("n")).collect()}
-
-
-def _inline_maps(dictionary: DataFrame, cols: Sequence[str], key: str, val: str) -> dict:
-    rows = dictionary.where(F.col("column").isin(list(cols))).select("column", key, val).collect()
-    maps: dict[str, list] = {c: [] for c in cols}
-    for r in rows:
-        maps[r["column"]].append((r[key], r[val]))
-    return maps
+def _dictionary_sizes(dictionary: DataFrame) -> dict[str, tuple[int, int]]:
+    """Entries and bytes of each column's dictionary."""
+    rows = dictionary.groupBy("column").agg(F.count("*").alias("n"), F.sum(ENTRY_BYTES + F.octet_length("value")).alias("b")).collect()
+    return {r["column"]: (int(r["n"]), int(r["b"])) for r in rows}
 
 
 def _map_literal(pairs) -> F.Column:
@@ -119,51 +119,100 @@ def _map_literal(pairs) -> F.Column:
     return F.map_from_arrays(keys, vals)
 
 
-def category_stats(counts: DataFrame) -> tuple[dict[str, str], dict[str, int]]:
-    """Modes and dictionary sizes per column in one small aggregate."""
+def category_stats(counts: DataFrame) -> tuple[dict[str, str], dict[str, tuple[int, int]]]:
+    """Modes, and entries and bytes of the dictionary, per column in one small aggregate."""
     best = F.min(F.struct((-F.col("count")).alias("neg"), F.col("value").alias("value")))
-    rows = counts.groupBy("column").agg(best.alias("_b"), F.count("*").alias("_n")).collect()
-    return ({r["column"]: r["_b"]["value"] for r in rows}, {r["column"]: int(r["_n"]) for r in rows})
+    rows = counts.groupBy("column").agg(best.alias("_b"), F.count("*").alias("_n"),
+                                        F.sum(ENTRY_BYTES + F.octet_length("value")).alias("_bytes")).collect()
+    return ({r["column"]: r["_b"]["value"] for r in rows}, {r["column"]: (int(r["_n"]), int(r["_bytes"])) for r in rows})
+
+
+def frequent_values(counts: DataFrame) -> DataFrame:
+    """``(column, value)`` of the values that hold ``1 / FREQUENT`` of their column's
+    rows or more: at most ``FREQUENT`` for each column, whatever the data."""
+    totals = counts.groupBy("column").agg(F.sum("count").alias("_total"))      # one row per column
+    return counts.join(F.broadcast(totals), "column").where(F.col("count") * FREQUENT >= F.col("_total")).select("column", "value")
+
+
+def _short(text: F.Column) -> F.Column:
+    """A text itself, or the digest of a long one: a map literal stays small."""
+    return F.when(F.octet_length(text) <= 64, text).otherwise(F.concat(F.lit("\0"), F.sha2(text, 256)))
 
 
 def _lookup(df: DataFrame, cols: Sequence[str], dictionary: DataFrame, key: str, val: str,
-            key_expr, out_cast: str, inline_limit: int, broadcast_limit: int,
-            sizes: Mapping[str, int] | None = None) -> DataFrame:
+            key_expr, out_cast: str, inline_limit: int, broadcast_bytes: int,
+            sizes: Mapping[str, tuple[int, int]] | None, counts: DataFrame | None, fill: Mapping[str, str] | None) -> DataFrame:
+    """Small dictionaries, by entries and bytes, become map literals. Larger ones
+    are joined: broadcast if their counted bytes allow it; otherwise frequent keys
+    are found in a map literal, too, and only the rest meets the dictionary in a
+    shuffle. Rows that need no match (null or frequent keys) are spread over the
+    shuffle by their content, so that no task gets them all."""
     if sizes is None:
         sizes = _dictionary_sizes(dictionary.where(F.col("column").isin(list(cols))))
-    inline = [c for c in cols if sizes.get(c, 0) <= inline_limit]
-    maps = _inline_maps(dictionary, inline, key, val) if inline else {}
+    inline = [c for c in cols if sizes.get(c, (0, 0))[0] <= inline_limit and sizes.get(c, (0, 0))[1] <= INLINE_BYTES]
+    joined = [c for c in cols if c not in inline]
+    entries = dictionary.select("column", F.col(key).alias("_k"), F.col(val).alias("_v"), F.col("value").alias("_text"))
+    maps: dict[str, list] = {c: [] for c in inline}
+    for r in entries.where(F.col("column").isin(inline)).collect() if inline else []:
+        maps[r["column"]].append((r["_k"], r["_v"]))
+    frequent: dict[str, list] = {c: [] for c in joined}
+    shuffled = [c for c in joined if sizes[c][1] > broadcast_bytes]
+    if shuffled and counts is not None:
+        hot = frequent_values(counts.where(F.col("column").isin(shuffled))).select("column", F.col("value").alias("_text"))
+        short = _short(F.col("_k")) if key == "value" else F.col("_k")
+        for r in entries.join(F.broadcast(hot), ["column", "_text"]).select("column", short.alias("_k"), "_v").collect():
+            frequent[r["column"]].append((r["_k"], r["_v"]))
+    filled: dict[str, object] = {}
+    if fill:
+        wanted = df.sparkSession.createDataFrame([(c, fill[c]) for c in cols if c in fill], "column string, _text string")
+        # One row per column.
+        filled = {r["column"]: r["_v"] for r in entries.join(F.broadcast(wanted), ["column", "_text"]).select("column", "_v").collect()}
     out = df
     for c in cols:
         k = key_expr(c)
+
+        def done(found: F.Column, k=k, c=c) -> F.Column:
+            return F.when(k.isNull(), F.lit(filled[c]).cast(out_cast)).otherwise(found) if c in filled else found
+
         if c in maps:
             m = _map_literal(maps[c])
-            expr = F.lit(None).cast(out_cast) if m is None else F.try_element_at(m, k).cast(out_cast)
-            out = out.withColumn(c, expr)
+            out = out.withColumn(c, done(F.lit(None).cast(out_cast) if m is None else F.try_element_at(m, k).cast(out_cast)))
             continue
-        side = (dictionary.where(F.col("column") == c)
-                .select(F.col(key).alias("_k"), F.col(val).cast(out_cast).alias("_v")))
-        if sizes[c] <= broadcast_limit:
-            side = F.broadcast(side)
-        tmp = out.withColumn("_k", k)
-        out = (tmp.join(side, "_k", "left").withColumn(c, F.col("_v")).drop("_k", "_v"))
-    return out
+        side = entries.where(F.col("column") == c).select(F.col("_k"), F.col("_v").cast(out_cast).alias("_v"))
+        if c not in shuffled:
+            out = out.withColumn("_k", k).join(F.broadcast(side), "_k", "left").withColumn(c, done(F.col("_v"), F.col("_k"))).drop("_k", "_v")
+            continue
+        m = _map_literal(frequent[c])
+        hit = F.lit(None).cast(out_cast) if m is None else F.try_element_at(m, _short(k) if key == "value" else k).cast(out_cast)
+        spread = F.pmod(F.xxhash64(*[col(x) for x in out.columns]), F.lit(SPREAD)) + 1
+        # One key of both: a constant salt by itself would be optimised away.
+        salted = lambda x, salt: F.struct(x.alias("k"), salt.cast("long").alias("salt"))
+        tmp = out.withColumn("_hit", hit).withColumn("_null", k.isNull()).withColumn("_at", F.when(
+            F.col("_null") | F.col("_hit").isNotNull(), salted(F.lit(None).cast(side.schema["_k"].dataType), spread)).otherwise(salted(k, F.lit(0))))
+        found = tmp.join(side.select(salted(F.col("_k"), F.lit(0)).alias("_at"), "_v"), "_at", "left")
+        value = F.coalesce("_hit", "_v")
+        if c in filled:
+            value = F.when(F.col("_null"), F.lit(filled[c]).cast(out_cast)).otherwise(value)
+        out = found.withColumn(c, value).select(*[col(x) for x in out.columns])
+    return out.select(*[col(x) for x in df.columns])
 
 
 def label_encode(df: DataFrame, cols: Sequence[str], dictionary: DataFrame,
-                 inline_limit: int = C.INLINE_DICTIONARY_LIMIT, broadcast_limit: int = C.BROADCAST_ROW_LIMIT,
-                 sizes: Mapping[str, int] | None = None) -> DataFrame:
+                 inline_limit: int = C.INLINE_DICTIONARY_LIMIT, broadcast_bytes: int = C.BROADCAST_BYTES,
+                 sizes: Mapping[str, tuple[int, int]] | None = None, counts: DataFrame | None = None,
+                 fill: Mapping[str, str] | None = None) -> DataFrame:
     """Replace each column in ``cols`` by its code (BIGINT; null when the value
-    is not in the dictionary). Small dictionaries become map literals (no
-    join); large ones are joined, broadcast only below ``broadcast_limit``."""
+    is not in the dictionary). Missing cells get the code of the column's value in
+    ``fill``; they are coded before they are filled, so they never make that
+    value the hot key of a join. ``counts`` (value counts) names frequent values."""
     schema = {f.name: f.dataType for f in df.schema.fields}
     return _lookup(df, cols, dictionary, "value", "code",
-                   lambda c: value_text(col(c), schema[c]), "bigint", inline_limit, broadcast_limit, sizes)
+                   lambda c: value_text(col(c), schema[c]), "bigint", inline_limit, broadcast_bytes, sizes, counts, fill)
 
 
 def label_decode(df: DataFrame, cols: Sequence[str], dictionary: DataFrame,
-                 inline_limit: int = C.INLINE_DICTIONARY_LIMIT, broadcast_limit: int = C.BROADCAST_ROW_LIMIT,
-                 sizes: Mapping[str, int] | None = None) -> DataFrame:
+                 inline_limit: int = C.INLINE_DICTIONARY_LIMIT, broadcast_bytes: int = C.BROADCAST_BYTES,
+                 sizes: Mapping[str, tuple[int, int]] | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Inverse of :func:`label_encode`: codes back to the original text."""
     return _lookup(df, cols, dictionary, "code", "value",
-                   lambda c: col(c).cast("long"), "string", inline_limit, broadcast_limit, sizes)
+                   lambda c: col(c).cast("long"), "string", inline_limit, broadcast_bytes, sizes, counts, None)

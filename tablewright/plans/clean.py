@@ -123,9 +123,9 @@ def clean(df: DataFrame, id_col: str = "row_id", cfg: PrepConfig = PrepConfig())
         dictionary = materialize(dictionary, "dictionary")
 
     main = df.select(col(id_col), *[col(c) for c in type_of if c not in listy])
-    main = impute(main, {c: med.get(c, 0.0) for c in numeric}, category_fill)
+    main = impute(main, {c: med.get(c, 0.0) for c in numeric}, {})
     main = cat.label_encode(main, category, dictionary, cfg.inline_dictionary_limit,
-                            cfg.broadcast_row_limit, sizes=sizes)
+                            cfg.broadcast_bytes, sizes=sizes, counts=counts, fill=category_fill)
 
     side = {c: explode_list(df, c, hints.get(c), id_col) for c in listy}
     return Cleaned(table=main, profile=profile, types=types, type_of=type_of, hints=hints,

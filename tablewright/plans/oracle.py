@@ -300,7 +300,7 @@ ti AS (SELECT row_id, value FROM items WHERE value IN (SELECT value FROM topi)),
 pc AS (SELECT a.value AS item_a, b.value AS item_b, count(*) AS count
        FROM ti AS a JOIN ti AS b ON a.row_id = b.row_id AND a.value < b.value GROUP BY 1, 2)
 """
-SQL["pair_counts"] = f"WITH {_TOP} SELECT item_a, item_b, count FROM pc"
+SQL["top_pair_counts"] = f"WITH {_TOP} SELECT item_a, item_b, count FROM pc"
 SQL["cooccurrence_matrix"] = f"""
 WITH {_TOP}
 SELECT r.i AS i, c.i AS j, r.value AS row_item, c.value AS col_item,

@@ -199,7 +199,7 @@ def q_clean_table(spark, folder):
 
 @query("clean_dictionary")
 def q_clean_dictionary(spark, folder):
-    g = derived.lineitem_with_gaps(spark, folder)
+    g = derived.lineitem_with_gaps(spark, folder, with_row_id=False)
     return clean(g, "row_id", WHOLE).dictionary
 
 
@@ -244,7 +244,7 @@ def q_item_counts(spark, folder):
     return L.item_counts(_tag_sets(spark, folder))
 
 
-@query("pair_counts")
+@query("top_pair_counts")
 def q_pair_counts(spark, folder):
     sets = _tag_sets(spark, folder)
     top = L.top_items(L.item_counts(sets), C.TOP_N_COOCCURRENCE)
@@ -356,7 +356,9 @@ def _orders_clean(spark, folder):
 
 @query("feature_routing")
 def q_feature_routing(spark, folder):
-    return stages.preprocess(_orders_clean(spark, folder), WHOLE).routes
+    # Routes follow from types and categories: no row ids, nothing fitted.
+    o = table(spark, folder, "orders").withColumn("row_id", F.lit(None).cast("long"))
+    return stages.route_table(spark, stages.routes_of(clean(o, "row_id", WHOLE), WHOLE))
 
 
 @query("preprocessed")
@@ -383,7 +385,9 @@ def q_one_hot(spark, folder):
     cols = ["o_orderstatus", "o_orderpriority"]
     d = cat.label_dictionary(cat.value_counts(o, cols))
     coded = cat.label_encode(o.select("o_orderkey", *cols), cols, d)
-    rows = d.collect()  # at most ohe_max_cardinality entries per column
+    sizes = {r["column"]: r["count"] for r in d.groupBy("column").count().collect()}
+    cols = [c for c in cols if sizes.get(c, 0) <= C.OHE_MAX_CARDINALITY]
+    rows = d.where(F.col("column").isin(cols)).collect()  # at most ohe_max_cardinality entries per column
     cats = {c: sorted([(r["code"], r["value"]) for r in rows if r["column"] == c], key=lambda x: x[1])
             for c in cols}
     return FT.one_hot(coded, cats, keep=["o_orderkey"])
@@ -453,7 +457,7 @@ def q_explode_python_list(spark, folder):
 
 @query("summary_stats")
 def q_summary_stats(spark, folder):
-    g = derived.lineitem_with_gaps(spark, folder)
+    g = derived.lineitem_with_gaps(spark, folder, with_row_id=False)
     return rounded(stages.summary_stats(clean(g, "row_id", WHOLE)))
 
 

@@ -149,12 +149,22 @@ class Prepared:
     loadings: object = None
 
 
+def routes_of(cleaned: Cleaned, cfg: PrepConfig = PrepConfig()) -> list[tuple[str, str, int]]:
+    """How each column is prepared, by its type and categories; nothing is fitted."""
+    sizes = {r["column"]: int(r["n"]) for r in
+             cleaned.dictionary.groupBy("column").agg(F.count("*").alias("n")).collect()}
+    return FT.feature_routes(cleaned.type_of, sizes, cfg.ohe_max_cardinality)
+
+
+def route_table(spark: SparkSession, routes) -> DataFrame:
+    return spark.createDataFrame([(c, r, n, i) for i, (c, r, n) in enumerate(routes)],
+                                 "column string, route string, cardinality long, position int")
+
+
 def preprocess(cleaned: Cleaned, cfg: PrepConfig = PrepConfig(), remove_outliers: bool = False) -> Prepared:
     spark = cleaned.table.sparkSession
     t = cleaned.table
-    sizes = {r["column"]: int(r["n"]) for r in
-             cleaned.dictionary.groupBy("column").agg(F.count("*").alias("n")).collect()}
-    routes = FT.feature_routes(cleaned.type_of, sizes, cfg.ohe_max_cardinality)
+    routes = routes_of(cleaned, cfg)
     numeric = [c for c, r, _ in routes if r == "numeric"]
     ohe = [c for c, r, _ in routes if r == "one_hot"]
     label = [c for c, r, _ in routes if r == "label"]
@@ -175,8 +185,7 @@ def preprocess(cleaned: Cleaned, cfg: PrepConfig = PrepConfig(), remove_outliers
     features = scaled.select(col(cleaned.id_col), *[col(c) for c in numeric],
                              *[e for c in ohe for e in FT.indicator_columns(c, cats[c])],
                              *[col(c) for c in label])
-    route_df = spark.createDataFrame([(c, r, n, i) for i, (c, r, n) in enumerate(routes)],
-                                     "column string, route string, cardinality long, position int")
+    route_df = route_table(spark, routes)
     ohe_df = spark.createDataFrame([(c, [v for _, v in cats[c]]) for c in ohe],
                                    "column string, categories array<string>")
     pca_var = pca = loadings = None

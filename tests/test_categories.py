@@ -1,5 +1,7 @@
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from tablewright.operators import categories as cat
 
 
@@ -57,3 +59,42 @@ def test_keys_of_long_ids_and_decimals(spark):
     assert got == {(c, v): 1 for c, v in [
         ("id", "9007199254740992"), ("id", "9007199254740993"), ("id", "3000000000000000"), ("id", "-7"),
         ("d", "1.5"), ("d", "1"), ("d", "0"), ("d", "20")]}
+
+
+def test_long_texts_and_a_value_in_most_rows_take_the_shuffle(spark):
+    """One value in 90 % of the rows, nulls, and a dictionary of long texts: the
+    hot value and the nulls need no match, and no task gets them all."""
+    long = ["x" * 3000 + str(k) for k in range(300)]
+    rows = [(i, long[0] if i % 10 else (None if i % 20 else long[i // 20 % 300])) for i in range(6000)]
+    df = spark.createDataFrame(rows, "id long, v string").repartition(4)
+    counts = cat.value_counts(df, ["v"])
+    d = cat.label_dictionary(counts)
+    code = {r["value"]: r["code"] for r in d.collect()}
+    want = sorted((i, code[v] if v else code[long[0]]) for i, v in rows)
+    for limit in (0, 10**9):
+        got = cat.label_encode(df, ["v"], d, broadcast_bytes=limit, counts=counts, fill={"v": long[0]})
+        assert sorted(map(tuple, got.collect())) == want
+    plain = cat.label_encode(df, ["v"], d, broadcast_bytes=0, counts=counts)
+    assert sorted(map(tuple, plain.collect()), key=repr) == sorted(((i, code.get(v)) for i, v in rows), key=repr)
+    back = cat.label_decode(plain, ["v"], d, broadcast_bytes=0, counts=counts)
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(rows, key=repr)
+    # Broadcast follows counted bytes, not entries.
+    plan = lambda limit: cat.label_encode(df, ["v"], d, broadcast_bytes=limit, counts=counts)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan(2_000_000) and "strategy=broadcast" not in plan(100_000)
+    assert [tuple(r) for r in cat.frequent_values(counts).collect()] == [("v", long[0])]
+
+
+def test_rows_without_a_match_are_spread(spark):
+    df = spark.range(4000).select("id", F.when(F.col("id") % 50 == 0, F.concat(F.lit("rare"), F.col("id"))).otherwise("hot").alias("v"))
+    counts = cat.value_counts(df, ["v"])
+    d = cat.label_dictionary(counts)
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = cat.label_encode(df, ["v"], d, inline_limit=0, broadcast_bytes=0, counts=counts)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(sizes) == 4 and max(sizes) < 1500 and out.where("v is null").count() == 0
