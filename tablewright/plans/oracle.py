@@ -127,6 +127,9 @@ SQL["column_types"] = _types(["events", "orders", "customer", "part", "lineitem_
 SQL["type_histogram"] = (f"SELECT type, count(*) AS n_columns FROM ({_types(['lineitem_gaps'])}) "
                          f"GROUP BY type")
 
+SQL["incremental_profile"] = (f"SELECT p.column, p.position, p.null_count, p.row_count, t.type, t.hint FROM ({SQL['null_profile']}) p "
+                              f"JOIN ({_types(['lineitem_gaps'])}) t ON p.column = t.column")
+
 SQL["coerce_numeric"] = f"""
 SELECT event_id, raw,
   CASE WHEN {is_number('raw')} THEN TRY_CAST(trim(raw, {WS}) AS DOUBLE) END AS number
@@ -214,6 +217,7 @@ FROM part AS p
 
 
 SQL["label_encode"] = _encoded_part()
+SQL["label_encode_tail"] = SQL["label_encode"]
 SQL["label_decode"] = ("SELECT p_partkey, p_brand, p_type, p_name, CAST(p_size AS VARCHAR) AS p_size "
                        "FROM part")
 
@@ -611,6 +615,48 @@ SQL["streamed_messages"] = SQL["json_messages"]
 SQL["loaded_once"] = SQL["json_messages"]
 
 
+def _incremental_fit() -> str:
+    scaler = union([f"SELECT '{c}' AS col_x, avg({c}) AS mean, CASE WHEN stddev_pop({c}) > 0 THEN stddev_pop({c}) ELSE 1.0 END AS std FROM lineitem"
+                    for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")])
+    return (f"SELECT col_x, col_y, round(pearson, 6) AS pearson, round(mean, 6) AS mean, round(std, 6) AS std "
+            f"FROM ({_pearson('lineitem')}) JOIN ({scaler}) USING (col_x)")
+
+
+SQL["incremental_fit"] = _incremental_fit()
+
+
+def _components(cols: list[str], source: str, k: int) -> str:
+    """Leading eigenvectors of the correlation matrix: the matrix is squared and
+    scaled until one direction is left, which is then taken out of it. A matrix is
+    a list, row by row."""
+    p = len(cols)
+    square = (f"list_transform(range({p * p}), lambda x: list_sum(list_transform(range({p}), "
+              f"lambda y: m[x // {p} * {p} + y + 1] * m[y * {p} + x % {p} + 1])))")
+    trace = f"list_sum(list_transform(range({p}), lambda y: m[y * {p + 1} + 1]))"
+    cells = ", ".join("1.0" if a == b else f"corr({a}, {b})" for a in cols for b in cols)
+    steps = [f"c0 AS (SELECT [{cells}] AS c FROM ({source}))"]
+    for j in range(k):
+        steps.append(f"""r{j}(n, m) AS (SELECT 0, c FROM c{j} UNION ALL
+  SELECT n + 1, list_transform(s, lambda x: x / list_sum(list_transform(range({p}), lambda y: s[y * {p + 1} + 1])))
+  FROM (SELECT n, {square} AS s FROM r{j} WHERE n < 40))""")
+        # Of the projection v v', the column of the largest diagonal entry is v times its largest entry.
+        steps.append(f"""w{j} AS (SELECT list_transform(range({p}), lambda y: m[y * {p} + a + 1] / sqrt(m[a * {p + 1} + 1])) AS v
+  FROM (SELECT m, list_position(list_transform(range({p}), lambda y: m[y * {p + 1} + 1]),
+    list_max(list_transform(range({p}), lambda y: m[y * {p + 1} + 1]))) - 1 AS a FROM r{j} WHERE n = 40))""")
+        steps.append(f"""e{j} AS (SELECT v, list_sum(list_transform(range({p * p}), lambda x: v[x // {p} + 1] * c[x + 1] * v[x % {p} + 1])) AS l
+  FROM w{j}, c{j})""")
+        steps.append(f"""c{j + 1} AS (SELECT list_transform(range({p * p}), lambda x: c[x + 1] - l * v[x // {p} + 1] * v[x % {p} + 1]) AS c
+  FROM c{j}, e{j})""")
+    names = "[" + ", ".join(f"'{c}'" for c in cols) + "]"
+    rows = union([f"SELECT 'PC{j + 1}' AS component, unnest({names}) AS column, round(unnest(v), 5) AS loading, "
+                  f"round(l / {p}, 5) AS explained_variance_ratio FROM e{j}" for j in range(k)])
+    return "WITH RECURSIVE " + ",\n".join(steps) + "\n" + rows
+
+
+SQL["pca_wide"] = _components(["value", "value_sq", "value_cu", "user_id", "event_id"],
+                              "SELECT *, value * value AS value_sq, value * value * value AS value_cu FROM events", 4)
+
+
 # ``column`` is a reserved word in DuckDB: quote it as an identifier.
 SQL = {k: re.sub(r"(?<!['\"\w])column(?![\"'\w])", '"column"', v) for k, v in SQL.items()}
 

@@ -25,6 +25,8 @@ from tablewright.operators.lists import explode_list
 from tablewright.operators import numeric as N
 from tablewright.operators.profile import detect_types, null_profile, type_histogram
 from tablewright.operators import features as FT
+from tablewright.operators import moments as M
+from tablewright.operators import profile as PR
 from tablewright.operators.ordinal import assign_row_id
 from tablewright.plans import derived, stages
 from tablewright.plans.clean import clean, impute, medians
@@ -107,6 +109,20 @@ def q_coerce_numeric(spark, folder):
     return t.select("event_id", "raw", try_number(F.col("raw"), T.StringType()).alias("number"))
 
 
+@query("incremental_profile")
+def q_incremental_profile(spark, folder):
+    """Types and null shares of a table that arrives in two parts: each is scanned
+    once and adds its state; nothing is read again."""
+    g = derived.lineitem_with_gaps(spark, folder, with_row_id=False).drop("row_id")
+    path = scratch_path(spark, "profile-state")
+    for part in (0, 1):
+        PR.add_profile(g.where(F.col("l_orderkey") % 2 == part), path)
+    state = PR.stored_profile(spark, path)
+    types = PR.types_of(state).drop("position")          # a row for each column
+    return PR.nulls_of(state).join(F.broadcast(types), "column").select(
+        "column", "position", "null_count", "row_count", "type", "hint")
+
+
 # --- clean statistics ------------------------------------------------------
 
 @query("medians")
@@ -172,6 +188,14 @@ def q_label_encode(spark, folder):
     return cat.label_encode(p.select("p_partkey", *PART_CATEGORIES), PART_CATEGORIES, d)
 
 
+@query("label_encode_tail")
+def q_label_encode_tail(spark, folder):
+    """The same codes where no dictionary fits a literal or a broadcast."""
+    p, d = _part_dictionary(spark, folder)
+    counts = cat.value_counts(p, PART_CATEGORIES)
+    return cat.label_encode(p.select("p_partkey", *PART_CATEGORIES), PART_CATEGORIES, d, inline_limit=0, broadcast_bytes=0, counts=counts)
+
+
 @query("label_decode")
 def q_label_decode(spark, folder):
     p, d = _part_dictionary(spark, folder)
@@ -429,6 +453,32 @@ def q_pca_project(spark, folder):
     return rounded(FT.pca_project(scaled, EVENT_NUMERIC, loadings, keep=["event_id"]))
 
 
+WIDE_EVENTS = ["value", "value_sq", "value_cu", "user_id", "event_id"]
+
+
+@query("pca_wide")
+def q_pca_wide(spark, folder):
+    """Variances and loadings of five columns, by power iteration over the table."""
+    e = derived.events_with_square(spark, folder).withColumn("value_cu", F.col("value_sq") * F.col("value"))
+    scaled = FT.standardize(e.select(*WIDE_EVENTS), FT.scaler_from(FT.scaler_fit(e, WIDE_EVENTS)))
+    loadings, ratios = FT.pca_fit(scaled, WIDE_EVENTS)
+    table_ = FT.loadings_table(spark, WIDE_EVENTS, loadings).join(F.broadcast(FT.pca_variance(spark, ratios)), "component")   # a few rows
+    return rounded(table_.select("component", "column", "loading", "explained_variance_ratio"), 5)
+
+
+@query("incremental_fit")
+def q_incremental_fit(spark, folder):
+    """Scaler parameters and correlations of a table that arrives in three parts:
+    each is scanned once and adds its moments."""
+    li = table(spark, folder, "lineitem")
+    path = scratch_path(spark, "moments")
+    for part in range(3):
+        M.add_to_state(li.where(F.pmod("l_orderkey", F.lit(3)) == part), LINEITEM_NUMERIC, path)
+    state = M.stored_state(spark, path)
+    scaler = M.scaler_of(M.columns_of(state)).withColumnRenamed("column", "col_x")      # a row for each column
+    return rounded(M.pearson_of(state).join(F.broadcast(scaler), "col_x"), 6)
+
+
 def _clean_mixed(spark, folder):
     return clean(derived.part_mixed(spark, folder), "p_partkey", PrepConfig(dense_row_id=False))
 
