@@ -7,13 +7,13 @@ size. Spark tokenizes, counts the sizes (at most ``capacity`` counts, whatever
 the input) and later deals the pieces out; the search itself runs over the
 counts on the driver.
 
-Bin completion: the largest size left is placed first; at most ``FILLINGS`` of its
-fillings (the largest single piece, pairs, and the fullest of all where none of
-these is exact) are tried, fullest first, each as often as the counts allow, so a
-tree that is searched to its end proves nothing; a branch ends when the room
-wasted so far shows that it cannot beat the best packing known. Best-fit
-decreasing is the first packing known. The search ends at a proven lower bound
-or after ``nodes`` steps, with the best packing so far.
+Bin completion: the largest size left is placed first, beside each of its
+undominated fillings in turn, fullest first; a filling is used as often as the
+counts allow, and then less often, with the later ones for the rest. Fillings are
+made one by one, as the search asks for them. A branch ends when the room wasted so
+far shows that it cannot beat the best packing known. Best-fit decreasing is the
+first packing known. The search ends at a proven lower bound, with the whole tree
+(then the packing is the best) or after ``nodes`` steps, with the best so far.
 
 Cases: null and empty texts are one piece with the end id only; repeated rows
 are packed each; an id may be null; an empty table gives no piece; other
@@ -34,8 +34,8 @@ from pyspark.sql import types as T
 
 from tablewright.llm.shared import prepare, written
 
-#: Fillings of a largest piece that a search node tries.
-FILLINGS = 4
+#: Steps of the search: fillings that are tried or found dominated, and returns.
+NODES = 4_000
 #: Pieces that one group of the numbering should hold, and most groups a size is dealt to.
 GROUP_PIECES, MOST_GROUPS = 2_000, 4_096
 
@@ -84,76 +84,129 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[Pattern]:
     return [(content, n) for group in open_at.values() for content, n in group.items()]
 
 
-def fullest(left: dict[int, int], sizes: list[int], room: int) -> tuple[int, ...]:
-    """The fullest filling of all, of the largest pieces that give it. ``sizes``
-    is in falling order. Sums that pieces can make are the bits of a number."""
+def _reach(sizes: list[int], left: dict[int, int], room: int) -> list[int]:
+    """For each place of ``sizes`` the sums up to ``room`` that pieces from there on
+    can make, as the bits of a number. The last entry is of no pieces."""
     within = (1 << (room + 1)) - 1
-    reach, steps = 1, []
+    out = [1]
     for s in reversed(sizes):
-        for _ in range(min(left[s], room // s)):
-            steps.append((s, reach))
-            reach |= reach << s & within
-    at, out = reach.bit_length() - 1, []
-    for s, before in reversed(steps):
-        if at >= s and before >> (at - s) & 1:
-            out.append(s)
-            at -= s
-    return tuple(out)
-
-
-def fillings(counts: dict[int, int], largest: int, capacity: int, most: int = FILLINGS) -> list[tuple[int, ...]]:
-    """Undominated fillings beside one piece of size ``largest``, fullest first:
-    single pieces, pairs and, where none of these fits exactly, the fullest of all."""
+        sums, many, step = out[-1], min(left[s], room // s), 1
+        while many > 0:                    # 1, 2, 4, .. copies and the rest make any number of them
+            n = min(step, many)
+            sums |= sums << (n * s) & within
+            many, step = many - n, 2 * step
+        out.append(sums)
+    return out[::-1]
+
+
+def _of_sum(sizes: list[int], left: dict[int, int], reach: list[int], total: int) -> Iterator[tuple[int, ...]]:
+    """All choices of pieces with just this sum, those with larger pieces first."""
+    stack = [(0, total, ())]
+    while stack:
+        k, rest, chosen = stack.pop()
+        if not rest:
+            yield chosen
+            continue
+        while not reach[k + 1] >> rest & 1 and not (left[sizes[k]] and sizes[k] <= rest):
+            k += 1
+        s = sizes[k]
+        for n in range(0, min(left[s], rest // s) + 1):     # the most copies last: taken first
+            if reach[k + 1] >> (rest - n * s) & 1:
+                stack.append((k + 1, rest - n * s, chosen + (s,) * n))
+
+
+def dominated(filling: tuple[int, ...], sizes: list[int], left: dict[int, int], room: int) -> bool:
+    """Whether a piece that is left out could replace pieces of the filling: some
+    (or none) of less size where it still fits, or several of just its size.
+    What it replaces fits wherever the piece would go, so another filling, with
+    the piece, is as good in any packing."""
+    slack = room - sum(filling)
+    none, one, several = 1, 0, 0            # sums of no, one and more pieces
+    for s in filling:
+        several |= (one | several) << s
+        one |= none << s
+    sums, used = none | one | several, Counter(filling)
+    for x in sizes:
+        if left[x] > used.get(x, 0):
+            low = max(0, x - slack)
+            if sums >> low & ((1 << (x - low)) - 1) or several >> x & 1:
+                return True
+    return False
+
+
+def fillings(counts: dict[int, int], largest: int, capacity: int, after: tuple[int, ...] | None = None) -> Iterator[tuple[int, ...] | None]:
+    """Undominated fillings beside one piece of size ``largest``, one by one: the
+    fullest first, of equal ones those with larger pieces; only those that come
+    later than ``after``. None stands for a filling that was found dominated."""
     room = capacity - largest
     left = dict(counts)
     left[largest] -= 1
-    sizes = [s for s in sorted(left, reverse=True) if left[s] and s <= room]
+    sizes = [s for s in sorted(left, reverse=True) if left[s] > 0 and s <= room]
     if not sizes:
-        return [()]
-    have = set(sizes)
-    found = {(sizes[0],)}
-    exact = sizes[0] == room
-    for a in sizes:                       # the best partner of a, if both hold more than the largest single
-        if exact >= most or 2 * a < room - a:
-            break
-        b = next((b for b in range(min(a, room - a), 0, -1) if b in have and (b != a or left[a] > 1)), 0)
-        if b and a + b > sizes[0]:
-            found.add((a, b))
-            exact += a + b == room
-    if not exact:
-        found.add(fullest(left, sizes, room))
-    whole = sorted(found, key=lambda f: (-sum(f), len(f), tuple(-s for s in f)))
-    return whole[:most]
-
-
-def complete_bins(counts: dict[int, int], capacity: int, nodes: int = 3_000) -> list[Pattern]:
-    """The fewest sequences found for ``counts`` pieces of each size."""
+        if after is None:
+            yield ()
+        return
+    if sizes[0] == room:                    # it dominates every other
+        if after is None:
+            yield (room,)
+        return
+    reach = _reach(sizes, left, room)
+    for total in range(room if after is None else sum(after), -1, -1):
+        if reach[0] >> total & 1:
+            for filling in _of_sum(sizes, left, reach, total):
+                if after is None or (-total, tuple(-s for s in filling)) > (-sum(after), tuple(-s for s in after)):
+                    yield None if dominated(filling, sizes, left, room) else filling
+
+
+def _branches(left: dict[int, int], capacity: int, after: tuple[int, ...] | None) -> Iterator[tuple | None]:
+    """(content, how often, filling) of a search node: a filling is used as often
+    as the counts allow, then less often (later fillings then go on beside the
+    same size). None counts as a step without a branch."""
+    largest = max(left)
+    for filling in fillings(left, largest, capacity, after):
+        if filling is None:
+            yield None
+            continue
+        need = Counter((largest, *filling))
+        for n in range(min(left[s] // k for s, k in need.items()), 0, -1):
+            yield (largest, *filling), n, filling
+
+
+def complete_bins(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[Pattern]:
+    """The fewest sequences found for ``counts`` pieces of each size. If the search
+    ends before ``nodes`` steps, there are no fewer."""
     counts = {s: n for s, n in counts.items() if n}
     if not counts:
         return []
     best = best_fit(counts, capacity)
     size = sum(n for _, n in best)
     bound, total = lower_bound(counts, capacity), sum(s * n for s, n in counts.items())
-    stack: list[tuple[dict[int, int], tuple | None, int, int]] = [(counts, None, 0, 0)]
+    # (pieces left, sequences so far, room wasted so far, path, branches to come)
+    stack: list[tuple[dict[int, int], int, int, tuple | None, Iterator]] = [(counts, 0, 0, None, _branches(counts, capacity, None))]
     while stack and size > bound and nodes:
         nodes -= 1
-        left, path, used, waste = stack.pop()
-        if not left:
-            if used < size:
-                best, size = [], used
-                while path:
-                    path, pattern = path
-                    best.append(pattern)
+        left, used, waste, path, branches = stack[-1]
+        branch = next(branches, False)
+        if branch is False:
+            stack.pop()
+            continue
+        if branch is None:
             continue
-        if waste > (size - 1) * capacity - total:
+        content, n, filling = branch
+        waste += n * (capacity - sum(content))
+        if waste > (size - 1) * capacity - total:          # no packing below this has fewer sequences
             continue
-        largest = max(left)
-        for filling in reversed(fillings(left, largest, capacity)):
-            content = (largest, *filling)
-            need = Counter(content)
-            n = min(left[s] // k for s, k in need.items())
-            rest = {s: m - need.get(s, 0) * n for s, m in left.items() if m > need.get(s, 0) * n}
-            stack.append((rest, (path, (content, n)), used + n, waste + n * (capacity - sum(content))))
+        need = Counter(content)
+        rest = {s: m - need.get(s, 0) * n for s, m in left.items() if m > need.get(s, 0) * n}
+        path, used = (path, (content, n)), used + n
+        if rest:
+            same = rest.get(content[0], 0) > 0
+            stack.append((rest, used, waste, path, _branches(rest, capacity, filling if same else None)))
+        elif used < size:
+            best, size = [], used
+            while path:
+                path, pattern = path
+                best.append(pattern)
     return best
 
 
@@ -200,7 +253,7 @@ def cut(df: DataFrame, make_encoder: Callable, capacity: int, end_id: int,
     return df.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
 
 
-def place(pieces: DataFrame, capacity: int, nodes: int = 3_000) -> DataFrame:
+def place(pieces: DataFrame, capacity: int, nodes: int = NODES) -> DataFrame:
     """``pieces`` (with ``length``) with sequence_id and offset. Pieces of a size
     are numbered in two steps, within groups dealt by a hash and from group to
     group, so that a size that most pieces have is no single task's work."""
@@ -229,7 +282,7 @@ def place(pieces: DataFrame, capacity: int, nodes: int = 3_000) -> DataFrame:
                         (F.col("_offset") + at % F.col("_each") * F.col("length")).cast("long").alias("offset"))
 
 
-def pack(df: DataFrame, make_encoder: Callable, capacity: int = 1024, end_id: int = 2, nodes: int = 3_000,
+def pack(df: DataFrame, make_encoder: Callable, capacity: int = 1024, end_id: int = 2, nodes: int = NODES,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every piece of every document with its sequence and its place there."""
     return place(cut(df, make_encoder, capacity, end_id, id_col, text_col), capacity, nodes)

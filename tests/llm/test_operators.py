@@ -387,13 +387,13 @@ def fewest(sizes, capacity):
     return best[0]
 
 
-def test_bin_completion_is_near_the_optimum():
+def test_bin_completion_finds_the_optimum():
     from collections import Counter
 
     from tablewright.llm.pack_bins import best_fit, complete_bins, lower_bound
 
-    extra = 0
-    for seed in range(40):
+    gained = 0
+    for seed in range(200):
         rng = random.Random(seed)
         sizes = sorted((rng.randint(1, 40) for _ in range(rng.randint(1, 11))), reverse=True)
         counts = dict(Counter(sizes))
@@ -401,9 +401,44 @@ def test_bin_completion_is_near_the_optimum():
         assert sum((Counter({s: k * n for s, k in Counter(c).items()}) for c, n in found), Counter()) == Counter(sizes)
         assert all(sum(c) <= 50 for c, _ in found)
         optimum, used = fewest(sizes, 50), sum(n for _, n in found)
-        assert lower_bound(counts, 50) <= optimum <= used <= sum(n for _, n in best_fit(counts, 50))
-        extra += used - optimum
-    assert extra <= 1 and complete_bins({}, 50) == []
+        assert lower_bound(counts, 50) <= used == optimum
+        gained += sum(n for _, n in best_fit(counts, 50)) - used
+    assert gained and complete_bins({}, 50) == []
+    # Best fit decreasing takes 5 sequences here.
+    written = {44: 1, 31: 1, 28: 1, 17: 1, 16: 2, 14: 1, 13: 1, 12: 1, 5: 1, 4: 1}
+    assert sum(n for _, n in complete_bins(written, 50)) <= sum(n for _, n in best_fit(written, 50))
+
+
+def test_fillings_are_lazy_and_undominated():
+    from collections import Counter
+
+    from tablewright.llm.pack_bins import fillings
+
+    def multisets(left, room):
+        sizes = sorted(left, reverse=True)
+        for many in itertools.product(*(range(left[s] + 1) for s in sizes)):
+            chosen = tuple(s for s, n in zip(sizes, many) for _ in range(n))
+            if sum(chosen) <= room:
+                yield chosen
+
+    def fits_into(pieces, bins):                   # whether pieces can be dealt to bins of these sizes
+        return not pieces or any(b >= pieces[0] and fits_into(pieces[1:], bins[:k] + [b - pieces[0]] + bins[k + 1:]) for k, b in enumerate(bins))
+
+    for seed in range(60):
+        rng = random.Random(seed)
+        counts = dict(Counter(rng.randint(1, 12) for _ in range(rng.randint(2, 8))))
+        largest = max(counts)
+        left = {s: n - (s == largest) for s, n in counts.items() if n > (s == largest)}
+        tried = list(fillings(counts, largest, 24))
+        kept = [f for f in tried if f is not None]
+        every = list(multisets({s: n for s, n in left.items() if s <= 24 - largest}, 24 - largest))
+        assert set(kept) <= set(every) and len(set(kept)) == len(kept)
+        assert [sum(f) for f in kept] == sorted((sum(f) for f in kept), reverse=True)
+        for f in every:                            # every filling can be dealt into one that is kept
+            assert any(fits_into(list(f), list(k)) for k in kept), (counts, f, kept)
+    many = {s: 50 for s in range(3, 400, 2)}
+    first = itertools.islice((f for f in fillings(many, 399, 1000) if f), 3)
+    assert all(sum(f) == 601 for f in first)       # at once, of very many
 
 
 def test_packing_pieces(spark, odd):
