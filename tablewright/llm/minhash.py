@@ -41,6 +41,8 @@ from tablewright.llm.shared import prepare, written
 COORDINATES, UNIVERSE = 126, 2**20
 #: Nodes and shingles that a block of a large bucket holds.
 BLOCK_NODES, BLOCK_SHINGLES = 512, 500_000
+#: Bits that mark the ids of candidates: 131,072 numbers of 64 bits, whatever the input.
+BITS = 2**23
 #: Share of pairs at the threshold that the bands may miss.
 MISS = 1e-4
 
@@ -113,7 +115,35 @@ def _signed(df: DataFrame, keep: dict[str, str], text_col: str, width: int, band
     return df.select(*[F.col(f"`{c}`").alias(name) for name, c in keep.items()], F.col(f"`{text_col}`").alias("_text")).mapInArrow(run, out)
 
 
+def _maybe(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose key may be among those of ``wanted``: their hashes are
+    marked in ``BITS`` bits, a table of a fixed size. A bit that another key has
+    set only lets a row through."""
+    at = lambda: F.pmod(F.xxhash64(key), F.lit(BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_at").bitwiseAND(F.lit(63)).cast("int"))
+    marks = wanted.where(F.col(key).isNotNull()).select(at().alias("_at")).select(F.shiftright("_at", 6).alias("_word"), bit.alias("_bit"))
+    marks = marks.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))       # at most BITS / 64 rows
+    held = df.withColumn("_at", at()).withColumn("_of", F.shiftright("_at", 6)).join(F.broadcast(marks), F.col("_of") == F.col("_word"))
+    return held.where(F.col("_bits").bitwiseAND(bit) != 0).select(*df.columns)
+
+
 def _sets(df: DataFrame, text_col: str, width: int) -> DataFrame:
+    """node and its set (binary) of every row whose text has the digest that is
+    expected (``high`` and ``low``) of its ``node``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from tablewright.llm.shingles import shingle_sets
+
+        for batch in batches:
+            want = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            found = [(node, x) for (node, high, low), x in zip(want, shingle_sets(batch.column(0).to_pylist(), width))
+                     if len(x) and _digest(x) == (high, low)]
+            yield pa.record_batch([pa.array([n for n, _ in found], pa.int64()), pa.array([x.tobytes() for _, x in found], pa.binary())],
+                                  names=["node", "items"])
+
+    return df.select(F.col(text_col), "node", "high", "low").mapInArrow(run, "node bigint, items binary")
+
+
+def _digested(df: DataFrame, text_col: str, width: int) -> DataFrame:
     """Digest and set (binary) of every text that has one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tablewright.llm.shingles import shingle_sets
@@ -233,10 +263,14 @@ def grouped(df: DataFrame, keep: dict[str, str], width: int, percent: int, text_
     wanted = members.select("node").distinct()
     wanted = written(nodes.join(wanted, "node", "left_semi").select("node", "high", "low", "first_id"), "candidates")
     chosen = df.select(F.col(f"`{keep['id']}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    sets = _sets(chosen.join(wanted.select(F.col("first_id").alias("id")).distinct(), "id", "left_semi"), "text", width)
-    nulls = _sets(chosen.where("id is null"), "text", width)
-    sets = written(sets.unionByName(nulls).join(wanted.select("node", "high", "low"), ["high", "low"]).select("node", "items").dropDuplicates(
-        ["node"]), "sets")
+    named = wanted.select(F.col("first_id").alias("id"), "node", "high", "low")
+    sets = _sets(_maybe(chosen, "id", named).join(named, "id"), "text", width)
+    if docs.where("id is null").take(1):
+        nulls = _digested(chosen.where("id is null"), "text", width).join(named.where("id is null"), ["high", "low"])
+        sets = sets.unionByName(nulls.select("node", "items")).dropDuplicates(["node"])
+    elif docs.where("id is not null").groupBy("id").count().where("count > 1").take(1):
+        sets = sets.dropDuplicates(["node"])               # equal rows of one id
+    sets = written(sets, "sets")
     links = written(_verified(first, sets, percent), "links")
     joined = components(links)
     label = members.join(joined, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("component"))
