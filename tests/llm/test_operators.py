@@ -252,13 +252,56 @@ def test_fingerprints_keep_all_anchors(spark):
         for j, kmer in enumerate(kmers):
             if min(s[j], s[j + wide]) <= min(s[j + 1:j + wide]):
                 chosen.setdefault(kmer, j)
-        prints[i] = set(chosen)
+        prints[i] = chosen
         assert sorted(int(x.split("@")[1]) for x in got[i].fingerprint.split(" ")) == sorted(chosen.values())
         assert len(got[i].fingerprint.split(" ")) == len(chosen) == len({x.split("@")[0] for x in got[i].fingerprint.split(" ")})
-    assert len(prints[0]) > 1500 and len(prints[0] & prints[1]) > 10
+    assert len(prints[0]) > 1500 and len(prints[0].keys() & prints[1].keys()) > 10
     for i in range(3):
-        one, two = prints[i], prints[(i + 1) % 3]
-        assert got[i].near_next == pytest.approx(len(one & two) / len(one | two))
+        assert got[i].near_next == pytest.approx(matched(prints[i], prints[(i + 1) % 3]))
+
+
+def matched(one, two):
+    """Brute force: likeness of two {anchor: place} by position."""
+    common = sorted((one[a], two[a] - one[a]) for a in one.keys() & two.keys())
+    n = sum(m == 0 or (k > 0 and common[k - 1][1] == m) or (k + 1 < len(common) and common[k + 1][1] == m) for k, (_, m) in enumerate(common))
+    return n / (len(one) + len(two) - n) if one or two else 1.0
+
+
+def test_likeness_is_by_position(spark):
+    from pyspark.sql import functions as F
+
+    from tablewright.llm.syncmers import fingerprint, likeness
+
+    rng = random.Random(21)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(600)]
+    shuffled = [w for k in range(0, 600, 6) for w in words[k:k + 6][::-1]]
+    pieces = [words[k:k + 7] for k in range(0, 595, 7)]
+    rng.shuffle(pieces)
+    join = " ".join
+    pairs = {"same": (join(words), join(words)), "inserted": (join(words), join(words[:300] + ["new"] * 3 + words[300:])),
+             "moved": (join(words), join(words[300:] + words[:300])), "shuffled": (join(words), join(shuffled)),
+             "pieces": (join(words), join(sum(pieces, []))), "short": ("a b", "a b"), "one": ("a b", "a c"), "none": ("", " "), "half": ("", "a b")}
+    rows = spark.createDataFrame([(n, a, b) for n, (a, b) in pairs.items()], "n string, a string, b string").select(
+        "n", fingerprint(F.col("a")).alias("x"), fingerprint(F.col("b")).alias("y")).select("*", likeness(F.col("x"), F.col("y")).alias("like"))
+    got = {r.n: r for r in rows.collect()}
+    for r in got.values():
+        assert r.like == pytest.approx(matched({p.hash: p.place for p in r.x}, {p.hash: p.place for p in r.y}))
+    like = {n: r.like for n, r in got.items()}
+    assert like["same"] == like["short"] == like["none"] == 1 and like["one"] == like["half"] == 0
+    assert like["inserted"] > 0.95 and like["moved"] > 0.95 and like["shuffled"] < 0.05
+    by_set = {p.hash for p in got["pieces"].x} & {p.hash for p in got["pieces"].y}
+    assert len(by_set) > 100 and like["pieces"] < len(by_set) / (2 * len(got["pieces"].x) - len(by_set))
+
+
+def test_bounds_are_one_literal(spark, monkeypatch):
+    from tablewright.llm import syncmers
+
+    monkeypatch.setattr(syncmers, "RANGE_ROWS", 3)
+    texts = [f"text number {k} of many" for k in range(100)]
+    df = table(spark, [(k * 7 % 101, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    by_id = sorted((k * 7 % 101, t) for k, t in enumerate(texts))
+    got = {r.id: r.next_text for r in syncmers.with_next(df, "doc_id", "text").collect()}
+    assert got == {i: by_id[(k + 1) % 100][1] for k, (i, _) in enumerate(by_id)}
 
 
 # 6 ------------------------------------------------------------------------------------------------
