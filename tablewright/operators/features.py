@@ -62,20 +62,28 @@ def standardize(df: DataFrame, params: Mapping[str, tuple[float, float]]) -> Dat
     return df.select(*out)
 
 
-def one_hot_names(column: str, categories: Sequence[tuple[int, str]]) -> list[str]:
+def one_hot_names(column: str, categories: Sequence[tuple[int, str]], taken: set[str] | None = None) -> list[str]:
     """``<column>__<category>`` per category; names equal up to case (the
-    default resolver is case-insensitive) get the code appended."""
-    names, seen = [], set()
+    default resolver is case-insensitive) to one before or in ``taken`` (small
+    letters; the new ones are added) get the code appended, as often as needed."""
+    names, taken = [], set() if taken is None else taken
     for code, value in categories:
         name = f"{column}__{value}"
-        if name.lower() in seen:
+        while name.lower() in taken:
             name = f"{name}__{code}"
-        seen.add(name.lower())
+        taken.add(name.lower())
         names.append(name)
     return names
 
 
-def indicator_columns(c: str, cats: Sequence[tuple[int, str]]) -> list:
+def all_indicators(categories: Mapping[str, Sequence[tuple[int, str]]], others: Sequence[str] = ()) -> list:
+    """Indicator columns of several coded columns, named apart from each other
+    and from the columns ``others``."""
+    taken = {c.lower() for c in others}
+    return [e for c, cats in categories.items() for e in indicator_columns(c, cats, taken)]
+
+
+def indicator_columns(c: str, cats: Sequence[tuple[int, str]], taken: set[str] | None = None) -> list:
     """Indicator expressions for label-coded column ``c`` with categories
     ``[(code, value)]`` sorted by value: ``c__value`` is 1 where the code
     decodes to ``value``; an unknown or missing code decodes to ``unknown``.
@@ -83,17 +91,14 @@ def indicator_columns(c: str, cats: Sequence[tuple[int, str]]) -> list:
     decode = F.create_map(*[e for code, v in cats for e in (F.lit(int(code)), F.lit(v))]) if cats else None
     label = F.lit("unknown") if decode is None else F.coalesce(
         F.try_element_at(decode, col(c).cast("int")), F.lit("unknown"))
-    return [(label == F.lit(v)).cast("int").alias(n) for (_, v), n in zip(cats, one_hot_names(c, cats))]
+    return [(label == F.lit(v)).cast("int").alias(n) for (_, v), n in zip(cats, one_hot_names(c, cats, taken))]
 
 
 def one_hot(df: DataFrame, categories: Mapping[str, Sequence[tuple[int, str]]],
             keep: Sequence[str] = ()) -> DataFrame:
     """``keep`` columns plus the indicator columns of every coded column in
     ``categories`` (at most ``ohe_max_cardinality`` categories each)."""
-    out = [col(k) for k in keep]
-    for c, cats in categories.items():
-        out += indicator_columns(c, cats)
-    return df.select(*out)
+    return df.select(*[col(k) for k in keep], *all_indicators(categories, keep))
 
 
 def pca_components(p: int) -> int:

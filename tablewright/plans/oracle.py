@@ -7,11 +7,12 @@ from __future__ import annotations
 
 import re
 
-from tablewright.functions.text import BOOLEAN_TEXT, NUMBER_TEXT, WHITESPACE
-
-WS = "'" + WHITESPACE.replace("'", "''") + "'"
-NUM_RE = "'" + NUMBER_TEXT + "'"
-BOOL_RE = "'" + BOOLEAN_TEXT + "'"
+# What Python's str.strip() takes off, by Python's own word.
+BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+WS = f"'{BLANKS}'"
+# A number is digits with at most one point among or around them, and a power of ten.
+NUM_RE = "'[+-]?(([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?|(i|I)(n|N)(f|F)((i|I)(n|N)(i|I)(t|T)(y|Y))?)'"
+BOOL_RE = "'[YN]'"
 
 
 def num_text(x: str) -> str:
@@ -20,7 +21,7 @@ def num_text(x: str) -> str:
 
 
 def is_number(s: str) -> str:
-    return f"regexp_matches({s}, {NUM_RE})"
+    return f"regexp_full_match(trim({s}, {WS}), {NUM_RE})"
 
 
 LINEITEM_ORDER = ("l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, "
@@ -98,7 +99,7 @@ def _type_select(table_name: str, source: str, column: str, pos: int, kind: str)
                 f"ELSE 'numeric' END AS type, CAST(NULL AS VARCHAR) AS hint FROM {source}")
     t = f"trim(s, {WS})"
     numeric = f"count(s) = count(*) FILTER (WHERE {is_number('s')})"
-    boolean = f"count(s) = count(*) FILTER (WHERE regexp_matches(s, {BOOL_RE}))"
+    boolean = f"count(s) = count(*) FILTER (WHERE regexp_full_match({t}, {BOOL_RE}))"
     truth = "count(s) = count(*) FILTER (WHERE s IN ('True', 'TRUE', 'true', 'False', 'FALSE', 'false'))"
     brace = f"{_share(f'starts_with({t}, ' + chr(39) + '{' + chr(39) + ')')} > 0.5"
     bracket = f"{_share(f'starts_with({t}, ' + chr(39) + '[' + chr(39) + ')')} > 0.5"

@@ -183,7 +183,7 @@ def preprocess(cleaned: Cleaned, cfg: PrepConfig = PrepConfig(), remove_outliers
             cats[c] = sorted([(r["code"], r["value"]) for r in rows if r["column"] == c], key=lambda x: x[1])
     # One projection: standardised numbers, indicators, label codes.
     features = scaled.select(col(cleaned.id_col), *[col(c) for c in numeric],
-                             *[e for c in ohe for e in FT.indicator_columns(c, cats[c])],
+                             *FT.all_indicators({c: cats[c] for c in ohe}, [cleaned.id_col, *numeric, *label]),
                              *[col(c) for c in label])
     route_df = route_table(spark, routes)
     ohe_df = spark.createDataFrame([(c, [v for _, v in cats[c]]) for c in ohe],
@@ -276,7 +276,7 @@ def apply_saved(df: DataFrame, out: str, id_col: str = "row_id") -> tuple[DataFr
     label = [r["column"] for r in routes if r["route"] == "label"]
     scaled = FT.standardize(df, params)
     features = scaled.select(col(id_col), *[col(c) for c in numeric],
-                             *[e for c in ohe for e in FT.indicator_columns(c, cats.get(c, []))],
+                             *FT.all_indicators({c: cats.get(c, []) for c in ohe}, [id_col, *numeric, *label]),
                              *[col(c) for c in label])
     pca = None
     if numeric:

@@ -95,3 +95,11 @@ def test_streaming_load_to_files(spark, tmp_dir):
     q.awaitTermination(120)
     vals = sorted(json.loads(r.value)["x"] for r in spark.read.json(out).collect())
     assert vals == list(range(5))
+
+
+def test_one_hot_names_differ_across_columns(spark):
+    df = spark.createDataFrame([(0, 0, 7), (1, 1, 8)], "a int, a__b int, A__B__C int")
+    cats = {"a": [(0, "b__c"), (1, "x")], "a__b": [(0, "c"), (1, "C__0")]}
+    out = FT.one_hot(df, cats, keep=["A__B__C"])
+    assert len({c.lower() for c in out.columns}) == 5 and out.columns[:3] == ["A__B__C", "a__b__c__0", "a__x"]
+    assert [tuple(r) for r in out.collect()] == [(7, 1, 0, 1, 0), (8, 0, 1, 0, 1)]

@@ -92,3 +92,21 @@ def test_box_whiskers_stay_outside_the_box(spark):
 
     r = box_stats(spark.createDataFrame([(0.0,), (0.0,), (0.0,), (100.0,)], "x double"), ["x"]).first()
     assert (r.q3, r.whisker_hi, r.whisker_lo) == (25.0, 25.0, 0.0)
+
+
+def test_saved_parameters_skip_absent_columns(spark, tmp_dir):
+    """Columns that a new table lacks are left out; without one of the numeric
+    ones there is no projection."""
+    res = run_all(messy(spark), tmp_dir, "row_id", PrepConfig(type_sample_rows=None))
+    whole = res["clean"].table
+    features, pca = apply_saved(whole, tmp_dir)
+    routes = {r["column"]: r["route"] for r in res["prepared"].routes.collect()}
+    assert pca is not None and {"numeric", "one_hot"} <= set(routes.values())
+    for column, route in routes.items():
+        if column not in whole.columns:          # a list is in a table of its own
+            continue
+        less, less_pca = apply_saved(whole.drop(column), tmp_dir)
+        gone = [c for c in features.columns if c == column or c.startswith(f"{column}__")]
+        assert gone and less.columns == [c for c in features.columns if c not in gone]
+        assert (less_pca is None) == (route == "numeric")
+        assert sorted(map(tuple, less.collect())) == sorted(map(tuple, features.select(*less.columns).collect()))
