@@ -299,8 +299,10 @@ def train(texts: list[str], y: np.ndarray, every: dict[int, int] | None = None,
     t = WordTable(texts)
     grams = [(b[v], t.owner[v]) for b, v in t.ngrams()]
     bucket, owner = np.concatenate([b for b, _ in grams]), np.concatenate([o for _, o in grams])
+    del grams                                     # the driver's memory peaks here
     order = np.argsort(owner, kind="stable")
     bucket, many = bucket[order], np.bincount(owner, minlength=len(t.size))
+    del order, owner
     begin = np.cumsum(many) - many
     words, ngrams = np.zeros((2, BUCKETS)), np.zeros((2, BUCKETS))
     for k, label in enumerate(y):
@@ -308,6 +310,7 @@ def train(texts: list[str], y: np.ndarray, every: dict[int, int] | None = None,
         words[label, np.unique(t.bucket[own])] += 1
         place = np.repeat(begin[own] - (np.cumsum(many[own]) - many[own]), many[own]) + np.arange(int(many[own].sum()))
         ngrams[label, np.unique(bucket[place])] += 1
+    del bucket, begin, many, place
     totals = np.bincount(y, minlength=2).astype(float)
     net = Network(_odds(words, totals), _odds(ngrams, totals), seed)
     codes, of = t.windows()
