@@ -44,10 +44,16 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def modes(counts: DataFrame) -> DataFrame:
     """``(column, mode, count)``: most frequent value, ties to the smallest
-    value. A declarative aggregate, so it is combined map-side."""
-    best = F.min(F.struct((-F.col("count")).alias("neg"), F.col("value").alias("value")))
-    return (counts.groupBy("column").agg(best.alias("_b"))
-            .select("column", F.col("_b.value").alias("mode"), (-F.col("_b.neg")).alias("count")))
+    value. The greatest count of each column first (a hash aggregate of numbers,
+    combined map-side), then the least of the few values that have it."""
+    most = counts.groupBy("column").agg(F.max("count").alias("_most"))        # one row per column
+    return _least_of(counts, most).select("column", F.col("_mode").alias("mode"), F.col("_most").alias("count"))
+
+
+def _least_of(counts: DataFrame, most: DataFrame) -> DataFrame:
+    """``most`` (column, _most and others) with ``_mode``, the least value of that count."""
+    top = counts.join(F.broadcast(most.select("column", "_most")), "column").where(F.col("count") == F.col("_most"))
+    return most.join(F.broadcast(top.groupBy("column").agg(F.min("value").alias("_mode"))), "column")
 
 
 def category_summary(counts: DataFrame) -> DataFrame:
@@ -121,10 +127,10 @@ def _map_literal(pairs) -> F.Column:
 
 def category_stats(counts: DataFrame) -> tuple[dict[str, str], dict[str, tuple[int, int]]]:
     """Modes, and entries and bytes of the dictionary, per column in one small aggregate."""
-    best = F.min(F.struct((-F.col("count")).alias("neg"), F.col("value").alias("value")))
-    rows = counts.groupBy("column").agg(best.alias("_b"), F.count("*").alias("_n"),
-                                        F.sum(ENTRY_BYTES + F.octet_length("value")).alias("_bytes")).collect()
-    return ({r["column"]: r["_b"]["value"] for r in rows}, {r["column"]: (int(r["_n"]), int(r["_bytes"])) for r in rows})
+    sizes = counts.groupBy("column").agg(F.max("count").alias("_most"), F.count("*").alias("_n"),
+                                         F.sum(ENTRY_BYTES + F.octet_length("value")).alias("_bytes"))
+    rows = _least_of(counts, sizes).collect()
+    return ({r["column"]: r["_mode"] for r in rows}, {r["column"]: (int(r["_n"]), int(r["_bytes"])) for r in rows})
 
 
 def frequent_values(counts: DataFrame) -> DataFrame:

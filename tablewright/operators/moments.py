@@ -48,8 +48,8 @@ def column_state(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.count("x").alias("n"), F.avg("x").alias("mean"), (F.var_pop("x") * F.count("x")).alias("m2"),
         F.min("x").alias("lo"), F.max("x").alias("hi"))
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
-    # A row for each column.
-    return F.broadcast(names).join(stats, "column", "left").select(
+    # A row for each column on both sides.
+    return names.join(F.broadcast(stats), "column", "left").select(
         "column", F.coalesce("n", F.lit(0)).alias("n"), "mean", "m2", "lo", "hi")
 
 
@@ -117,9 +117,9 @@ def pair_state(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         (F.col("xy") - F.col("sx") * F.col("sy") / n).alias("c_xy"),
         (at("i") + F.col("lx")).alias("lo_x"), (at("i") + F.col("hx")).alias("hi_x"),
         (at("j") + F.col("ly")).alias("lo_y"), (at("j") + F.col("hy")).alias("hi_y"))
-    # A row for each pair: an empty table has its pairs, too.
+    # A row for each pair on both sides: an empty table has its pairs, too.
     every = spark.createDataFrame([(a, b) for k, a in enumerate(cols) for b in cols[k:]], "col_x string, col_y string")
-    return F.broadcast(every).join(found, ["col_x", "col_y"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return every.join(F.broadcast(found), ["col_x", "col_y"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def merge_pairs(states: DataFrame) -> DataFrame:

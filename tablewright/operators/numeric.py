@@ -43,8 +43,8 @@ def per_column(df: DataFrame, cols: Sequence[str], aggs) -> DataFrame:
              for c in cols]
     stats = df.select(F.inline(F.array(*cells))).groupBy("column").agg(*aggs(F.col("value")))
     names = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(cols)], "column string, _pos int")
-    # names has one row per requested column: proven small.
-    return F.broadcast(names).join(stats, "column", "left").drop("_pos")
+    # One row per requested column on both sides: proven small.
+    return names.join(F.broadcast(stats), "column", "left").drop("_pos")
 
 
 def numeric_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -184,7 +184,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], factor: float = C.IQR_FACTOR,
              .groupBy("column").agg(F.min(F.when(inside, x)).alias("whisker_lo"),
                                     F.max(F.when(inside, x)).alias("whisker_hi"),
                                     F.count_if(outside).alias("n_fliers")))
-    return fences.join(stats, "column", "left").select(
+    return fences.join(F.broadcast(stats), "column", "left").select(
         "column", "q1", "median", "q3", F.least("whisker_lo", "q1").alias("whisker_lo"),
         F.greatest("whisker_hi", "q3").alias("whisker_hi"), F.coalesce("n_fliers", F.lit(0)).cast("long").alias("n_fliers"))
 

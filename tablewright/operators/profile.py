@@ -48,8 +48,8 @@ def null_profile(df: DataFrame, threshold: float = C.NULL_THRESHOLD,
         grouped = (df.select(F.inline(F.array(*cells))).groupBy("position")
                    .agg(F.count(F.lit(1)).alias("_rows"), F.count_if("m").alias("_n")))
         names = df.sparkSession.createDataFrame(list(enumerate(cols)), "position int, column string")
-        # names has one row per column: proven small.
-        base = F.broadcast(names).join(grouped, "position", "left").select(
+        # One row per column on both sides: proven small.
+        base = names.join(F.broadcast(grouped), "position", "left").select(
             "column", "position", F.coalesce("_n", F.lit(0)).alias("null_count"),
             F.coalesce("_rows", F.lit(0)).alias("row_count"))
     return (base.select("column", "position", "null_count", "row_count",

@@ -105,7 +105,7 @@ def eda(cleaned: Cleaned, cfg: PrepConfig = PrepConfig(), pearson_rows: int | No
     # A numeric category is shown as its code.
     labels = labels.where(F.col("column").isin(cleaned.columns_of(C.CATEGORICAL, C.BOOLEAN)))
     found = labels.join(F.broadcast(top.select("column", "value")), ["column", "value"])
-    decoded = F.broadcast(top).join(found, ["column", "value"], "left").withColumn("label", F.coalesce("label", "value"))
+    decoded = top.join(F.broadcast(found), ["column", "value"], "left").withColumn("label", F.coalesce("label", "value"))
 
     plot, mins = N.plot_values(t, numeric, cfg.skew_log_threshold)
     pearson = scatter = None
