@@ -3,6 +3,7 @@ writers, credentials whose parts must be apart, rows that repeat an id."""
 
 import base64
 import hashlib
+import itertools
 import random
 import zlib
 
@@ -202,3 +203,72 @@ def test_near_duplicates_are_dropped_text_by_text(spark):
     assert texts.count(None) == 2 and texts.count("") == 1 and c[::-1] in texts
     assert stages.drop_near_duplicates(spark, docs.drop("_key").limit(0), "").count() == 0
     assert stages.redact_secrets(spark, docs.limit(0), "").count() == 0
+
+
+def test_the_pipeline_as_a_whole(spark):
+    """Every stage's decisions take effect: what is packed at the end are the clean
+    documents, one of each group of near copies, without their secrets."""
+    import re
+
+    import corpus_pipeline
+    from tablewright.llm import secrets, stages
+    from tablewright.llm.queries import byte_bpe_encoder
+    from tablewright.llm.shared import read
+
+    folder = "/root/testdata/sf0.001"
+    got = corpus_pipeline.run(spark, folder).collect()
+    docs = read(spark, folder, "documents")
+    kept = {r.doc_id: r for r in stages.drop_toxic(spark, docs, folder).collect()}
+    ids = {r.doc_id for r in got}
+    assert ids <= set(kept) and len(kept) <= docs.count()
+
+    def shingles(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+        return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    sets = {i: shingles(r.text) for i, r in kept.items()}
+    group = {i: i for i in kept}
+    for _ in range(5):
+        for a in sorted(kept):
+            for b in kept:
+                if sets[a] and sets[b] and len(sets[a] & sets[b]) * 100 >= 80 * len(sets[a] | sets[b]):
+                    group[a] = group[b] = min(group[a], group[b])
+    assert ids == {i for i in kept if group[i] == i}
+    clean = {r.doc_id: r.text for r in secrets.redact(docs.where(F.col("doc_id").isin(list(ids)))).collect()}
+    order = sorted(ids)
+    want = {}
+    for i, own in zip(order, byte_bpe_encoder().ids([clean[i] or "" for i in order])):
+        own = np.append(own, 2).astype("<u4")
+        want[i] = (len(own), own.tobytes())
+    rebuilt = {i: 0 for i in order}
+    for r in got:
+        n, raw = want[r.doc_id]
+        assert r.ids_crc32 == zlib.crc32(raw[4 * r.start:4 * (r.start + r.length)])
+        rebuilt[r.doc_id] += r.length
+    assert rebuilt == {i: want[i][0] for i in order}
+    places = {}
+    for r in got:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for p in places.values():
+        p.sort()
+        assert [o for o, _ in p] == list(itertools.accumulate([0, *(n for _, n in p[:-1])])) and sum(p[-1]) <= 1024
+
+
+def test_a_text_scores_as_its_worst_window():
+    """Each of the overlapping windows scored by itself, against the whole text."""
+    import re
+
+    from tablewright.llm import toxicity
+
+    rng = random.Random(4)
+    plain = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 6))) for _ in range(300)]
+    bad = ["zorkling", "zorkist", "vexword"]
+    texts = [" ".join(rng.choices(plain, k=rng.randint(5, 200)) + (rng.choices(bad, k=3) if k % 3 == 0 else [])) for k in range(150)]
+    model = toxicity.train(texts, np.array([int(k % 3 == 0) for k in range(150)]))
+    some = [" ".join(rng.choices(plain, k=n)) for n in (0, 1, 63, 64, 65, 96, 97, 500)]
+    some += [" ".join(rng.choices(plain, k=a) + [rng.choice(bad)] + rng.choices(plain, k=b)) for a, b in ((0, 300), (150, 150), (310, 1))] + ["", "...", "É !"]
+    for text, score in zip(some, model.scores(some)):
+        words = [w.decode() for w in re.findall(rb"[0-9A-Za-z\x80-\xff]+", text.encode())]
+        starts = range(0, max(1, len(words) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE)
+        alone = max(model.scores([" ".join(words[s:s + toxicity.WINDOW])])[0] for s in starts)
+        assert score == pytest.approx(alone, abs=1e-5)
