@@ -176,7 +176,10 @@ def near_embeddings(df: DataFrame, cosine: float = 0.98, id_col: str = "vec_id",
     (id = component_id)."""
     spark = df.sparkSession
     prepare(spark, 5_000)
-    every = df.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"),
+    # Single precision stays as it is where vectors are moved; it is compared in double precision.
+    kind = df.schema[vector_col].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"
+    every = df.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast(kind).alias("embedding"),
                       F.col(label_col).alias("label"))
     usable = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(
         "embedding", lambda x: x != 0)
@@ -198,7 +201,7 @@ def near_embeddings(df: DataFrame, cosine: float = 0.98, id_col: str = "vec_id",
     label_type = rows.schema["label"].dataType.simpleString()
     key = f"label {label_type}, size int, tab int, cell string"
     entries = written(nodes.mapInPandas(_entries(width, per_table),
-                                        f"{key}, query boolean, vec_id bigint, copies bigint, embedding array<double>"), "entries")
+                                        f"{key}, query boolean, vec_id bigint, copies bigint, embedding {kind}"), "entries")
     found = written(_dealt(entries).groupBy("label", "size", "tab", "cell", "of_query", "of_resident").applyInPandas(
         _compare(cosine, width, least, per_table), "a bigint, b bigint, n bigint"), "links")
     links = found.where("n > 0").groupBy("a").agg(F.sum("n").alias("n_links")).withColumnRenamed("a", "at")
