@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tablewright.config import NA_TOKENS
 from tablewright.functions.names import col
+from tablewright.session import send_package
 from tablewright.sources.tables import spread
 
 QUOTE = '"'
@@ -160,6 +161,7 @@ def _names(header: str, sep: str) -> list[str]:
 
 def csv_records(spark: SparkSession, path) -> tuple[DataFrame, list[str]]:
     """(``id``, ``text`` of every record but the headers; the files' headers)."""
+    send_package(spark)
     lines = _lines(spark, path)
     rows = beginnings(splits(lines)).collect()          # a row for each split of the files
     begin = {(r["file"], r["start"]): (r["inside"], r["first"]) for r in rows}
