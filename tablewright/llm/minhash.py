@@ -115,16 +115,17 @@ def _signed(df: DataFrame, keep: dict[str, str], text_col: str, width: int, band
     return df.select(*[F.col(f"`{c}`").alias(name) for name, c in keep.items()], F.col(f"`{text_col}`").alias("_text")).mapInArrow(run, out)
 
 
-def _maybe(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose key may be among those of ``wanted``: their hashes are
-    marked in ``BITS`` bits, a table of a fixed size. A bit that another key has
-    set only lets a row through."""
+def maybe_among(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``df`` with ``_maybe``, whether its key may be among those of ``wanted``: their
+    hashes are marked in ``BITS`` bits, a table of a fixed size. False is certain; a
+    bit that another key has set may give true."""
     at = lambda: F.pmod(F.xxhash64(key), F.lit(BITS))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_at").bitwiseAND(F.lit(63)).cast("int"))
     marks = wanted.where(F.col(key).isNotNull()).select(at().alias("_at")).select(F.shiftright("_at", 6).alias("_word"), bit.alias("_bit"))
     marks = marks.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))       # at most BITS / 64 rows
-    held = df.withColumn("_at", at()).withColumn("_of", F.shiftright("_at", 6)).join(F.broadcast(marks), F.col("_of") == F.col("_word"))
-    return held.where(F.col("_bits").bitwiseAND(bit) != 0).select(*df.columns)
+    held = df.withColumn("_at", at()).withColumn("_of", F.shiftright("_at", 6)).join(
+        F.broadcast(marks), F.col("_of") == F.col("_word"), "left")
+    return held.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(F.col("_bits").bitwiseAND(bit) != 0, F.lit(False)).alias("_maybe"))
 
 
 def _sets(df: DataFrame, text_col: str, width: int) -> DataFrame:
@@ -264,7 +265,7 @@ def grouped(df: DataFrame, keep: dict[str, str], width: int, percent: int, text_
     wanted = written(nodes.join(wanted, "node", "left_semi").select("node", "high", "low", "first_id"), "candidates")
     chosen = df.select(F.col(f"`{keep['id']}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     named = wanted.select(F.col("first_id").alias("id"), "node", "high", "low")
-    sets = _sets(_maybe(chosen, "id", named).join(named, "id"), "text", width)
+    sets = _sets(maybe_among(chosen, "id", named).where("_maybe").join(named, "id"), "text", width)
     if docs.where("id is null").take(1):
         nulls = _digested(chosen.where("id is null"), "text", width).join(named.where("id is null"), ["high", "low"])
         sets = sets.unionByName(nulls.select("node", "items")).dropDuplicates(["node"])

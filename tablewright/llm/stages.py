@@ -43,11 +43,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     judged = written(judged.where("not kept or count > 1"), "judged")
     dropped = judged.where("not kept").select(F.col("key").alias("_key"))
     again = judged.where("kept").select(F.col("key").alias("_key"))
-    rest = docs.withColumn("_key", row_key(docs)).join(dropped, "_key", "left_anti")
+    # Only rows that may be judged are shuffled with their texts.
+    marked = minhash.maybe_among(docs.withColumn("_key", row_key(docs)), "_key", judged.select(F.col("key").alias("_key")))
+    rest = marked.where("_maybe").join(dropped, "_key", "left_anti")
+    out = marked.where("not _maybe")
     if not again.take(1):
-        return rest.select(*docs.columns)
+        return out.unionByName(rest.select(*out.columns)).select(*docs.columns)
     once = rest.join(again, "_key", "left_semi").dropDuplicates(["_key"])
-    return rest.join(again, "_key", "left_anti").unionByName(once).select(*docs.columns)
+    rest = rest.join(again, "_key", "left_anti").unionByName(once)
+    return out.unionByName(rest.select(*out.columns)).select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
