@@ -208,7 +208,7 @@ class Encoder:
     """Token ids of whole texts by a ``tiktoken.Encoding`` whose pattern is the
     public one. Every distinct word is encoded once, many in one call; words
     seen are kept from chunk to chunk, up to ``KEPT``."""
-    KEPT = 400_000
+    KEPT = 150_000
 
     def __init__(self, encoding, special: frozenset[str] = frozenset()):
         self.encoding, self.special = encoding, special
